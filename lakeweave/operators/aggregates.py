@@ -79,7 +79,7 @@ def customer_360(customers: DataFrame, orders: DataFrame, key: str, attributes:
     """
     per_category = orders.groupBy(key, F.col(category).alias("__cat")).agg(
         F.count(order_id).alias("__n"), F.sum(amount).alias("__sum"), F.count(amount).alias("__amounts"),
-        F.count("__cat").alias("__cats"), F.min(order_date).alias("__first"), F.max(order_date).alias("__last"))
+        F.count(category).alias("__cats"), F.min(order_date).alias("__first"), F.max(order_date).alias("__last"))
     per_customer = per_category.groupBy(key).agg(
         F.sum("__n").alias("__n"), F.sum("__sum").alias("__sum"), F.sum("__amounts").alias("__amounts"),
         F.min("__first").alias("first_order_date"), F.max("__last").alias("last_order_date"),

@@ -30,16 +30,37 @@ def json_field(document: Column | str, *path: str) -> Column:
     return F.get_json_object(as_column(document), f"${steps}")
 
 
-def has_key(document: Column | str, name: str) -> Column:
-    """Whether a JSON object text has the key, also with a null value."""
-    return F.coalesce(F.array_contains(F.json_object_keys(as_column(document)), name), F.lit(False))
+def _holds_image(keys: Column) -> Column:
+    return F.coalesce(F.arrays_overlap(keys, F.array(F.lit("before"), F.lit("after"))), F.lit(False))
 
 
-def unwrap_payload(value: Column | str) -> Column:
-    """The inner ``payload`` object when it carries a row image, else the document itself."""
-    document = as_column(value)
-    inner = json_field(document, "payload")
-    return F.when(has_key(inner, "before") | has_key(inner, "after"), inner).otherwise(document)
+def open_envelopes(df: DataFrame, value: str) -> DataFrame:
+    """Add ``__doc``: the change message parsed once, a ``payload`` wrapper around an image removed.
+
+    Fields: ``enveloped``, ``keys``, and as JSON text or plain text ``before, after, op, source,
+    ts_ms`` and the body itself.
+    """
+    body = "before string, after string, op string, source string, ts_ms string"
+    parsed = df.withColumns({"__outer": F.from_json(value, f"payload string, {body}"),
+                             "__keys": F.json_object_keys(value)})
+    parsed = parsed.withColumns({"__inner": F.from_json("__outer.payload", body),
+                                 "__inner_keys": F.json_object_keys("__outer.payload")})
+    parsed = parsed.withColumn("__wrapped", _holds_image(F.col("__inner_keys")))
+
+    def pick(name: str) -> Column:
+        return F.when(F.col("__wrapped"), F.col(f"__inner.{name}")).otherwise(F.col(f"__outer.{name}"))
+
+    doc = F.struct(
+        (F.col("__wrapped") | _holds_image(F.col("__keys"))).alias("enveloped"),
+        F.when(F.col("__wrapped"), F.col("__inner_keys")).otherwise(F.col("__keys")).alias("keys"),
+        F.when(F.col("__wrapped"), F.col("__outer.payload")).otherwise(F.col(value)).alias("body"),
+        *[pick(name).alias(name) for name in ("before", "after", "op", "source", "ts_ms")])
+    return parsed.withColumn("__doc", doc).drop("__outer", "__inner", "__keys", "__inner_keys", "__wrapped")
+
+
+def unwrap_payload(df: DataFrame, value: str) -> DataFrame:
+    """Replace each message by its inner ``payload`` when that carries a row image."""
+    return open_envelopes(df, value).withColumn(value, F.col("__doc.body")).drop("__doc")
 
 
 def operation_meaning(code: Column) -> Column:
@@ -51,31 +72,28 @@ def operation_meaning(code: Column) -> Column:
 
 def classify_changes(df: DataFrame, value: str) -> DataFrame:
     """Describe each message: format, op code and meaning, table, row images, deleted flag."""
-    raw = F.col(value)
-    inner = F.when(has_key(raw, "payload"), json_field(raw, "payload")).otherwise(raw)
-    staged = df.withColumn("__doc", inner).withColumn("__keys", F.json_object_keys("__doc"))
-    envelope = F.size(F.array_intersect("__keys", F.array(*map(F.lit, ("before", "after", "op"))))) == 3
-    kind = (F.when(raw.isNull() | (F.trim(raw) == "null"), "tombstone")
-            .when(envelope, "envelope")
-            .when(F.col("__keys").isNotNull(), "flat")
+    opened = (open_envelopes(df, value)
+              .withColumn("__flat", F.from_json("__doc.body", "__op string, __table string, __deleted string"))
+              .withColumn("__source", F.from_json("__doc.source", "table string")))
+    complete = F.array(*map(F.lit, ("before", "after", "op")))
+    kind = (F.when(F.col(value).isNull() | (F.trim(value) == "null"), "tombstone")
+            .when(F.size(F.array_intersect("__doc.keys", complete)) == 3, "envelope")
+            .when(F.col("__doc.keys").isNotNull(), "flat")
             .otherwise("raw"))
     is_envelope, is_flat = F.col("format") == "envelope", F.col("format") == "flat"
 
-    def pick(nested: Sequence[str] | None, flat: str | None) -> Column:
-        choice = F.lit(None).cast("string")
-        if flat:
-            choice = F.when(is_flat, json_field("__doc", flat)).otherwise(choice)
-        return F.when(is_envelope, json_field("__doc", *nested)).otherwise(choice) if nested else choice
-
-    described = staged.withColumn("format", kind).withColumns({
-        "op_code": pick(["op"], "__op"),
-        "table": pick(["source", "table"], "__table"),
-        "before": pick(["before"], None),
-        "after": pick(["after"], None),
-        "deleted": pick(None, "__deleted"),
+    def either(nested: str, flat: str) -> Column:
+        return F.when(is_envelope, F.col(nested)).when(is_flat, F.col(flat))
+
+    described = opened.withColumn("format", kind).withColumns({
+        "op_code": either("__doc.op", "__flat.__op"),
+        "table": either("__source.table", "__flat.__table"),
+        "before": F.when(is_envelope, F.col("__doc.before")),
+        "after": F.when(is_envelope, F.col("__doc.after")),
+        "deleted": F.when(is_flat, F.col("__flat.__deleted")),
     })
     meaning = F.when(is_envelope | is_flat, operation_meaning(F.col("op_code")))
-    return described.withColumn("op_meaning", meaning).drop("__doc", "__keys")
+    return described.withColumn("op_meaning", meaning).drop("__doc", "__flat", "__source")
 
 
 def envelope_rows(df: DataFrame, value: str, offset: str, fields: dict[str, tuple[Sequence[str], str]],
@@ -88,63 +106,62 @@ def envelope_rows(df: DataFrame, value: str, offset: str, fields: dict[str, tupl
     Messages without a usable image are dropped; already flat messages pass through with their own
     ``event_id``, ``op``, ``source``, ``table`` and position.
     """
-    staged = df.withColumn("__doc", unwrap_payload(value)).withColumn("__enveloped",
-        has_key("__doc", "before") | has_key("__doc", "after"))
-    op = json_field("__doc", "op")
-    image = F.when(op == DELETE, json_field("__doc", "before")).otherwise(json_field("__doc", "after"))
-    staged = staged.withColumns({"op": op, "__row": F.when(F.col("__enveloped"), image).otherwise(F.col("__doc"))})
-    staged = staged.filter(F.json_object_keys("__row").isNotNull())
-
-    columns = {}
-    for name, (candidates, kind) in fields.items():
-        columns[name] = F.coalesce(*[json_field("__row", c) for c in candidates]).try_cast(kind)
-    nested = [json_field("__doc", "source", name) for name in position]
-    place = F.when(F.col("__enveloped"), F.coalesce(*nested, F.col(offset).cast("string"))).otherwise(
-        F.coalesce(json_field("__doc", "source_lsn"), json_field("__doc", "source_pos")))
-    made_id = F.concat_ws("-", F.lit(id_prefix), place, F.col("op"),
-                          columns[key_field].cast("string"), F.col(offset).cast("string"))
+    names = sorted({c for candidates, _ in fields.values() for c in candidates})
+    flat_names = ["event_id", "source", "table", "source_lsn", "source_pos"]
+    as_text = lambda columns: ", ".join(f"`{c}` string" for c in columns)
+    image = (F.when(~F.col("__doc.enveloped"), F.col("__doc.body"))
+             .when(F.col("__doc.op") == DELETE, F.col("__doc.before")).otherwise(F.col("__doc.after")))
+    opened = open_envelopes(df, value).withColumn("__image", image)
+    opened = opened.filter(F.json_object_keys("__image").isNotNull()).withColumns({
+        "__row": F.from_json("__image", as_text(names)),
+        "__flat": F.from_json("__image", as_text(flat_names)),
+        "__src": F.from_json("__doc.source", as_text(["name", "table", "file", *position]))})
+    enveloped, op = F.col("__doc.enveloped"), F.col("__doc.op")
+
+    columns = {name: F.coalesce(*[F.col(f"__row.`{c}`") for c in candidates]).try_cast(kind)
+               for name, (candidates, kind) in fields.items()}
+    place = F.when(enveloped, F.coalesce(*[F.col(f"__src.{c}") for c in position], F.col(offset).cast("string"))
+                   ).otherwise(F.coalesce("__flat.source_lsn", "__flat.source_pos"))
+    made_id = F.concat_ws("-", F.lit(id_prefix), place, op, columns[key_field].cast("string"),
+                          F.col(offset).cast("string"))
 
     def described(inside: str, flat: str, default: str) -> Column:
-        return F.when(F.col("__enveloped"), F.coalesce(json_field("__doc", "source", inside), F.lit(default))
-                      ).otherwise(json_field("__doc", flat))
+        return F.when(enveloped, F.coalesce(F.col(f"__src.{inside}"), F.lit(default))).otherwise(F.col(f"__flat.{flat}"))
 
-    return staged.select(
-        *df.columns,
-        F.when(F.col("__enveloped"), made_id).otherwise(json_field("__doc", "event_id")).alias("event_id"),
-        "op", *[column.alias(name) for name, column in columns.items()],
+    return opened.select(
+        *df.columns, F.when(enveloped, made_id).otherwise(F.col("__flat.event_id")).alias("event_id"),
+        op.alias("op"), *[column.alias(name) for name, column in columns.items()],
         described("name", "source", default_source).alias("source"),
         described("table", "table", default_table).alias("table"),
-        place.try_cast("bigint").alias("source_position"),
-    )
+        F.when(enveloped, F.col("__src.file")).alias("source_file"),
+        place.try_cast("bigint").alias("source_position"), F.col("__doc.ts_ms").alias("captured_ms"))
 
 
 def order_envelopes(df: DataFrame, value: str = "value", offset: str = "offset",
                     time_unit: str = "ms") -> DataFrame:
     """Order changes: missing amounts count as 0, numeric times become ISO text in ``time_unit``."""
-    staged = df.withColumn("__ts_ms", json_field(unwrap_payload(value), "ts_ms"))
     rows = envelope_rows(
-        staged, value, offset, key_field="order_id", position=["lsn"], id_prefix="dbz",
+        df, value, offset, key_field="order_id", position=["lsn"], id_prefix="dbz",
         default_source="orders-db", default_table="orders",
         fields={"order_id": (["order_id", "id"], "bigint"), "customer_id": (["customer_id"], "bigint"),
                 "status": (["status"], "string"), "amount": (["amount"], "double"),
                 "order_ts": (["order_ts", "order_date"], "string")})
-    stamp = F.coalesce("order_ts", "__ts_ms")
+    stamp = F.coalesce("order_ts", "captured_ms")
     numeric = stamp.try_cast("bigint")
     return rows.withColumns({
         "amount": F.coalesce("amount", F.lit(0.0)),
         "order_ts": F.when(numeric.isNotNull(), epoch_iso(numeric, time_unit)).otherwise(stamp),
-    }).withColumnRenamed("source_position", "source_lsn").drop("__ts_ms")
+    }).withColumnRenamed("source_position", "source_lsn").drop("source_file", "captured_ms")
 
 
 def inventory_envelopes(df: DataFrame, value: str = "value", offset: str = "offset") -> DataFrame:
     """Inventory changes, placed in the log by (source file, position)."""
-    staged = df.withColumn("source_file", json_field(unwrap_payload(value), "source", "file"))
     rows = envelope_rows(
-        staged, value, offset, key_field="inventory_id", position=["pos"], id_prefix="dbz-inventory",
+        df, value, offset, key_field="inventory_id", position=["pos"], id_prefix="dbz-inventory",
         default_source="inventory-db", default_table="inventory",
         fields={"inventory_id": (["id", "inventory_id"], "bigint"), "product_name": (["product_name"], "string"),
                 "quantity": (["quantity"], "bigint"), "last_updated": (["last_updated"], "string")})
-    return rows.withColumnRenamed("source_position", "source_pos")
+    return rows.withColumnRenamed("source_position", "source_pos").drop("captured_ms")
 
 
 def unify_flat_time(df: DataFrame, time: str = "ts_ms", marked: str = "__ts_ms") -> DataFrame:
@@ -158,14 +175,13 @@ def unify_flat_time(df: DataFrame, time: str = "ts_ms", marked: str = "__ts_ms")
 def align_formats(envelopes: DataFrame, flat: DataFrame, value: str = "value",
                   keys: Sequence[str] = ("partition", "offset")) -> DataFrame:
     """Envelope and flat form of the same messages side by side, matched by position."""
-    left = envelopes.select(
-        *keys, json_field(unwrap_payload(value), "op").alias("envelope_op"),
-        json_field(unwrap_payload(value), "before").alias("before"),
-        json_field(unwrap_payload(value), "after").alias("after"),
-        json_field(unwrap_payload(value), "source", "table").alias("table"),
-        json_field(unwrap_payload(value), "source", "lsn").alias("lsn"))
-    right = flat.select(*keys, json_field(value, "__op").alias("flat_op"),
-                        json_field(value, "__deleted").alias("deleted"), F.col(value).alias("flat_value"))
+    left = (open_envelopes(envelopes, value)
+            .withColumn("__src", F.from_json("__doc.source", "table string, lsn string"))
+            .select(*keys, F.col("__doc.op").alias("envelope_op"), "__doc.before", "__doc.after",
+                    "__src.table", "__src.lsn"))
+    right = (flat.withColumn("__f", F.from_json(value, "__op string, __deleted string"))
+             .select(*keys, F.col("__f.__op").alias("flat_op"), F.col("__f.__deleted").alias("deleted"),
+                     F.col(value).alias("flat_value")))
     return left.join(right, list(keys), "left")
 
 

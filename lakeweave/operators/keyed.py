@@ -159,7 +159,7 @@ def modal_value(df: DataFrame, keys: Sequence[str], value: Column | str, alias:
 
     Counted as ordinary group rows, so no task ever holds the value map of a whole key.
     """
-    counts = df.groupBy(*keys, as_column(value).alias("__value")).agg(F.count("__value").alias("__n"))
+    counts = df.groupBy(*keys, as_column(value).alias("__value")).agg(F.count(as_column(value)).alias("__n"))
     return counts.groupBy(*keys).agg(mode_of_counts("__value", "__n").alias(alias))
 
 

@@ -111,8 +111,11 @@ def envelope_rows(df: DataFrame, value: str, offset: str, fields: dict[str, tupl
     as_text = lambda columns: ", ".join(f"`{c}` string" for c in columns)
     image = (F.when(~F.col("__doc.enveloped"), F.col("__doc.body"))
              .when(F.col("__doc.op") == DELETE, F.col("__doc.before")).otherwise(F.col("__doc.after")))
+    # Exploding "no image" to no row, instead of filtering, keeps Spark from pushing the JSON
+    # parsing into a predicate and doing it again for every field it mentions.
     opened = open_envelopes(df, value).withColumn("__image", image)
-    opened = opened.filter(F.json_object_keys("__image").isNotNull()).withColumns({
+    usable = F.when(F.json_object_keys("__image").isNotNull(), F.array("__image"))
+    opened = opened.withColumn("__image", F.explode(usable)).withColumns({
         "__row": F.from_json("__image", as_text(names)),
         "__flat": F.from_json("__image", as_text(flat_names)),
         "__src": F.from_json("__doc.source", as_text(["name", "table", "file", *position]))})

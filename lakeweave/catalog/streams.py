@@ -1 +1,208 @@
-"""To be filled."""
+"""Streaming jobs run to the end of the events table; results are read back from their sinks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.numeric import money
+from ..functions.temporal import micros
+from ..operators import geo
+from ..session import scratch_dir
+from ..sources.messages import MESSAGE
+from ..streaming import flows, rides, trails
+from ..streaming.sinks import file_writer, finish, newest_version, per_batch, put_batch
+from .quality import SQL_RIDE_REASON
+from .quality import rides as ride_rows
+from .registry import Lake, query, real, us
+
+SQL_MONEY = "CAST(value AS DECIMAL(18,2))"
+CLOSED = "(SELECT max(epoch_us(ts)) - 3600000000 FROM events)"
+
+
+def event_stream(lake: Lake) -> DataFrame:
+    schema = lake("events").schema
+    stream = lake.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(lake.root)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+class StreamLake(Lake):
+    """The same tables, the events among them as a stream."""
+
+    def __call__(self, table: str) -> DataFrame:
+        return event_stream(Lake(self.spark, self.root)) if table == "events" else super().__call__(table)
+
+
+def dirs(lake: Lake, *names: str) -> list[str]:
+    root = scratch_dir(lake.spark, "stream")
+    return [f"{root}/{name}" for name in ("checkpoint", *names)]
+
+
+@query(f"""SELECT CAST(event_id AS VARCHAR) AS trip_id, {SQL_RIDE_REASON} AS reason FROM events""")
+def stream_route(lake: Lake):
+    checkpoint, clean, dead = dirs(lake, "clean", "dead")
+    finish(rides.route(ride_rows(StreamLake(lake.spark, lake.root)), clean, dead), checkpoint)
+    read = lake.spark.read.parquet
+    return read(clean).select("trip_id", F.lit("ok").alias("reason")).union(
+        read(dead).select("trip_id", F.col("_dlq_reason").alias("reason")))
+
+
+@query("""SELECT rule, CAST(sum(CASE WHEN bad THEN 1 ELSE 0 END) AS BIGINT) AS failed FROM (
+  SELECT unnest(['trip_id_not_null', 'driver_id_not_null', 'fare_amount_in_range', 'distance_in_range', 'passengers_in_range',
+     'payment_type_in_set', 'pickup_lat_in_nyc', 'pickup_lon_in_nyc']) AS rule, unnest([false, user_id % 20 = 0,
+     event_type = 'error' AND value > 0 OR value > 1000, value * 5 > 150, user_id % 10 NOT BETWEEN 1 AND 8, event_type = 'click',
+     40.0::DOUBLE + value / 100 NOT BETWEEN 40.4 AND 41.0, false]) AS bad FROM events) GROUP BY 1""")
+def stream_validate(lake: Lake):
+    checkpoint, dead, counts, scores = dirs(lake, "dead", "counts", "scores")
+    finish(rides.validate(ride_rows(StreamLake(lake.spark, lake.root)), dead, counts, scores), checkpoint)
+    return lake.spark.read.parquet(counts).groupBy("rule").agg(F.sum("failed").alias("failed"))
+
+
+@query(f"""SELECT window_start, event_type, trip_count, revenue FROM (SELECT epoch_us(date_trunc('hour', ts)) AS window_start, event_type,
+  count(*) AS trip_count, CAST(sum({SQL_MONEY}) AS DOUBLE) AS revenue FROM events GROUP BY 1, 2) WHERE window_start + 3600000000 <= {CLOSED}""")
+def stream_tumbling(lake: Lake):
+    """Closed one-hour windows, one hour of allowed lateness."""
+    from ..operators.rolling import windowed
+
+    checkpoint, out = dirs(lake, "windows")
+    frame = windowed(event_stream(lake).withWatermark("ts", "1 hour"), ["event_type"], "ts", "1 hour",
+                     {"trip_count": F.count(F.lit(1)), "revenue": F.sum(money("value"))})
+    finish(file_writer(frame, out), checkpoint)
+    return lake.spark.read.parquet(out).select(us("window_start").alias("window_start"), "event_type", "trip_count",
+                                               real("revenue").alias("revenue"))
+
+
+@query(f"""SELECT w AS window_start, event_type, CAST(sum({SQL_MONEY}) AS DOUBLE) AS revenue FROM (SELECT *,
+  unnest([epoch_us(ts) // 3600000000 * 3600000000 - i * 3600000000 for i in [0, 1, 2, 3, 4]]) AS w FROM events)
+WHERE w + 18000000000 <= {CLOSED} GROUP BY 1, 2""")
+def stream_hopping(lake: Lake):
+    from ..operators.rolling import windowed
+
+    checkpoint, out = dirs(lake, "windows")
+    frame = windowed(event_stream(lake).withWatermark("ts", "1 hour"), ["event_type"], "ts", "5 hours",
+                     {"revenue": F.sum(money("value"))}, "1 hour")
+    finish(file_writer(frame, out), checkpoint)
+    return lake.spark.read.parquet(out).select(us("window_start").alias("window_start"), "event_type",
+                                               real("revenue").alias("revenue"))
+
+
+@query(f"""WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id)
+    <= 7200000000 THEN 0 ELSE 1 END AS opens FROM events),
+  s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+SELECT user_id, epoch_us(min(ts)) AS shift_start, epoch_us(max(ts)) AS shift_end, count(*) AS trips_in_shift,
+  CAST(sum({SQL_MONEY}) AS DOUBLE) AS shift_earnings FROM s GROUP BY user_id, sid HAVING epoch_us(max(ts)) + 7200000000 <= {CLOSED}""")
+def stream_sessions(lake: Lake):
+    checkpoint, out = dirs(lake, "sessions")
+    frame = rides.session_frame(event_stream(lake), "user_id", "ts", "2 hours", "1 hour",
+                                {"shift_earnings": money("value")}, "trips_in_shift")
+    finish(file_writer(frame, out), checkpoint)
+    return lake.spark.read.parquet(out).select("user_id", us("session_start").alias("shift_start"),
+                                               us("session_end").alias("shift_end"), "trips_in_shift",
+                                               real("shift_earnings").alias("shift_earnings"))
+
+
+@query(f"""SELECT event_type, count(*) AS events_processed, CAST(sum({SQL_MONEY}) AS DOUBLE) AS net_value FROM events GROUP BY 1""")
+def stream_running_state(lake: Lake):
+    checkpoint, out = dirs(lake, "state")
+    frame = flows.running_state(event_stream(lake), ["event_type"], {"net_value": money("value")})
+    finish(per_batch(frame, lambda batch, i: put_batch(batch, out, i)).outputMode("complete"), checkpoint)
+    stored = lake.spark.read.parquet(out)
+    newest = stored.agg(F.max("batch_id").alias("b")).scalar()
+    return stored.filter(F.col("batch_id") == newest).select("event_type", "events_processed",
+                                                             real("net_value").alias("net_value"))
+
+
+@query("SELECT event_id, user_id, value FROM events WHERE value / 10 > 1.5")
+def stream_filtered(lake: Lake):
+    checkpoint, out = dirs(lake, "surge")
+    frame = event_stream(lake).withColumn("surge_multiplier", F.col("value") / 10)
+    finish(file_writer(rides.rides.surge_trips(frame), out), checkpoint)
+    return lake.spark.read.parquet(out).select("event_id", "user_id", "value")
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedup(lake: Lake):
+    """Alert ids seen once; the delay spans the whole table, so every later copy is dropped."""
+    checkpoint, out = dirs(lake, "unique")
+    frame = flows.distinct_within(event_stream(lake), ["user_id", "event_type"], "ts", "60 days")
+    finish(file_writer(frame, out), checkpoint)
+    return lake.spark.read.parquet(out).select("user_id", "event_type")
+
+
+@query("""SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1""")
+def stream_latest_table(lake: Lake):
+    checkpoint, table = dirs(lake, "table")
+    finish(flows.keep_latest(event_stream(lake), ["user_id"], ["ts", "event_id"], table), checkpoint)
+    return newest_version(lake.spark, table).select("user_id", "event_id", "event_type")
+
+
+@query("""SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour,
+  count(*) AS row_count FROM events GROUP BY 1, 2, 3, 4""")
+def stream_hourly_landing(lake: Lake):
+    checkpoint, out = dirs(lake, "landing")
+    finish(flows.land(event_stream(lake), "ts", out), checkpoint)
+    text = [F.lpad(F.col(p).cast("string"), 4 if p == "year" else 2, "0").alias(p) for p in ("year", "month", "day", "hour")]
+    return lake.spark.read.parquet(out).select(*text).groupBy("year", "month", "day", "hour").agg(
+        F.count(F.lit(1)).alias("row_count"))
+
+
+@query("""SELECT user_id AS order_id, event_type AS status, value AS amount FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+  ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1""")
+def stream_message_upsert(lake: Lake):
+    checkpoint, bronze, silver = dirs(lake, "bronze", "silver")
+    body = F.to_json(F.struct(F.col("user_id").alias("order_id"), F.col("event_type").alias("status"), F.col("value").alias("amount")))
+    topic = event_stream(lake).select(
+        F.col("user_id").cast("string").alias("key"), body.alias("value"), F.lit("orders").alias("topic"),
+        F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
+    assert topic.columns == [field.split()[0] for field in MESSAGE.split(", ")]
+    writer = flows.upsert_messages(topic, "order_id bigint, status string, amount double", ["order_id"], ["status", "amount"],
+                                   bronze, silver)
+    finish(writer, checkpoint)
+    return newest_version(lake.spark, silver)
+
+
+@query("""SELECT event_id, c_name AS full_name FROM events JOIN customer ON user_id = c_custkey WHERE c_acctbal > 0""")
+def stream_table_enrich(lake: Lake):
+    checkpoint, table, out, misses = dirs(lake, "drivers/version=0", "enriched", "misses")
+    lake("customer").filter("c_acctbal > 0").select(
+        F.col("c_custkey").alias("driver_id"), F.col("c_name").alias("full_name"), F.lit("L").alias("license_number"),
+        F.col("c_acctbal").alias("rating"), F.lit("m").alias("vehicle_make"), F.lit("x").alias("vehicle_model"),
+        F.lit(2020).alias("vehicle_year")).write.parquet(table)
+    trips = event_stream(lake).withColumn("driver_id", F.col("user_id"))
+    finish(rides.enrich(trips, table.rsplit("/", 1)[0], out, misses), checkpoint)
+    return lake.spark.read.parquet(out).select("event_id", F.col("driver_name").alias("full_name"))
+
+
+@query("""WITH p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000 DESC) AS rn FROM events)
+SELECT CAST(user_id AS VARCHAR) AS key, least(count(*), 40) AS points, max(epoch_us(ts) // 1000) AS ts_ms FROM p GROUP BY 1""")
+def stream_trail_state(lake: Lake):
+    """Active tracks after the whole stream."""
+    checkpoint, out = dirs(lake, "tracks")
+    positions = event_stream(lake).select(
+        "user_id", "ts", F.floor(micros("ts") / 1000).alias("ts_ms"), F.col("value").alias("lat"), F.col("value").alias("lon"))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = lake.spark.conf.get(provider, None)
+    lake.spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        finish(trails.track(positions, "user_id", "ts").writeStream.outputMode("append").format("parquet").option("path", out),
+               checkpoint)
+    finally:
+        lake.spark.conf.set(provider, before) if before else lake.spark.conf.unset(provider)
+    return lake.spark.read.parquet(out).filter("status = 'active'").select("key", F.col("points").cast("bigint").alias("points"), "ts_ms")
+
+
+@query(name="stream_surge")
+def stream_surge(lake: Lake):
+    """Demand windows priced against the idle supply of the same events (rows only: emits per update)."""
+    checkpoint, supply, out = dirs(lake, "supply", "surge")
+    events = event_stream(lake).withColumns({
+        "lat": F.lit(40.5) + (F.col("event_id") % 400) / 1000, "lon": F.lit(-74.2) + ((F.col("event_id") * 31) % 500) / 1000,
+        "ts_us": micros("ts")})
+    pings = events.filter("event_type <> 'purchase'").withColumns({
+        "driver_id": F.col("user_id"), "state": F.expr("CASE event_type WHEN 'view' THEN 'IDLE' ELSE 'ON_TRIP' END")})
+    finish(rides.supply_table(pings, supply), f"{checkpoint}/supply")
+    trips = events.filter("event_type = 'purchase'").withColumn("pickup_zone", geo.nearest_centre("lat", "lon"))
+    finish(rides.surge(trips, "ts", supply, out), f"{checkpoint}/surge")
+    return lake.spark.read.parquet(out).select("zone", us("window_ts").alias("window_ts"), "trips_per_min", "idle_drivers",
+                                               "surge_multiplier")

@@ -157,7 +157,7 @@ def retail_lake_counts(lake: Lake):
     base = out(lake, "retail")
     bronze = retail_events(lake)
     files.write_table(retail_lake.checked_orders(bronze), f"{base}/checked", partition_by=["is_valid"])
-    checked = lake.spark.read.parquet(f"{base}/checked")
+    checked = retail_lake.read_checked(lake.spark, f"{base}/checked")
     unique = retail_lake.deduplicated_orders(checked.filter("is_valid"))
     return agg.layer_counts({"bronze": bronze, "valid": checked.filter("is_valid"), "quarantine": checked.filter("NOT is_valid"),
                              "deduplicated": unique, "current": retail_lake.current_orders(unique)}

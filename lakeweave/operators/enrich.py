@@ -66,9 +66,9 @@ def pending(df: DataFrame, processed: DataFrame, keys: Sequence[str]) -> DataFra
 
 def with_membership(df: DataFrame, known: DataFrame, key: str, known_key: str, flag: str) -> DataFrame:
     """Boolean column telling whether ``key`` occurs in ``known``; null keys are not members."""
-    keys = known.select(F.col(known_key).alias("__known")).distinct()
-    return (df.join(keys, F.col(key) == F.col("__known"), "left")
-            .withColumn(flag, F.col("__known").isNotNull()).drop("__known"))
+    keys = known.select(F.col(known_key).alias("__member")).distinct()
+    return (df.join(keys, F.col(key) == F.col("__member"), "left")
+            .withColumn(flag, F.col("__member").isNotNull()).drop("__member"))
 
 
 def stream_table_join(facts: DataFrame, table: DataFrame, key: str,

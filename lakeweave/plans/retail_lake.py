@@ -75,6 +75,12 @@ def quarantine_report(invalid: DataFrame) -> DataFrame:
                           F.concat_ws("|", "quality_errors").alias("quality_errors")).orderBy("event_id")
 
 
+def read_checked(spark: SparkSession, path: str) -> DataFrame:
+    """Checked orders; a filter on ``is_valid`` still prunes folders through the cast."""
+    stored = spark.read.parquet(path)
+    return stored.withColumn("is_valid", F.col("is_valid").cast("boolean"))
+
+
 def refine(spark: SparkSession, lake: str, dimensions: dict[str, DataFrame]) -> dict[str, int]:
     """Everything behind bronze. Each stage is written once and read back, so no stage runs twice;
     valid and quarantined rows share one table partitioned by ``is_valid``."""
@@ -83,7 +89,8 @@ def refine(spark: SparkSession, lake: str, dimensions: dict[str, DataFrame]) ->
         return spark.read.parquet(f"{lake}/{name}")
 
     bronze = spark.read.parquet(f"{lake}/bronze/orders_raw")
-    checked = stage(checked_orders(bronze), "silver/orders_checked", ["is_valid"])
+    stage(checked_orders(bronze), "silver/orders_checked", ["is_valid"])
+    checked = read_checked(spark, f"{lake}/silver/orders_checked")
     unique = stage(deduplicated_orders(checked.filter("is_valid")), "silver/orders_deduplicated")
     current = stage(current_orders(unique), "silver/orders_current")
     enriched = stage(enriched_orders(current, **dimensions), "silver/orders_enriched")

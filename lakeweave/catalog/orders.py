@@ -83,11 +83,11 @@ def layered_daily_revenue(lake: Lake) -> DataFrame:
                       flag="customer_match", missing="MISSING_CUSTOMER",
                       defaults={"region": "UNKNOWN", "tier": "UNKNOWN"})
     revenue = agg.revenue_by(
-        enriched.filter(F.col("status") != "P").withColumn("order_date", day("o_orderdate")), ["order_date", "region"],
+        enriched.filter(F.col("status") != "P").withColumn("order_date", F.to_date("o_orderdate")), ["order_date", "region"],
         distincts={"order_count": F.col("o_orderkey"), "customer_count": F.col("o_custkey")},
         sums={"total_revenue": amount(), "missing_customers": F.when(F.col("customer_match") != "MATCHED", 1).otherwise(0)},
         means={"avg_order_value": amount()}, digits=None)
-    return revenue.withColumn("total_revenue", real("total_revenue"))
+    return revenue.withColumns({"order_date": day("order_date"), "total_revenue": real("total_revenue")})
 
 
 @query("""SELECT o_orderstatus AS status, count(*) AS event_count,
@@ -120,9 +120,9 @@ def net_sales_without_cancelled(lake: Lake) -> DataFrame:
   COALESCE(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus IN ('F','O')) AS DOUBLE), 0) AS recognized_revenue
 FROM orders GROUP BY 1""")
 def kpi_conditional_daily(lake: Lake) -> DataFrame:
-    dated = lake("orders").withColumn("order_date", day("o_orderdate"))
-    return agg.daily_kpis(dated, "order_date", amount(), F.col("o_orderstatus").isin("F", "O")).withColumn(
-        "recognized_revenue", real("recognized_revenue"))
+    dated = lake("orders").withColumn("order_date", F.to_date("o_orderdate"))
+    kpis = agg.daily_kpis(dated, "order_date", amount(), F.col("o_orderstatus").isin("F", "O"))
+    return kpis.withColumns({"order_date": day("order_date"), "recognized_revenue": real("recognized_revenue")})
 
 
 @query(f"""WITH dim AS ({SQL_DIMENSION})
@@ -199,8 +199,9 @@ SELECT strftime(l_shipdate, '%Y-%m-%d') AS order_date, count(*) AS total_orders,
   CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_order_value, any_value(m.l_partkey) AS top_product
 FROM lineitem JOIN m ON m.d = l_shipdate GROUP BY 1""")
 def daily_sales_top_product(lake: Lake) -> DataFrame:
-    lines = lake("lineitem").withColumn("order_date", day("l_shipdate"))
-    return agg.daily_sales(lines, "order_date", "l_suppkey", "l_partkey", money("l_extendedprice"))
+    lines = lake("lineitem").withColumn("order_date", F.to_date("l_shipdate"))
+    sales = agg.daily_sales(lines, "order_date", "l_suppkey", "l_partkey", money("l_extendedprice"))
+    return sales.withColumn("order_date", day("order_date"))
 
 
 @query("""SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
@@ -220,8 +221,9 @@ def product_performance(lake: Lake) -> DataFrame:
   CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS average_amount,
   count(DISTINCT o_custkey) AS distinct_count FROM orders GROUP BY 1""")
 def rollup_by_date(lake: Lake) -> DataFrame:
-    dated = lake("orders").withColumn("order_date", day("o_orderdate"))
-    return agg.rollup_by(dated, ["order_date"], amount(), "o_custkey").withColumn("total_amount", real("total_amount"))
+    dated = lake("orders").withColumn("order_date", F.to_date("o_orderdate"))
+    return agg.rollup_by(dated, ["order_date"], amount(), "o_custkey").withColumns(
+        {"order_date": day("order_date"), "total_amount": real("total_amount")})
 
 
 @query("""SELECT o_custkey, count(o_totalprice) AS order_count,
@@ -415,14 +417,14 @@ def insert_new(lake: Lake) -> DataFrame:
   count(*) FILTER (WHERE o_orderstatus <> 'P') AS total_silver FROM orders GROUP BY 1""")
 def daily_summary_upsert(lake: Lake) -> DataFrame:
     """A summary loaded from urgent orders only, then corrected by a full re-run: one row per day."""
-    dated = lake("orders").withColumn("summary_date", day("o_orderdate"))
+    dated = lake("orders").withColumn("summary_date", F.to_date("o_orderdate"))
 
     def counts(df: DataFrame) -> DataFrame:
         return df.groupBy("summary_date").agg(F.count(F.lit(1)).alias("total_bronze"),
                                               F.count_if(~is_cancelled()).alias("total_silver"))
 
     first = counts(dated.filter("o_orderpriority = '1-URGENT'"))
-    return merge.daily_summary(first, counts(dated))
+    return merge.daily_summary(first, counts(dated)).withColumn("summary_date", day("summary_date"))
 
 
 @query("""SELECT o_custkey, o_orderkey, o_totalprice, copies FROM (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS copies,

@@ -11,7 +11,7 @@ from ..operators import geo
 from ..session import scratch_dir
 from ..sources.messages import MESSAGE
 from ..streaming import flows, rides, trails
-from ..streaming.sinks import file_writer, finish, newest_version, per_batch, put_batch
+from ..streaming.sinks import file_writer, finish, fold_latest, per_batch, put_batch, read_folded
 from .quality import SQL_RIDE_REASON
 from .quality import rides as ride_rows
 from .registry import Lake, query, real, us
@@ -134,7 +134,7 @@ def stream_dedup(lake: Lake):
 def stream_latest_table(lake: Lake):
     checkpoint, table = dirs(lake, "table")
     finish(flows.keep_latest(event_stream(lake), ["user_id"], ["ts", "event_id"], table), checkpoint)
-    return newest_version(lake.spark, table).select("user_id", "event_id", "event_type")
+    return read_folded(lake.spark, table, fold_latest(["user_id"], ["ts", "event_id"])).select("user_id", "event_id", "event_type")
 
 
 @query("""SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour,
@@ -159,18 +159,18 @@ def stream_message_upsert(lake: Lake):
     writer = flows.upsert_messages(topic, "order_id bigint, status string, amount double", ["order_id"], ["status", "amount"],
                                    bronze, silver)
     finish(writer, checkpoint)
-    return newest_version(lake.spark, silver)
+    return read_folded(lake.spark, silver, flows.message_fold(["order_id"], ["status", "amount"]))
 
 
 @query("""SELECT event_id, c_name AS full_name FROM events JOIN customer ON user_id = c_custkey WHERE c_acctbal > 0""")
 def stream_table_enrich(lake: Lake):
-    checkpoint, table, out, misses = dirs(lake, "drivers/version=0", "enriched", "misses")
-    lake("customer").filter("c_acctbal > 0").select(
-        F.col("c_custkey").alias("driver_id"), F.col("c_name").alias("full_name"), F.lit("L").alias("license_number"),
-        F.col("c_acctbal").alias("rating"), F.lit("m").alias("vehicle_make"), F.lit("x").alias("vehicle_model"),
-        F.lit(2020).alias("vehicle_year")).write.parquet(table)
-    trips = event_stream(lake).withColumn("driver_id", F.col("user_id"))
-    finish(rides.enrich(trips, table.rsplit("/", 1)[0], out, misses), checkpoint)
+    checkpoint, table, out, misses = dirs(lake, "drivers", "enriched", "misses")
+    body = F.to_json(F.struct(F.col("c_name").alias("full_name"), F.col("c_acctbal").alias("rating"), F.lit(2020).alias("vehicle_year")))
+    log = lake("customer").select(F.col("c_custkey").cast("string").alias("key"), F.when(F.col("c_acctbal") > 0, body).alias("value"),
+                                  F.lit(0).alias("partition"), F.col("c_custkey").alias("offset"))
+    put_batch(log, f"{table}/delta", 0)
+    trips = event_stream(lake).withColumn("driver_id", F.col("user_id").cast("string"))
+    finish(rides.enrich(trips, table, out, misses), checkpoint)
     return lake.spark.read.parquet(out).select("event_id", F.col("driver_name").alias("full_name"))
 
 

@@ -250,7 +250,7 @@ def active_alerts(history: DataFrame, fingerprint: str = "fingerprint", status:
 
 
 def field_changes(events: DataFrame, document: str, order_micros: str, tie: str,
-                  chunk_us: int = 86_400_000_000) -> DataFrame:
+                  chunk_us: int = 60_000_000) -> DataFrame:
     """Messages whose field set differs from the previous message, with the fields added and removed.
 
     The stream has one global order, so it is cut into time chunks: only the first and the last

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import squared_distance
 from ..functions.text import as_column, first_non_blank
-from .enrich import broadcast_if_small
+from .enrich import BROADCAST_ROWS
 
 # Beacon kinds that are aircraft, and the zone centres of the ride data.
 AIRCRAFT_BEACONS = ("aprs_aircraft", "flarm", "ogn_tracker", "fanet")
@@ -31,13 +31,15 @@ def _cell(value: Column, level: Column) -> Column:
 
 def box_join(points: DataFrame, boxes: DataFrame, lat: str = "lat", lon: str = "lon",
              bounds: Sequence[str] = ("min_lat", "max_lat", "min_lon", "max_lon"),
-             how: str = "inner") -> DataFrame:
+             broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Pairs of a point and a box around it, borders included.
 
     Every box is filed under a power-of-two grid whose cell is at least as large as the box, so it
     touches at most four cells. A point lies in exactly one cell per grid level, which makes this an
     equi-join on (level, cell) with the exact bounds checked after it: no pair is compared twice and
-    none is missed. The number of grid levels in use is bounded by the number range of a double.
+    none is missed. One small job counts the filed boxes per grid level (at most a few dozen, by the
+    number range of a double): up to ``broadcast_rows`` they are broadcast and the points stay where
+    they are, beyond that both sides are shuffled by cell and AQE splits crowded cells.
     """
     south, north, west, east = (F.col(name) for name in bounds)
     extent = F.greatest(north - south, east - west, F.lit(BASE_CELL))
@@ -47,9 +49,10 @@ def box_join(points: DataFrame, boxes: DataFrame, lat: str = "lat", lon: str = "
                      for low, high in ((south, north), (west, east)))
     filed = (filed.withColumn("__row", F.explode(rows)).withColumn("__col", F.explode(columns))
              .withColumnsRenamed({"__level": "__box_level", "__row": "__box_row", "__col": "__box_col"}))
-    levels = sorted(r[0] for r in filed.select("__box_level").distinct().collect())
-    if not levels:
-        levels = [0]
+    per_level = {row["__box_level"]: row["count"] for row in filed.groupBy("__box_level").count().collect()}
+    levels = sorted(per_level) or [0]
+    if sum(per_level.values()) <= broadcast_rows:
+        filed = F.broadcast(filed)
     placed = (points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
               .withColumn("__level", F.explode(F.array(*[F.lit(level) for level in levels])))
               .withColumns({"__row": _cell(F.col(lat), F.col("__level")),
@@ -57,7 +60,7 @@ def box_join(points: DataFrame, boxes: DataFrame, lat: str = "lat", lon: str = "
     same_cell = ((F.col("__level") == F.col("__box_level")) & (F.col("__row") == F.col("__box_row"))
                  & (F.col("__col") == F.col("__box_col")))
     inside = F.col(lat).between(south, north) & F.col(lon).between(west, east)
-    joined = placed.join(broadcast_if_small(filed), same_cell & inside, how)
+    joined = placed.join(filed, same_cell & inside)
     return joined.drop("__level", "__row", "__col", "__box_level", "__box_row", "__box_col")
 
 

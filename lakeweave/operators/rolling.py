@@ -11,13 +11,16 @@ from ..functions.temporal import micros, time_chunk
 
 
 def running_totals(df: DataFrame, key: str, time: str, tie: str, sums: dict[str, Column],
-                   count: str = "running_count", chunk_seconds: int = 86_400) -> DataFrame:
+                   count: str = "running_count", chunk_seconds: int = 3_600,
+                   chunk: Column | None = None) -> DataFrame:
     """Running sums and count per key in (time, tie) order, the current row included.
 
     A key is cut into time chunks. Chunk totals are folded map-side and turned into a prefix
     per chunk; rows are then accumulated inside their chunk only and the prefix is added.
+    Where very many rows of a key share an instant, pass ``chunk``: any expression that never
+    decreases along (time, tie), such as a struct of the time and a range number of the tie.
     """
-    chunk = time_chunk(micros(time), chunk_seconds * 1_000_000)
+    chunk = time_chunk(micros(time), chunk_seconds * 1_000_000) if chunk is None else chunk
     # a struct compares null-safely, so rows without key or time keep their own group
     part = F.struct(F.col(key).alias("key"), chunk.alias("chunk"))
     measured = df.withColumns({"__part": part} | {f"__v_{n}": c for n, c in sums.items()})

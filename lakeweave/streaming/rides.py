@@ -9,9 +9,8 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.numeric import surge_multiplier
 from ..operators.changes import changelog_table
-from ..operators.keyed import latest_by_key
 from ..plans import rides
-from .sinks import evolve, file_writer, newest_version, per_batch, put_batch
+from .sinks import add_delta, file_writer, fold_latest, per_batch, put_batch, read_folded
 
 
 def route(trips: DataFrame, clean: str, dead: str) -> DataStreamWriter:
@@ -34,7 +33,7 @@ def validate(trips: DataFrame, dead: str, counts: str, scores: str) -> DataStrea
 
 
 def enrich(trips: DataFrame, drivers: str, enriched: str, misses: str) -> DataStreamWriter:
-    """Join each micro-batch with the newest version of the driver table; unknown drivers are counted."""
+    """Join each micro-batch with the driver table as it stands; unknown drivers are counted."""
     def write(batch: DataFrame, batch_id: int) -> None:
         joined, unknown = rides.enrich(batch, current_drivers(batch.sparkSession, drivers))
         put_batch(joined, enriched, batch_id)
@@ -42,28 +41,27 @@ def enrich(trips: DataFrame, drivers: str, enriched: str, misses: str) -> DataSt
     return per_batch(trips, write)
 
 
+DRIVER_FOLD = fold_latest(["key"], ["partition", "offset"])
+SUPPLY_FOLD = fold_latest(["zone", "driver_id"], ["ts_us"])
+
+
 def current_drivers(spark: SparkSession, drivers: str) -> DataFrame:
-    """Drivers of the newest table version, parsed from their changelog messages where needed."""
-    table = newest_version(spark, drivers)
-    if table is None:
+    """Live drivers, parsed from the latest changelog message of each key."""
+    messages = read_folded(spark, drivers, DRIVER_FOLD)
+    if messages is None:
         return spark.createDataFrame([], rides.DRIVER)
-    if "value" not in table.columns:
-        return table
-    return changelog_table(table, T.StructType.fromDDL(rides.DRIVER), "driver_id")
+    return changelog_table(messages, T.StructType.fromDDL(rides.DRIVER), "driver_id")
 
 
-def driver_table(changelog: DataFrame, drivers: str) -> DataStreamWriter:
+def driver_table(changelog: DataFrame, drivers: str, compact_every: int = 50) -> DataStreamWriter:
     """Keep the driver table current from its changelog topic; an empty value removes the driver.
 
     Messages are stored as they are, tombstones included, so that a replay of older messages cannot
-    revive a removed driver; :func:`current_drivers` reads the live rows.
+    revive a removed driver.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("key", "value", "partition", "offset")
-
-        def merged(base: DataFrame | None) -> DataFrame:
-            return latest_by_key(rows if base is None else base.unionByName(rows), ["key"], ["partition", "offset"])
-        evolve(batch.sparkSession, drivers, batch_id, merged)
+        latest = DRIVER_FOLD(batch.select("key", "value", "partition", "offset"))
+        add_delta(latest, drivers, batch_id, DRIVER_FOLD, compact_every)
     return per_batch(changelog, write)
 
 
@@ -89,18 +87,16 @@ def shifts(trips: DataFrame, time: str, target: str, delay: str) -> DataStreamWr
     return file_writer(frame.withColumnsRenamed({"session_start": "shift_start", "session_end": "shift_end"}), target)
 
 
-def supply_table(pings: DataFrame, table: str) -> DataStreamWriter:
-    """Latest ping per (zone, driver) as an evolving table; only a batch's own latest pings are merged."""
+def supply_table(pings: DataFrame, table: str, compact_every: int = 50) -> DataStreamWriter:
+    """Latest ping per (zone, driver); of each batch only its own latest pings are stored."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        keys, order = ["zone", "driver_id"], ["ts_us"]
-        fresh = latest_by_key(rides.zone_pings(batch).select(*keys, "state", *order), keys, order)
-        evolve(batch.sparkSession, table, batch_id,
-               lambda base: fresh if base is None else latest_by_key(base.unionByName(fresh), keys, order))
+        fresh = rides.zone_pings(batch).select("zone", "driver_id", "state", "ts_us")
+        add_delta(SUPPLY_FOLD(fresh), table, batch_id, SUPPLY_FOLD, compact_every)
     return per_batch(pings, write)
 
 
 def idle_supply(spark: SparkSession, table: str) -> DataFrame:
-    pings = newest_version(spark, table)
+    pings = read_folded(spark, table, SUPPLY_FOLD)
     if pings is None:
         return spark.createDataFrame([], "zone string, idle bigint")
     return pings.filter("state = 'IDLE'").groupBy("zone").agg(F.count(F.lit(1)).alias("idle"))

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ..operators.keyed import first_by_key, last_n_per_key
 from ..sources.layout import table_or_none
 
 BatchWriter = Callable[[DataFrame, int], None]
+Fold = Callable[[DataFrame], DataFrame]
+BATCH = "batch_id"
 
 
 def put_batch(df: DataFrame, target: str, batch_id: int) -> None:
@@ -45,29 +49,69 @@ def file_writer(df: DataFrame, target: str, fmt: str = "parquet", partition_by:
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def version_path(table: str, version: int) -> str:
-    return f"{table}/version={version}"
-
+# --- keyed tables fed by micro-batches ------------------------------------
+#
+# Every batch appends only its own rows (``delta/batch_id=N``); reading folds the deltas over the
+# newest compacted base (``base/version=N``). A batch therefore costs what it brings, not what the
+# table holds, and files are never changed in place: a repeated batch replaces its own directory and
+# readers keep the files they opened.
+
+def fold_latest(keys: Sequence[str], order: Sequence[str], n: int = 1) -> Fold:
+    """The ``n`` newest rows per key."""
+    return lambda df: last_n_per_key(df, keys, order, n)
+
+
+def fold_first(keys: Sequence[str]) -> Fold:
+    """Insert-only: the row of the first batch that brought the key."""
+    return lambda df: first_by_key(df, keys, [BATCH])
+
+
+def fold_upsert(keys: Sequence[str], update: Sequence[str]) -> Fold:
+    """The first batch gives the row, later batches replace its ``update`` columns."""
+    def fold(df: DataFrame) -> DataFrame:
+        fixed = [c for c in df.columns if c not in (*keys, *update, BATCH)]
+        rows = df.groupBy(*keys).agg(F.min(F.struct(BATCH, *fixed)).alias("__first"),
+                                     F.max(F.struct(BATCH, *update)).alias("__last"))
+        parts = {**{c: F.col(f"__first.{c}") for c in fixed}, **{c: F.col(f"__last.{c}") for c in (*update, BATCH)}}
+        return rows.select(*[parts[c].alias(c) if c in parts else F.col(c) for c in df.columns])
+    return fold
+
+
+def complete_versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions below ``path`` whose write has finished."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = hadoop_path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    return sorted(int(status.getPath().getName().split("=")[1]) for status in fs.listStatus(folder)
+                  if fs.exists(hadoop_path(status.getPath(), "_SUCCESS")))
+
+
+def _folded(spark: SparkSession, table: str, fold: Fold, upto: int | None = None) -> DataFrame | None:
+    bases = [v for v in complete_versions(spark, f"{table}/base") if upto is None or v < upto]
+    parts = [spark.read.parquet(f"{table}/base/version={bases[-1]}")] if bases else []
+    deltas = table_or_none(spark, f"{table}/delta")
+    if deltas is not None:
+        wanted = F.col(BATCH) > (bases[-1] if bases else -1)
+        deltas = deltas.withColumn(BATCH, F.col(BATCH).cast("bigint")).filter(
+            wanted if upto is None else wanted & (F.col(BATCH) <= upto))
+        parts.append(deltas)
+    if not parts:
+        return None
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return fold(rows)
 
-def evolve(spark: SparkSession, table: str, version: int, change: Callable[[DataFrame | None], DataFrame]) -> None:
-    """Write ``version`` of a table from the version before it.
 
-    Files are never changed in place: a repeated batch starts from the same base and replaces only its
-    own output, and readers keep the version they opened.
-    """
-    base = table_or_none(spark, version_path(table, version - 1)) if version > 0 else None
-    change(base).write.mode("overwrite").parquet(version_path(table, version))
+def add_delta(df: DataFrame, table: str, batch_id: int, fold: Fold, compact_every: int = 50) -> None:
+    """Append one batch; every ``compact_every`` batches fold everything so far into a new base."""
+    put_batch(df, f"{table}/delta", batch_id)
+    if (batch_id + 1) % compact_every == 0:
+        base = _folded(df.sparkSession, table, fold, upto=batch_id).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        base.write.mode("overwrite").parquet(f"{table}/base/version={batch_id}")
 
 
-def newest_version(spark: SparkSession, table: str) -> DataFrame | None:
-    """The latest complete version of an evolving table, or None."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    done = [status.getPath() for status in fs.listStatus(path)
-            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))]
-    if not done:
-        return None
-    newest = max(done, key=lambda p: int(p.getName().split("=")[1]))
-    return spark.read.parquet(newest.toString())
+def read_folded(spark: SparkSession, table: str, fold: Fold) -> DataFrame | None:
+    """Current rows of a keyed table, or None before its first batch."""
+    rows = _folded(spark, table, fold)
+    return None if rows is None else rows.drop(BATCH)

@@ -111,6 +111,13 @@ def test_running_totals(events, chunk):
     assert collected(got, "id", "n", "total") == sorted(expected)
 
 
+def test_running_totals_split_inside_one_instant(spark):
+    df = spark.createDataFrame([("a", 5, i) for i in range(100)], "k string, s bigint, id bigint").withColumn("ts", F.timestamp_seconds("s"))
+    chunk = F.struct("ts", F.floor(F.col("id") / 7))
+    got = rolling.running_totals(df, "k", "ts", "id", {"t": F.col("id")}, "n", chunk=chunk)
+    assert collected(got, "id", "n", "t") == [(i, i + 1, i * (i + 1) // 2) for i in range(100)]
+
+
 def test_running_totals_keep_null_keys(spark):
     df = spark.createDataFrame([(None, 1, 5), (None, 2, 6), ("a", 3, 7)], "k string, s bigint, v bigint").withColumn(
         "ts", F.timestamp_seconds("s"))
@@ -223,13 +230,14 @@ def boxes_and_points(seed=11):
 
 
 @pytest.mark.parametrize("broadcast_rows", [10_000, 0])
-def test_box_join_equals_nested_loop(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(geo, "broadcast_if_small", lambda df: enrich.broadcast_if_small(df, broadcast_rows))
+def test_box_join_equals_nested_loop(spark, broadcast_rows):
     boxes, points = boxes_and_points()
     expected = sorted((p, b) for p, lat, lon in points if lat is not None
                       for b, south, north, west, east in boxes if south <= lat <= north and west <= lon <= east)
     got = geo.box_join(spark.createDataFrame(points, "p int, lat double, lon double"),
-                       spark.createDataFrame(boxes, "b int, min_lat double, max_lat double, min_lon double, max_lon double"))
+                       spark.createDataFrame(boxes, "b int, min_lat double, max_lat double, min_lon double, max_lon double"),
+                       broadcast_rows=broadcast_rows)
+    assert ("BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()) == (broadcast_rows > 0)
     assert collected(got, "p", "b") == expected and len(expected) > 100
     assert geo.box_join(spark.createDataFrame(points, "p int, lat double, lon double"), spark.createDataFrame(
         [], "b int, min_lat double, max_lat double, min_lon double, max_lon double")).count() == 0

@@ -150,21 +150,39 @@ def test_message_upsert_and_insert_only(spark, tmp_path):
         writer = flows.upsert_messages(messages.stream_message_files(spark, str(source), 1), "order_id bigint, status string, amount double", ["order_id"],
                                        ["status", "amount"], str(base / "bronze"), str(base / "silver"), insert_only)
         sinks.finish(writer, str(base / "c"))
-        assert collected(sinks.newest_version(spark, str(base / "silver")), "order_id", "status", "amount") == expected
+        fold = flows.message_fold(["order_id"], ["status", "amount"], insert_only)
+        assert collected(sinks.read_folded(spark, str(base / "silver"), fold), "order_id", "status", "amount") == expected
         assert spark.read.parquet(str(base / "bronze")).count() == 6
 
 
+@pytest.mark.parametrize("compact_every", [1, 2, 3, 100])
+def test_keyed_table_folds_batches_in_any_compaction(spark, tmp_path, compact_every):
+    """Upserts over seven batches, some repeated as after a failure, against a dictionary."""
+    table, fold, state = str(tmp_path / "t"), sinks.fold_upsert(["k"], ["v"]), {}
+    for batch in range(7):
+        rows = [(k, f"made in {batch}", k * 100 + batch) for k in range(batch % 3, 6, 2)]
+        for k, note, v in rows:
+            state[k] = (state.get(k, (note,))[0], v)
+        df = spark.createDataFrame(rows, "k int, note string, v int")
+        for _ in range(1 + batch % 2):
+            sinks.add_delta(df, table, batch, fold, compact_every)
+        got = {r["k"]: (r["note"], r["v"]) for r in sinks.read_folded(spark, table, fold).collect()}
+        assert got == state
+
+
+def test_trail_table_keeps_last_n(spark, tmp_path):
+    table, fold = str(tmp_path / "t"), sinks.fold_latest(["k"], ["ts"], 3)
+    for batch in range(4):
+        df = spark.createDataFrame([(k, batch * 10 + i) for k in ("a", "b") for i in range(2)], "k string, ts int")
+        sinks.add_delta(fold(df), table, batch, fold, 2)
+    assert collected(sinks.read_folded(spark, table, fold), "k", "ts") == [(k, t) for k in ("a", "b") for t in (21, 30, 31)]
+    assert sinks.read_folded(spark, str(tmp_path / "nothing"), fold) is None
+
+
 def test_repeated_batch_changes_nothing(spark, tmp_path):
-    table = str(tmp_path / "table")
-    add = lambda n: (lambda base: spark.range(n) if base is None else base.union(spark.range(n)))
-    sinks.evolve(spark, table, 0, add(2))
-    for _ in range(3):
-        sinks.evolve(spark, table, 1, add(3))
-    assert sinks.newest_version(spark, table).count() == 5
     for _ in range(2):
         sinks.put_batch(spark.range(4), str(tmp_path / "batches"), 7)
     assert spark.read.parquet(str(tmp_path / "batches")).count() == 4
-    assert sinks.newest_version(spark, str(tmp_path / "nothing")) is None
 
 
 def test_events_are_acted_on_once(spark, tmp_path):

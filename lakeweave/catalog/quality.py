@@ -193,6 +193,19 @@ def rate_alerts(lake: Lake):
                                         ("Active", F.col("per_second") > 0.0005, "info")])
 
 
+@query("""WITH m AS (SELECT max(ts) AS m FROM events), r AS (SELECT CASE event_type WHEN 'view' THEN 'noaa.freshness' ELSE event_type END AS rule,
+    value > 20 AS failed, (epoch_us(m) - epoch_us(ts)) / 60000000.0 AS age FROM events, m WHERE ts >= m - INTERVAL 900 MINUTE)
+SELECT rule, 'QualityRuleFailing' AS alert, 'warning' AS severity FROM r WHERE failed AND age <= 600 GROUP BY 1
+UNION ALL SELECT rule, 'IngestorStale', 'critical' FROM r WHERE failed AND rule LIKE '%.freshness' GROUP BY 1
+UNION ALL SELECT '*', 'NoQualityResults', 'warning' WHERE (SELECT count(*) FROM r) = 0""")
+def result_alerts(lake: Lake):
+    rows = lake("events")
+    results = rows.select(F.expr("CASE event_type WHEN 'view' THEN 'noaa.freshness' ELSE event_type END").alias("rule"),
+                          F.when(F.col("value") > 20, "FAIL").otherwise("PASS").alias("status"), F.col("ts").alias("checked_at"))
+    return quality.result_alerts(results, rows.agg(F.max("ts").alias("m")).scalar(),
+                                 fail_minutes=600, silent_minutes=900)
+
+
 @query("""SELECT event_id, event_type AS change, CASE WHEN event_type = 'error' THEN 'REJECT' ELSE 'ACCEPT' END AS decision FROM events""")
 def schema_decisions(lake: Lake):
     proposals = lake("events").select("event_id", F.col("event_type").alias("change"), F.expr(

@@ -12,6 +12,7 @@ from ..session import scratch_dir
 from ..sources.messages import MESSAGE
 from ..streaming import flows, rides, trails
 from ..streaming.sinks import file_writer, finish, fold_latest, per_batch, put_batch, read_folded
+from .geo import SQL_ZONE
 from .quality import SQL_RIDE_REASON
 from .quality import rides as ride_rows
 from .registry import Lake, query, real, us
@@ -192,9 +193,19 @@ def stream_trail_state(lake: Lake):
     return lake.spark.read.parquet(out).filter("status = 'active'").select("key", F.col("points").cast("bigint").alias("points"), "ts_ms")
 
 
-@query(name="stream_surge")
+@query(f"""WITH p AS (SELECT event_id, user_id, event_type, ts, 40.5::DOUBLE + (event_id % 400)::DOUBLE / 1000 AS lat,
+    -74.2::DOUBLE + ((event_id * 31) % 500)::DOUBLE / 1000 AS lon FROM events),
+  z AS (SELECT *, {SQL_ZONE} AS zone FROM p),
+  supply AS (SELECT zone, count(*) AS idle FROM (SELECT zone, event_type, row_number() OVER (PARTITION BY zone, user_id ORDER BY ts DESC) AS rn
+    FROM z WHERE event_type <> 'purchase') WHERE rn = 1 AND event_type = 'view' GROUP BY 1),
+  demand AS (SELECT zone, w + 60000000 AS window_ts, count(*) AS trips FROM (SELECT zone,
+    unnest([epoch_us(ts) // 30000000 * 30000000, epoch_us(ts) // 30000000 * 30000000 - 30000000]) AS w FROM z WHERE event_type = 'purchase') GROUP BY 1, 2)
+SELECT zone, window_ts, trips AS trips_per_min, COALESCE(idle, 0) AS idle_drivers, CASE WHEN COALESCE(idle, 0) = 0 THEN 3.0::DOUBLE
+  WHEN trips / greatest(COALESCE(idle, 0), 1) < 0.5 THEN 1.0 WHEN trips / greatest(COALESCE(idle, 0), 1) < 1.0 THEN 1.2
+  WHEN trips / greatest(COALESCE(idle, 0), 1) < 2.0 THEN 1.6 WHEN trips / greatest(COALESCE(idle, 0), 1) < 3.0 THEN 2.0 ELSE 2.5 END AS surge_multiplier
+FROM demand LEFT JOIN supply USING (zone)""")
 def stream_surge(lake: Lake):
-    """Demand windows priced against the idle supply of the same events (rows only: emits per update)."""
+    """Demand windows priced against the idle supply of the same events."""
     checkpoint, supply, out = dirs(lake, "supply", "surge")
     events = event_stream(lake).withColumns({
         "lat": F.lit(40.5) + (F.col("event_id") % 400) / 1000, "lon": F.lit(-74.2) + ((F.col("event_id") * 31) % 500) / 1000,

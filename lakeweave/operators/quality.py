@@ -316,3 +316,20 @@ def standing_alerts() -> list[tuple[str, Column, str]]:
     return [("HighErrorRate", F.col("invalid_per_second") > 5, "warning"),
             ("SurgeActive", F.col("surge_multiplier") > 1.5, "info"),
             ("DeadLetterBacklog", F.col("dlq_size") > 100, "warning")]
+
+
+def result_alerts(results: DataFrame, as_of: Column, checked_at: str = "checked_at", fail_minutes: float = 10,
+                  silent_minutes: float = 15) -> DataFrame:
+    """Alerts on stored rule results: rules failing within ``fail_minutes``, freshness rules failing within
+    ``silent_minutes``, and one row when no result at all arrived within ``silent_minutes``."""
+    failed = F.col("status") == FAIL
+    age = minutes_between(as_of, F.col(checked_at))
+    recent = results.withColumn("__age", age).filter(F.col("__age").between(0, silent_minutes))
+    per_rule = recent.groupBy("rule").agg(F.count_if(failed & (F.col("__age") <= fail_minutes)).alias("failing"),
+                                          F.count_if(failed).alias("stale"))
+    named = alert_rows(per_rule, [
+        ("QualityRuleFailing", F.col("failing") > 0, "warning"),
+        ("IngestorStale", F.col("rule").endswith(".freshness") & (F.col("stale") > 0), "critical")])
+    silent = recent.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == 0)
+    return named.select("rule", "alert", "severity").unionByName(silent.select(
+        F.lit("*").alias("rule"), F.lit("NoQualityResults").alias("alert"), F.lit("warning").alias("severity")))

@@ -12,6 +12,7 @@ from ..operators import geo, quality
 from ..operators.changes import LATE_MS, late_cutoff, unify_flat_time
 from ..operators.enrich import default_if_empty
 from ..operators.keyed import latest_by_key, latest_known, latest_with_ties, top_n
+from ..sources.files import lake_format, read_recent, with_arrival
 from ..sources.layout import land_daily, table_or_none, write_snapshot
 
 HOUR_MS = 3_600_000
@@ -54,6 +55,14 @@ def stage_metrics(entity: str, rows: DataFrame, key: str, time: str = "ts_ms", h
                       (F.col("rows_in") - F.col("rows_out") - F.col("late_dropped")).alias("dedup_dropped"))
 
 
+def read_bronze(spark: SparkSession, bronze: str, schemas: dict[str, str], modified_after: str,
+                fmt: str | None = None) -> dict[str, DataFrame]:
+    """Rows of every entity from the files changed after ``modified_after``, with their arrival order."""
+    chosen = fmt or lake_format(spark)
+    return {entity: with_arrival(read_recent(spark, f"{bronze}/{entity}", schema, modified_after, chosen))
+            for entity, schema in schemas.items()}
+
+
 def drop_deleted(rows: DataFrame, keep_deleted: bool = False) -> DataFrame:
     """Remove keys whose latest change is a delete."""
     if keep_deleted or "__deleted" not in rows.columns:

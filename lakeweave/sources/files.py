@@ -43,6 +43,13 @@ def read_recent(spark: SparkSession, path: str, schema: Schema, modified_after:
             .option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).load(path))
 
 
+def with_arrival(df: DataFrame, name: str = "_arrival") -> DataFrame:
+    """Order in which a file scan's rows arrived: file time, then path and place in the file."""
+    meta = F.col("_metadata")
+    return df.select("*", F.struct(meta["file_modification_time"].alias("changed"), meta["file_path"].alias("path"),
+                                   meta["file_block_start"].alias("block")).alias(name))
+
+
 def avro_available(spark: SparkSession) -> bool:
     jvm = spark.sparkContext._jvm
     try:

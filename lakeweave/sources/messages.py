@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 MESSAGE = ("key string, value string, topic string, partition int, offset bigint, timestamp timestamp")
 RUN_ID = "_lab_run_id"
@@ -56,6 +57,12 @@ def write_topic(df: DataFrame, servers: str, topic: str, key: Column | str) -> N
      .option("kafka.enable.idempotence", "true").option("kafka.acks", "all").save())
 
 
+def stream_to_topic(df: DataFrame, servers: str, topic: str, key: Column | str) -> DataStreamWriter:
+    """Streaming form of :func:`write_topic`; at least once, so consumers key on the message."""
+    return (as_messages(df, key).writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+            .option("topic", topic).option("kafka.compression.type", "snappy"))
+
+
 def parse_messages(messages: DataFrame, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
     """(parsed rows with their message position, messages that are empty or no JSON object)."""
     good = F.json_object_keys("value").isNotNull()

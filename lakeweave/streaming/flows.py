@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.temporal import partition_parts
 from ..operators import keyed, merge, quality
+from ..plans import record_jobs
 from ..sources.layout import HOURLY, table_or_none
 from ..sources.messages import parse_messages, position_columns
 from .sinks import Fold, add_delta, file_writer, fold_first, fold_latest, fold_upsert, per_batch, put_batch
@@ -64,6 +65,15 @@ def upsert_messages(topic: DataFrame, schema: str, keys: Sequence[str], update:
     return per_batch(topic, write)
 
 
+def order_event_batches(topic: DataFrame, clean: str, totals: str) -> DataStreamWriter:
+    """Per micro-batch: clean NEW order messages, and customer totals of that batch, ready to publish."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        orders, sums = record_jobs.event_batch(batch)
+        put_batch(orders, clean, batch_id)
+        put_batch(sums, totals, batch_id)
+    return per_batch(topic, write)
+
+
 def act_once(df: DataFrame, event_id: str, notice: Column, log: str) -> DataStreamWriter:
     """Act on each event id and log it; a batch that failed stays pending and is taken again.
 

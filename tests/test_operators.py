@@ -339,3 +339,36 @@ def test_daily_sales_null_customers(spark):
 def test_global_kpis_of_empty_table(spark):
     empty = spark.createDataFrame([], "c int, v double")
     assert tuple(agg.global_kpis(empty, "c", F.col("v")).first()) == (0, 0, 0.0, 0.0, 0.0)
+
+
+def test_result_alerts(spark):
+    at = lambda minute: f"2026-01-01 10:{minute:02d}:00"
+    rows = [("a", "FAIL", at(25)), ("a", "FAIL", at(12)), ("x.freshness", "FAIL", at(17)), ("b", "PASS", at(29)), ("c", "FAIL", at(40))]
+    results = spark.createDataFrame(rows, "rule string, status string, t string").withColumn("checked_at", F.to_timestamp("t"))
+    now = F.to_timestamp(F.lit(at(30)))
+    assert collected(quality.result_alerts(results, now), "rule", "alert") == [("a", "QualityRuleFailing"), ("x.freshness", "IngestorStale")]
+    assert collected(quality.result_alerts(results.filter("rule = 'c'"), now), "rule", "alert") == [("*", "NoQualityResults")]
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """One key holds a third of all rows: after each operator no task may hold more than a fraction of it."""
+    n = 60_000
+    key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))
+    df = spark.range(0, n, numPartitions=64).select("id", key.alias("key"), (F.col("id") * 7 % 1_000_003).alias("s")).withColumn(
+        "ts", F.timestamp_seconds("s"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        results = {
+            "flag": keyed.flag_duplicates(df, ["key"], ["s", "id"]),
+            "running": rolling.running_totals(df, "key", "ts", "id", {"t": F.col("id")}),
+            "trailing": rolling.trailing_range(df, ["key"], "ts", 60, {"c": F.count(F.lit(1))}),
+        }
+        for name, result in results.items():
+            sizes = [r[0] for r in result.groupBy(F.spark_partition_id().alias("p")).count().select("count").collect()]
+            assert sum(sizes) == n and max(sizes) < n * 0.06, (name, max(sizes))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

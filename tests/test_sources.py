@@ -182,3 +182,15 @@ def test_run_log_and_inventory(spark, tmp_path):
     found = layout.source_inventory(spark, {"a": ("csv", str(tmp_path / "a.csv")), "b": ("csv", str(tmp_path / "b.csv"))})
     assert collected(found, "source", "exists", "row_count") == [("a", True, 2), ("b", False, 0)]
     assert json.dumps(found.columns) == '["source", "exists", "row_count"]'
+
+
+def test_bronze_read_to_silver(spark, tmp_path):
+    """Two loads of a key with equal times: the later file wins."""
+    schema = "event_id string, ts_ms bigint, ingested_ms bigint, magnitude double"
+    for i, magnitude in enumerate((1.0, 2.0)):
+        spark.createDataFrame([("q", 10, 10, magnitude)], schema).coalesce(1).write.parquet(str(tmp_path / "bronze" / "seismic_events" / str(i)))
+        for path in (tmp_path / "bronze" / "seismic_events" / str(i)).glob("*.parquet"):
+            os.utime(path, (time.time() - 60 + i, time.time() - 60 + i))
+    bronze = geo_lake.read_bronze(spark, str(tmp_path / "bronze"), {"seismic_events": schema}, "2020-01-01T00:00:00", "parquet")
+    geo_lake.build_silver(spark, bronze, str(tmp_path / "silver"), "2026-01-01 00:00:00")
+    assert collected(geo_lake.silver_table(spark, str(tmp_path / "silver"), "seismic_events"), "event_id", "magnitude") == [("q", 2.0)]

@@ -233,3 +233,17 @@ def test_running_state_and_dedup(spark, folder, tmp_path):
     sinks.finish(sinks.per_batch(frame, lambda b, i: sinks.put_batch(b, totals, i)).outputMode("update"), str(tmp_path / "c2"))
     stored = spark.read.parquet(totals)
     assert stored.filter("pickup_zone = 'MIDTOWN'").agg(F.max("events_processed")).first()[0] == 9
+
+
+def test_order_event_batches(spark, tmp_path):
+    source = tmp_path / "topic"
+    source.mkdir()
+    order = lambda o, c, status, amount, offset: json.dumps({"key": "k", "topic": "t", "partition": 0, "offset": offset, "value": json.dumps(
+        {"order_id": o, "customer_id": c, "status": status, "amount": amount})}) + "\n"
+    (source / "0.json").write_text(order(1, 7, "NEW", 5, 0) + order(1, 7, "NEW", 6, 1) + order(2, 7, "UPDATED", 9, 2))
+    (source / "1.json").write_text(order(3, 7, "new", 1.5, 3))
+    in_order(source)
+    clean, totals = str(tmp_path / "clean"), str(tmp_path / "totals")
+    sinks.finish(flows.order_event_batches(messages.stream_message_files(spark, str(source), 1), clean, totals), str(tmp_path / "c"))
+    assert collected(spark.read.parquet(clean), "key", "batch_id") == [("1", 0), ("3", 1)]
+    assert collected(spark.read.parquet(totals), "key", F.get_json_object("value", "$.total_amount")) == [("7", "1.5"), ("7", "5.0")]

@@ -54,10 +54,10 @@ def hourly_landing(lake: Lake):
 
 @query("SELECT event_id, value, CAST(day(ts) AS BIGINT) AS day FROM events")
 def daily_rewrite(lake: Lake):
-    """The same days landed twice: nothing is added."""
+    """Two runs, the first repeated: nothing is added twice and neither run removes the other."""
     path = out(lake, "daily")
-    layout.land_daily(lake("events"), path, "ts")
-    layout.land_daily(lake("events").filter("event_type <> 'nothing'"), path, "ts")
+    for run_id, condition in (("a", "value < 10"), ("b", "value >= 10"), ("a", "value < 10")):
+        layout.land_daily(lake("events").filter(condition), path, "ts", run_id)
     return lake.spark.read.parquet(path).select("event_id", "value", whole("day").alias("day"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,19 +73,20 @@ def drop_deleted(rows: DataFrame, keep_deleted: bool = False) -> DataFrame:
 
 def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], silver: str, loaded_at: str,
                  keep_deleted: bool = False) -> DataFrame:
-    """Write every entity's silver day and its metrics; one failing entity does not stop the others.
+    """Add every entity's rows of this run to its silver day, and metrics; one failing entity does not
+    stop the others. ``loaded_at`` also names the run, so a repeated run replaces itself.
 
     Returns (entity, status, detail).
     """
-    outcome = []
+    outcome, run_id = [], re.sub(r"\D", "", loaded_at)
     for entity, rows in bronze.items():
         key, captured = ENTITIES[entity]
         try:
             staged = unify_flat_time(rows) if captured else rows
             conformed = drop_deleted(conform_entity(staged, key), keep_deleted and captured)
-            land_daily(conformed.drop("_arrival"), f"{silver}/{entity}", F.lit(loaded_at).cast("timestamp"))
+            land_daily(conformed.drop("_arrival"), f"{silver}/{entity}", F.lit(loaded_at).cast("timestamp"), run_id)
             metrics = stage_metrics(entity, staged, key).withColumn("ran_at", F.lit(loaded_at))
-            metrics.write.mode("append").parquet(f"{silver}/_quality/{entity}")
+            metrics.write.mode("overwrite").parquet(f"{silver}/_quality/{entity}/run={run_id}")
             outcome.append((entity, "ok", ""))
         except Exception as error:  # isolation per entity is the contract of this job
             outcome.append((entity, "failed", f"{type(error).__name__}: {str(error)[:500]}"))
@@ -97,7 +99,7 @@ def silver_table(spark: SparkSession, silver: str, entity: str) -> DataFrame | N
     if table is None:
         return None
     key, _ = ENTITIES[entity]
-    order = [name for name in ("ts_ms", "updated_at", "year", "month", "day") if name in table.columns]
+    order = [name for name in ("ts_ms", "updated_at", "run") if name in table.columns]
     return latest_by_key(table, [key], order)
 
 
@@ -215,7 +217,7 @@ def check_silver(spark: SparkSession, silver: str, now_ms: Column) -> DataFrame:
     """Standing dataset rules over the silver tables that exist."""
     results = None
     for entity in ("seismic_events", "noaa_observations", "ogn_positions", "regions"):
-        table = table_or_none(spark, f"{silver}/{entity}")
+        table = silver_table(spark, silver, entity)
         if table is None:
             continue
         cutoff = late_cutoff(table, "ts_ms", LATE_MS) if entity == "ogn_positions" else None

@@ -45,14 +45,21 @@ def current_inventory(bronze: DataFrame) -> DataFrame:
                         F.col("source_pos").alias("last_source_pos"))
 
 
-def shipments(bronze: DataFrame, orders: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid shipments, rejected shipments with their errors)."""
+def checked_shipments(bronze: DataFrame, orders: DataFrame) -> DataFrame:
+    """Shipments with the list of rules they break; an order must be among the current ones."""
     known = orders.select(F.col("order_id").cast("string").alias("known_id"))
     checked = with_membership(bronze, known, "order_id", "known_id", "__known")
-    rules = quality.shipment_rules("__known")
-    valid, _ = quality.split_valid(checked, F.size(quality.errors_array(rules)) == 0)
-    rejected = quality.nested_rejects(checked, rules, "logistics_batch", record=bronze.columns)
-    return valid.select("shipment_id", "order_id", "carrier", "status", "event_ts"), rejected
+    return quality.with_errors(checked, quality.shipment_rules("__known"), "errors").drop("__known")
+
+
+def valid_shipments(checked: DataFrame) -> DataFrame:
+    return checked.filter("is_valid").select("shipment_id", "order_id", "carrier", "status", "event_ts")
+
+
+def rejected_shipments(checked: DataFrame) -> DataFrame:
+    record = [name for name in checked.columns if name not in ("errors", "is_valid")]
+    return checked.filter("NOT is_valid").select(F.lit("logistics_batch").alias("source"), "errors",
+                                                 F.struct(*record).alias("record"))
 
 
 def customer_dimension(customers: DataFrame) -> DataFrame:
@@ -116,9 +123,10 @@ def run(spark: SparkSession, inputs: str, outputs: str, orders: DataFrame | None
     files.write_table(current, f"{outputs}/silver/orders_current")
     files.write_table(duplicates, f"{outputs}/quarantine/duplicate_events")
     current = spark.read.parquet(f"{outputs}/silver/orders_current")
-    valid, rejected = shipments(stored["logistics_batch"], current)
-    files.write_table(valid, f"{outputs}/silver/shipments_valid")
-    files.write_table(rejected, f"{outputs}/quarantine/dlq_logistics")
+    files.write_table(checked_shipments(stored["logistics_batch"], current), f"{outputs}/silver/shipments_checked")
+    checked = spark.read.parquet(f"{outputs}/silver/shipments_checked")
+    files.write_table(valid_shipments(checked), f"{outputs}/silver/shipments_valid")
+    files.write_table(rejected_shipments(checked), f"{outputs}/quarantine/dlq_logistics")
     files.write_table(customer_dimension(customers), f"{outputs}/silver/dim_customer")
     files.write_table(order_facts(current, customers), f"{outputs}/silver/fact_orders")
     facts = spark.read.parquet(f"{outputs}/silver/fact_orders")

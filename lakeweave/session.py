@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -15,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -23,17 +26,29 @@ DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+TASK_BYTES = 256 * 1024 * 1024
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def build_session(app_name: str, master: str | None = None, **overrides: str) -> SparkSession:
-    """Session with the library defaults; ``overrides`` use ``__`` for dots."""
+def sized_for(shuffle_bytes: int, cores: int, task_bytes: int = TASK_BYTES) -> dict[str, str]:
+    """Settings for a job that shuffles about ``shuffle_bytes`` on ``cores`` executor cores.
+
+    Enough shuffle partitions for each to hold ``task_bytes``, at least two waves per core; AQE joins
+    those that turn out small.
+    """
+    partitions = max(2 * cores, math.ceil(shuffle_bytes / task_bytes))
+    return {"spark.sql.shuffle.partitions": str(partitions),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes)}
+
+
+def build_session(app_name: str, master: str | None = None, settings: dict[str, str] | None = None,
+                  **overrides: str) -> SparkSession:
+    """Session with the library defaults, then ``settings``, then ``overrides`` with ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULTS)
-    settings.update({key.replace("__", "."): value for key, value in overrides.items()})
-    for key, value in settings.items():
+    chosen = DEFAULTS | (settings or {}) | {key.replace("__", "."): value for key, value in overrides.items()}
+    for key, value in chosen.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -24,10 +24,14 @@ def land_hourly(df: DataFrame, path: str, time: Column | str, fmt: str = "parque
     _by_parts(df, time, hour=True).write.format(fmt).mode(mode).partitionBy(*HOURLY).save(path)
 
 
-def land_daily(df: DataFrame, path: str, time: Column | str, fmt: str = "parquet") -> None:
-    """Replace only the days present in ``df``: running the same input twice changes nothing."""
-    (_by_parts(df, time, hour=False).write.format(fmt).mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*DAILY).save(path))
+def land_daily(df: DataFrame, path: str, time: Column | str, run_id: str, fmt: str = "parquet") -> None:
+    """Add one run's rows under ``year=/month=/day=/run=``.
+
+    Other runs of the same day stay; repeating a run replaces only its own directories.
+    """
+    parted = _by_parts(df, time, hour=False).withColumn("run", F.lit(run_id))
+    (parted.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*DAILY, "run").save(path))
 
 
 def _by_parts(df: DataFrame, time: Column | str, hour: bool) -> DataFrame:

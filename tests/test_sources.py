@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeweave.plans import geo_lake
-from lakeweave.session import scratch_dir
+from lakeweave.session import scratch_dir, sized_for
 from lakeweave.sources import files, jdbc, layout, messages
 
 
@@ -73,14 +73,14 @@ def test_messages_parse_reject_and_rekey(spark):
     assert collected(messages.as_messages(parsed.select("a"), "a"), "key", "value") == [("1", '{"a":1}'), ("2", '{"a":2}')]
 
 
-def test_daily_landing_is_idempotent_and_keeps_other_days(spark, tmp_path):
+def test_daily_landing_is_idempotent_and_keeps_other_runs(spark, tmp_path):
     days = spark.createDataFrame([(1, "2024-01-01 05:00:00"), (2, "2024-01-02 06:00:00")], "id int, t string").withColumn(
         "ts", F.to_timestamp("t"))
     path = str(tmp_path / "daily")
     for _ in range(2):
-        layout.land_daily(days, path, "ts")
-    layout.land_daily(days.filter("id = 2"), path, "ts")
-    assert collected(spark.read.parquet(path), "id", "day") == [(1, 1), (2, 2)]
+        layout.land_daily(days, path, "ts", "run1")
+    layout.land_daily(days.filter("id = 2").withColumn("id", F.lit(3)), path, "ts", "run2")
+    assert collected(spark.read.parquet(path), "id", "day") == [(1, 1), (2, 2), (3, 2)]
 
 
 def test_missing_table_is_none_but_other_errors_are_raised(spark, tmp_path):
@@ -96,6 +96,11 @@ def test_scratch_dir_follows_the_shared_folder(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_shuffle_sizing():
+    assert sized_for(100 * 10**12, 8000)["spark.sql.shuffle.partitions"] == "372530"
+    assert sized_for(10**9, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
 REGIONS = [(1, "JFK", "US", "airport", 40.55, 40.78, -73.95, -73.65, "KJFK", True, 10, False),
            (2, "Metro", "US", "metro", 40.45, 41.05, -74.30, -73.55, None, True, 10, False),
            (3, "Closed", "US", "metro", 40.0, 41.0, -75.0, -73.0, None, False, 10, False),

@@ -51,12 +51,13 @@ def trailing_range(df: DataFrame, keys: Sequence[str], time: str, seconds: float
     span, width = int(seconds * 1_000_000), chunk_seconds * 1_000_000
     home = time_chunk(F.col("__us"), width)
     last = time_chunk(F.col("__us") + F.lit(span), width)
-    spread = (df.withColumn("__us", micros(time)).filter(F.col("__us").isNotNull())
-              .withColumn("__home", home)
-              .withColumn("__chunk", F.explode(F.sequence("__home", last))))
+    # rows without a time form a chunk of their own
+    chunks = F.coalesce(F.sequence("__home", last), F.array(F.lit(None).cast("bigint")))
+    spread = (df.withColumn("__us", micros(time)).withColumn("__home", home)
+              .withColumn("__chunk", F.explode(chunks)))
     window = Window.partitionBy(*keys, "__chunk").orderBy("__us").rangeBetween(-span, Window.currentRow)
     return (spread.select("*", *[column.over(window).alias(name) for name, column in measures.items()])
-            .filter(F.col("__chunk") == F.col("__home"))
+            .filter(F.col("__chunk").eqNullSafe(F.col("__home")))
             .select(*df.columns, *measures))
 
 
@@ -72,6 +73,7 @@ def windowed(df: DataFrame, keys: Sequence[str], time: str, size: str, aggregate
 def session_totals(df: DataFrame, key: str, time: str, gap_seconds: int,
                    sums: dict[str, Column], count: str = "events") -> DataFrame:
     """Sessions per key: start, last event, event count and sums; a pause of exactly the gap joins.
+    Rows without key or time belong to no session.
 
     Events of one gap-wide slot always share a session, so each (key, slot) is folded map-side
     first and only slot rows are ordered per key: hot keys cost slots, not events.

@@ -133,6 +133,12 @@ def test_trailing_range(events, seconds, chunk):
     assert collected(got, "id", "n", "total") == sorted(expected)
 
 
+def test_trailing_range_keeps_rows_without_time(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", None, 2), ("a", 5, 4)], "k string, s bigint, v int").withColumn("ts", F.timestamp_seconds("s"))
+    got = rolling.trailing_range(df, ["k"], "ts", 60, {"total": F.sum("v")})
+    assert collected(got, "v", "total") == [(1, 3), (2, 3), (4, 4)]
+
+
 @pytest.mark.parametrize("gap", [1, 20, 300])
 def test_sessions(events, gap):
     rows, df = events

@@ -15,29 +15,27 @@ def running_totals(df: DataFrame, key: str, time: str, tie: str, sums: dict[str,
                    chunk: Column | None = None) -> DataFrame:
     """Running sums and count per key in (time, tie) order, the current row included.
 
-    A key is cut into time chunks. Chunk totals are folded map-side and turned into a prefix
-    per chunk; rows are then accumulated inside their chunk only and the prefix is added.
+    A key is cut into time chunks. Chunk totals are folded map-side, and each chunk gets one more
+    row at its start that carries the totals of the chunks before it; rows are then accumulated
+    inside their chunk only, in a single shuffle and without a join.
     Where very many rows of a key share an instant, pass ``chunk``: any expression that never
     decreases along (time, tie), such as a struct of the time and a range number of the tie.
     """
     chunk = time_chunk(micros(time), chunk_seconds * 1_000_000) if chunk is None else chunk
-    # a struct compares null-safely, so rows without key or time keep their own group
-    part = F.struct(F.col(key).alias("key"), chunk.alias("chunk"))
-    measured = df.withColumns({"__part": part} | {f"__v_{n}": c for n, c in sums.items()})
-    totals = measured.groupBy("__part").agg(
-        F.count(F.lit(1)).alias("__n"), *[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in sums])
-    earlier = Window.partitionBy("__part.key").orderBy("__part.chunk").rowsBetween(
-        Window.unboundedPreceding, -1)
-    prefix = totals.select(
-        F.col("__part").alias("__prefix_of"),
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__n0"),
-        *[F.coalesce(F.sum(f"__t_{n}").over(earlier), F.lit(0)).alias(f"__p_{n}") for n in sums])
-    inside = Window.partitionBy("__part").orderBy(time, tie).rowsBetween(
+    values = [f"__v_{name}" for name in sums]
+    rows = df.withColumns({"__chunk": chunk, "__n": F.lit(1).cast("bigint"), "__row": F.lit(1)}
+                          | {f"__v_{name}": column for name, column in sums.items()})
+    totals = rows.groupBy(key, "__chunk").agg(F.sum("__n").alias("__n"), *[F.sum(v).alias(v) for v in values])
+    earlier = Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(key, "__chunk", F.lit(0).alias("__row"),
+                            *[F.sum(v).over(earlier).alias(v) for v in ("__n", *values)])
+    inside = Window.partitionBy(key, "__chunk").orderBy("__row", time, tie).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    results = {count: F.col("__n0") + F.count(F.lit(1)).over(inside)}
-    results |= {n: F.col(f"__p_{n}") + F.coalesce(F.sum(f"__v_{n}").over(inside), F.lit(0)) for n in sums}
-    return measured.join(prefix, F.col("__part") == F.col("__prefix_of")).select(
-        *df.columns, *[column.alias(name) for name, column in results.items()])
+    total = lambda v: F.coalesce(F.sum(v).over(inside), F.lit(0))
+    return (rows.unionByName(carried, allowMissingColumns=True)
+            .select("__row", *df.columns, total("__n").alias(count),
+                    *[total(f"__v_{name}").alias(name) for name in sums])
+            .filter(F.col("__row") == 1).drop("__row"))
 
 
 def trailing_range(df: DataFrame, keys: Sequence[str], time: str, seconds: float,

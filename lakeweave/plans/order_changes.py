@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
 from ..operators import changes, quality
-from ..operators.enrich import lookup, with_membership
+from ..operators.enrich import last_row_wins, lookup, with_membership
 from ..sources import files, messages
 from ..sources.layout import table_or_none
 
@@ -117,7 +117,8 @@ def run(spark: SparkSession, inputs: str, outputs: str, orders: DataFrame | None
     for name, df in bronze.items():
         files.write_table(df, f"{outputs}/bronze/{name}")
     stored = {name: spark.read.parquet(f"{outputs}/bronze/{name}") for name in bronze}
-    customers = files.read_csv(spark, f"{inputs}/customers.csv", CUSTOMER)
+    loaded = files.with_row_order(files.read_csv(spark, f"{inputs}/customers.csv", CUSTOMER))
+    customers = last_row_wins(loaded, ["customer_id"], ["_row"])
 
     current, duplicates = current_orders(stored["orders_cdc"])
     files.write_table(current, f"{outputs}/silver/orders_current")

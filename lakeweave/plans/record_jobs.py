@@ -69,7 +69,7 @@ def run(spark: SparkSession, source: str, target: str) -> dict[str, DataFrame]:
     """File jobs: clean customers with rejects, enriched orders."""
     clean, rejected = clean_customers(files.read_csv(spark, f"{source}/customers.csv", CUSTOMER, trim=True))
     enriched = enrich_orders(files.read_csv(spark, f"{source}/orders.csv", ORDER, trim=True),
-                             files.read_csv(spark, f"{source}/products.csv", PRODUCT, trim=True))
+                             files.with_row_order(files.read_csv(spark, f"{source}/products.csv", PRODUCT, trim=True)), ["_row"])
     results = {"customers_clean": clean, "customers_rejected": rejected, "orders_enriched": enriched}
     for name, df in results.items():
         files.write_table(df, f"{target}/{name}", fmt="csv", header="true")

@@ -79,7 +79,7 @@ def surge_table(trips: DataFrame, pings: DataFrame, as_of_us: Column, horizon_us
 
     A driver is idle in a zone while the latest ping there says so, also after moving on.
     """
-    in_window = F.col("ts_us") >= as_of_us - F.lit(horizon_us)
+    in_window = F.col("ts_us").between(as_of_us - F.lit(horizon_us), as_of_us)
     demand = (trips.filter(F.col("pickup_zone") != "").groupBy(F.col("pickup_zone").alias("zone"))
               .agg(F.count_if(in_window).alias("trips_per_min")))
     latest = top_per_key(pings, ["zone", "driver_id"], newest(*order))
@@ -87,3 +87,34 @@ def surge_table(trips: DataFrame, pings: DataFrame, as_of_us: Column, horizon_us
     joined = demand.join(supply, "zone", "left").withColumn("idle_drivers", F.coalesce("idle", F.lit(0)))
     return joined.select("zone", "trips_per_min", "idle_drivers",
                          surge_multiplier("trips_per_min", "idle_drivers").alias("surge_multiplier"))
+
+
+def run(trips: DataFrame, pings: DataFrame, drivers: DataFrame, out: str, as_of_us: Column) -> dict[str, DataFrame]:
+    """Batch form of the whole ride flow: every result is written once below ``out`` and read back.
+
+    ``trips`` carry ``pickup_time`` text, ``pings`` carry ``ts`` text.
+    """
+    spark = trips.sparkSession
+    tables: dict[str, DataFrame] = {}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{out}/{name}")
+        tables[name] = spark.read.parquet(f"{out}/{name}")
+        return tables[name]
+
+    timed = trips.withColumn("ts", F.try_to_timestamp("pickup_time"))
+    checked = store("checked", timed.withColumn("_dlq_reason", quality.ride_reason()))
+    store("dead_letters", checked.filter(F.col("_dlq_reason").isNotNull()).withColumn("_dlq_ts", F.current_timestamp()))
+    clean = store("clean", checked.filter(F.col("_dlq_reason").isNull()).drop("_dlq_reason", "_corruption"))
+    enriched, misses = enrich(clean, drivers)
+    store("enriched", enriched)
+    store("unknown_drivers", misses)
+    letters, counts, score = validate(clean)
+    for name, df in {"expectation_failures": letters, "expectation_counts": counts, "score": score,
+                     "revenue_1m": revenue_per_minute(clean, "ts"), "revenue_5m": revenue_hopping(clean, "ts"),
+                     "shifts": shifts(clean, "ts"), "surge_trips": surge_trips(clean)}.items():
+        store(name, df)
+    demand = timed.withColumn("ts_us", F.unix_micros("ts"))
+    supply = zone_pings(pings.withColumn("ts_us", F.unix_micros(F.try_to_timestamp("ts"))))
+    store("surge", surge_table(demand, supply, as_of_us))
+    return tables

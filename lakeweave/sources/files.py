@@ -50,6 +50,11 @@ def with_arrival(df: DataFrame, name: str = "_arrival") -> DataFrame:
                                    meta["file_block_start"].alias("block")).alias(name))
 
 
+def with_row_order(df: DataFrame, name: str = "_row") -> DataFrame:
+    """Row number in scan order, for "the later row wins" on one small file read directly before."""
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def avro_available(spark: SparkSession) -> bool:
     jvm = spark.sparkContext._jvm
     try:

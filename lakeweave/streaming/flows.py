@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +12,9 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..functions.temporal import partition_parts
 from ..operators import keyed, merge, quality
 from ..plans import record_jobs
-from ..sources.layout import HOURLY, table_or_none
+from ..sources.layout import HOURLY, log_run, table_or_none
 from ..sources.messages import parse_messages, position_columns
-from .sinks import Fold, add_delta, file_writer, fold_first, fold_latest, fold_upsert, per_batch, put_batch
+from .sinks import Fold, add_delta, file_writer, fold_first, fold_latest, fold_upsert, finish, per_batch, put_batch, read_folded
 
 
 def land(df: DataFrame, time: str, target: str, fmt: str = "parquet", rows_per_file: int = 1_000_000) -> DataStreamWriter:
@@ -105,3 +106,23 @@ def late_within(df: DataFrame, time: str, delay: str = "24 hours") -> DataFrame:
 def raw_messages(topic: DataFrame) -> DataFrame:
     """Messages with their position, value untouched."""
     return topic.select(*position_columns(), "value", F.col("timestamp").alias("event_time"))
+
+
+ORDER_MESSAGE = "order_id bigint, customer_id bigint, product_id string, status string, amount double"
+
+
+def run_message_orders(topic: DataFrame, warehouse: str, run_id: str, insert_only: bool = False) -> DataFrame:
+    """Catch up with an order topic: raw messages, the keyed order table, and a run-log row.
+
+    Cap the work of a run by the topic reader (offsets or files per trigger). Returns the order table.
+    """
+    spark, started = topic.sparkSession, datetime.now(timezone.utc)
+    keys, update = ["order_id"], ["status", "amount"]
+    raw, orders = f"{warehouse}/bronze/messages", f"{warehouse}/silver/orders"
+    before = table_or_none(spark, raw)
+    seen = 0 if before is None else before.count()
+    finish(upsert_messages(topic, ORDER_MESSAGE, keys, update, raw, orders, insert_only), f"{warehouse}/_checkpoint")
+    after = table_or_none(spark, raw)
+    loaded = (0 if after is None else after.count()) - seen
+    log_run(spark, f"{warehouse}/run_log", [(run_id, "message_orders", "stream", "silver/orders", loaded, "success", started)])
+    return read_folded(spark, orders, message_fold(keys, update, insert_only))

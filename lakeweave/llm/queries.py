@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html, language, mixing, quality, simhash
+from . import decontamination, html, language, mixing, quality, simhash, suffix, toxicity
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -18,6 +18,15 @@ def op2_simhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op3_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    return toxicity.scores(_table(spark, root, "documents"), _table(spark, root, "labels"))
+
+
+def op4_suffix_dedup(spark: SparkSession, root: str) -> DataFrame:
+    rows = suffix.cleaned(_table(spark, root, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "kept.n_bytes", "kept.n_removed", "kept.n_spans", F.col("kept.sha256").alias("kept_sha256"))
+
+
 def op5_source_mixing(spark: SparkSession, root: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, root, "documents"))
     return mixed.withColumnRenamed("id", "doc_id").select("doc_id", "source", "size", "source_size", "target", "copies", "taken")

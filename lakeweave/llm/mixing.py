@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .state import cut
 
 WEIGHTS = (3, 1, 2)
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 FAN_IN = 1_000
 
 

@@ -136,3 +136,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     copies = (F.col("base") + F.when((F.col("words") > 0) & (F.col("words") >= F.col("size")), 1).otherwise(0)).cast("int")
     return settled.select("id", "source", "size", "source_size", "target", copies.alias("copies")).withColumn(
         "taken", F.col("copies") * F.col("size"))
+
+
+def expand(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: every row as it was, with a column ``copy`` that counts its copies from 1.
+
+    Rows that repeat an id, source and size share their copies out in equal parts, the first ones one more.
+    """
+    taken = mix(docs, id_col, text_col, source_col, **options)
+    groups = cut(taken.groupBy("id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")), "copies")
+    repeated = bool(groups.where("rows > 1").limit(1).count())
+    groups = groups.where("copies > 0").select(*[F.col(c).alias(f"__{c}") for c in groups.columns])
+    same = (docs[id_col].eqNullSafe(F.col("__id")) & docs[source_col].cast("string").eqNullSafe(F.col("__source"))
+            & (word_count(docs[text_col]) == F.col("__size")))
+    rows = docs.join(groups, same)
+    if repeated:
+        place = F.row_number().over(Window.partitionBy("__id", "__source", "__size").orderBy(F.xxhash64(text_col)))
+        rows = rows.withColumn("__at", place).withColumn("__copies", F.expr(
+            "cast(floor(__copies / __rows) as bigint) + if(__at <= __copies % __rows, 1, 0)")).drop("__at").where("__copies > 0")
+    return rows.withColumn("copy", F.explode(F.expr("sequence(1L, cast(__copies as bigint))"))).drop(*groups.columns)

@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html, language, mixing, quality, simhash, suffix, toxicity
+from . import ann, decontamination, html, language, lm_scoring, mixing, quality, simhash, suffix, toxicity
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, root: str) -> DataFrame:
+    found = lm_scoring.scores(_table(spark, root, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", F.round("log_score", 4).alias("log_score"),
+                        F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, root, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -32,6 +38,11 @@ def op5_source_mixing(spark: SparkSession, root: str) -> DataFrame:
     return mixed.withColumnRenamed("id", "doc_id").select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op6_nearest_neighbours(spark: SparkSession, root: str) -> DataFrame:
+    found = ann.search(_table(spark, root, "embeddings"))
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, root: str) -> DataFrame:
     found = decontamination.contaminated(_table(spark, root, "documents"), _table(spark, root, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "start", "n_words", "hamming", "similarity")
@@ -50,4 +61,30 @@ def op10_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {name: run for name, run in sorted(globals().items()) if name.startswith("op")}
-SQL: dict[str, str] = {}
+
+#: Stupid backoff in SQL. The other results rest on XXH64, learned weights, parsers or random draws, which SQL cannot express.
+SQL = {"op1_lm_scoring": r"""
+WITH words AS (
+  SELECT doc_id, i, list_extract(w, i) AS word, CASE WHEN i > 1 THEN list_extract(w, i - 1) END AS before
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+       LATERAL (SELECT unnest(range(1, len(w) + 1)) AS i)),
+one AS (SELECT word, count(*) AS n FROM words GROUP BY word),
+own AS (SELECT doc_id, word, count(*) AS n FROM words GROUP BY doc_id, word),
+two AS (SELECT before, word, count(*) AS n FROM words WHERE before IS NOT NULL GROUP BY before, word),
+mine AS (SELECT doc_id, before, word, count(*) AS n FROM words WHERE before IS NOT NULL GROUP BY doc_id, before, word),
+size AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+scored AS (
+  SELECT w.doc_id, ln(greatest((o.n - ow.n)::DOUBLE, 0.4) / greatest((SELECT count(*) FROM words) - s.n, 1)) AS single,
+         t.n - m.n AS pair, p.n - pw.n AS history
+  FROM words w JOIN one o USING (word) JOIN own ow ON ow.doc_id = w.doc_id AND ow.word = w.word JOIN size s ON s.doc_id = w.doc_id
+  LEFT JOIN two t ON t.before = w.before AND t.word = w.word
+  LEFT JOIN mine m ON m.doc_id = w.doc_id AND m.before = w.before AND m.word = w.word
+  LEFT JOIN one p ON p.word = w.before LEFT JOIN own pw ON pw.doc_id = w.doc_id AND pw.word = w.before),
+summed AS (
+  SELECT doc_id, count(*) AS n_words,
+         sum(CASE WHEN pair IS NULL THEN single WHEN pair > 0 THEN ln(pair::DOUBLE / history) ELSE ln(0.4::DOUBLE) + single END) AS total
+  FROM scored GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, round(coalesce(total, 0), 4) AS log_score,
+       round(coalesce(total / n_words, 0), 6) AS mean_log_score
+FROM documents d LEFT JOIN summed s ON s.doc_id = d.doc_id
+"""}

@@ -127,3 +127,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = named.groupBy("root").agg(F.min("least").alias("component"))
     names = named.join(first, "root").select("fp", "component")
     return rows.join(names, "fp").select("id", "fp", "component")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of each group's least id, as they were; rows that repeat that id all stay."""
+    found = near_duplicates(docs, id_col, text_col, **options)
+    keep = cut(found.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("__keep")).distinct(), "keep")
+    return docs.join(keep, docs[id_col].eqNullSafe(F.col("__keep")), "left_semi")

@@ -117,7 +117,7 @@ def _score(buckets: int, order: int, alpha: float, words: int):
             seen = counts[n - 1] > 0
             longer = np.log(np.maximum(counts[n - 1], 1) / np.maximum(history, 1))
             score = np.where(place < n - 1, score, np.where(seen, longer, np.log(alpha) + score))
-        total = np.bincount(row, weights=score, minlength=docs.num_rows)
+        total = np.bincount(row, weights=score, minlength=docs.num_rows).astype(float)
         mean = total / np.maximum(length, 1)
         return pa.table([docs.column("id"), pa.array(length, pa.int64()), pa.array(total), pa.array(mean)],
                         names=["id", "n_words", "log_score", "mean_log_score"])

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .state import cut
+from .state import cut, fresh
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -160,5 +160,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents, as they were, in which no item was found."""
-    found = cut(contaminated(docs, benchmark, id_col, text_col, **options).select(F.col("id").alias("__found")).distinct(), "leaks")
-    return docs.join(found, docs[id_col].eqNullSafe(F.col("__found")), "left_anti")
+    name = fresh(docs, "__found")
+    found = cut(contaminated(docs, benchmark, id_col, text_col, **options).select(F.col("id").alias(name)).distinct(), "leaks")
+    return docs.join(found, docs[id_col].eqNullSafe(found[name]), "left_anti")

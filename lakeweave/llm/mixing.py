@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .state import cut
+from .state import cut, fresh
 
 WEIGHTS = (3, 1, 2)
 BUCKET_ROWS = 2_000
@@ -146,12 +146,15 @@ def expand(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     taken = mix(docs, id_col, text_col, source_col, **options)
     groups = cut(taken.groupBy("id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")), "copies")
     repeated = bool(groups.where("rows > 1").limit(1).count())
-    groups = groups.where("copies > 0").select(*[F.col(c).alias(f"__{c}") for c in groups.columns])
-    same = (docs[id_col].eqNullSafe(F.col("__id")) & docs[source_col].cast("string").eqNullSafe(F.col("__source"))
-            & (word_count(docs[text_col]) == F.col("__size")))
+    names = {c: fresh(docs, f"__{c}") for c in (*groups.columns, "at")}
+    groups = groups.where("copies > 0").select(*[F.col(c).alias(names[c]) for c in groups.columns])
+    same = (docs[id_col].eqNullSafe(groups[names["id"]]) & docs[source_col].cast("string").eqNullSafe(groups[names["source"]])
+            & (word_count(docs[text_col]) == groups[names["size"]]))
     rows = docs.join(groups, same)
+    copies = names["copies"]
     if repeated:
-        place = F.row_number().over(Window.partitionBy("__id", "__source", "__size").orderBy(F.xxhash64(text_col)))
-        rows = rows.withColumn("__at", place).withColumn("__copies", F.expr(
-            "cast(floor(__copies / __rows) as bigint) + if(__at <= __copies % __rows, 1, 0)")).drop("__at").where("__copies > 0")
-    return rows.withColumn("copy", F.explode(F.expr("sequence(1L, cast(__copies as bigint))"))).drop(*groups.columns)
+        place = Window.partitionBy(names["id"], names["source"], names["size"]).orderBy(F.xxhash64(text_col))
+        rows = rows.withColumn(names["at"], F.row_number().over(place)).withColumn(copies, F.expr(
+            f"cast(floor({copies} / {names['rows']}) as bigint) + if({names['at']} <= {copies} % {names['rows']}, 1, 0)"))
+        rows = rows.where(F.col(copies) > 0)
+    return rows.withColumn("copy", F.explode(F.expr(f"sequence(1L, cast({copies} as bigint))"))).drop(*names.values())

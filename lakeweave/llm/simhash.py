@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .state import cut
+from .state import cut, fresh
 from .text import IS_SPACE, LOWER, slices, word_bounds
 
 SEED = 42
@@ -132,5 +132,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of each group's least id, as they were; rows that repeat that id all stay."""
     found = near_duplicates(docs, id_col, text_col, **options)
-    keep = cut(found.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("__keep")).distinct(), "keep")
-    return docs.join(keep, docs[id_col].eqNullSafe(F.col("__keep")), "left_semi")
+    name = fresh(docs, "__keep")
+    keep = cut(found.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias(name)).distinct(), "keep")
+    return docs.join(keep, docs[id_col].eqNullSafe(keep[name]), "left_semi")

@@ -13,3 +13,11 @@ def cut(frame: DataFrame, label: str = "step") -> DataFrame:
     path = scratch_dir(spark, f"llm-{label}")
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def fresh(frame: DataFrame, name: str) -> str:
+    """``name``, or a longer form of it that no column of the frame has."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packed import bucket_count, joined, pack, unpack
-from .state import cut
+from .state import cut, fresh
 from .text import RangeHash, slices
 
 LENGTH, GRAM = 50, 20
 SHALLOW = 16
-FLUSH_ROWS = 1_500_000
+FLUSH_ROWS = 1_000_000
 LAST_ID = (1 << 63) - 1
 SLICE = 1 << 20
 
@@ -86,7 +86,7 @@ class _Outbox:
         self.buckets, self.length, self.parts, self.rows = buckets, length, [], 0
 
     def add(self, doc, mark, start, count, anchor, run):
-        self.parts.append((doc, mark, start, count, anchor, run))
+        self.parts.append((doc, mark.astype(np.uint32), start.astype(np.uint32), count.astype(np.uint8), anchor, run))
         self.rows += len(doc)
 
     def flush(self):
@@ -98,7 +98,8 @@ class _Outbox:
         doc, mark, start, count, anchor, run = (c[order] for c in (doc, mark, start, count, anchor, run))
         least = _least(_starts(anchor, run), doc)
         settled = doc > least
-        yield from spans_out(doc[settled], mark[settled], start[settled], start[settled] + count[settled] - 1 + self.length, self.buckets)
+        yield from spans_out(doc[settled], mark[settled], start[settled],
+                             start[settled].astype(np.int64) + count[settled] - 1 + self.length, self.buckets)
         doc, mark, start, count, anchor, run = (c[~settled] for c in (doc, mark, start, count, anchor, run))
         bucket = (anchor % np.uint64(self.buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
@@ -367,7 +368,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(id, mark, payload): packed removed spans of every document that has any; ``mark`` is a hash of its text."""
-    buckets = bucket_count(docs.sparkSession)
+    buckets = bucket_count(docs.sparkSession, 1)
     texts = _texts(docs, id_col, text_col)
     sent = texts.mapInArrow(_send_runs(buckets, length, gram), _KIND)
     met = cut(sent.groupBy("kind", "bucket").applyInArrow(_meet(buckets, length), _KIND), "runs")
@@ -384,8 +385,9 @@ def kept_bytes(text: bytes, start: np.ndarray, end: np.ndarray) -> bytes:
     return b"".join(text[a:b] for a, b in zip(*at))
 
 
-def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``docs`` with a struct ``kept`` (n_bytes, n_removed, n_spans, sha256, text): each text without repeated passages.
+def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
+            as_col: str = "kept") -> DataFrame:
+    """``docs`` with a struct column ``as_col`` (n_bytes, n_removed, n_spans, sha256, text): each text without repeated passages.
 
     Bytes are judged, so a cut may fall inside a character; what is left of such a character is left out of ``text`` (the
     hash is of the bytes).
@@ -402,15 +404,19 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
             rows.append((len(body), len(body) - len(left), len(start), hashlib.sha256(left).hexdigest(), left.decode(errors="ignore")))
         return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 5, _KEPT)], names=list(_KEPT_NAMES))
 
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    spans = found.select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.col("payload").alias("__payload"))
-    with_spans = docs.join(spans, (F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID)) == F.col("__id"))
-                           & (F.xxhash64(text).bitwiseAND(F.lit((1 << 32) - 1)) == F.col("__mark")), "left")
-    return with_spans.withColumn("kept", clean(F.col(text_col).cast("string"), F.col("__payload"))).drop("__id", "__mark", "__payload")
+    names = {c: fresh(docs, f"__{c}") for c in found.columns}
+    spans = found.select(*[F.col(c).alias(n) for c, n in names.items()])
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    own_id = F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID))
+    same = (own_id == spans[names["id"]]) & (F.xxhash64(text).bitwiseAND(F.lit((1 << 32) - 1)) == spans[names["mark"]])
+    with_spans = docs.join(spans, same, "left")
+    return with_spans.withColumn(as_col, clean(F.col(text_col).cast("string"), F.col(names["payload"]))).drop(*names.values())
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, their texts without repeated passages; those of which nothing but white space is left go."""
-    rows = cleaned(docs, id_col, text_col)
-    rows = rows.where((F.col("kept.n_removed") == 0) | (F.trim(F.regexp_replace("kept.text", r"[\x09-\x0D]", " ")) != ""))
-    return rows.withColumn(text_col, F.when(F.col("kept.n_removed") > 0, F.col("kept.text")).otherwise(F.col(text_col))).drop("kept")
+    kept = fresh(docs, "kept")
+    rows = cleaned(docs, id_col, text_col, as_col=kept)
+    left, removed = F.col(f"{kept}.text"), F.col(f"{kept}.n_removed")
+    rows = rows.where((removed == 0) | (F.trim(F.regexp_replace(left, r"[\x09-\x0D]", " ")) != ""))
+    return rows.withColumn(text_col, F.when(removed > 0, left).otherwise(F.col(text_col))).drop(kept)

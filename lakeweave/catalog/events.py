@@ -126,7 +126,7 @@ def window_rates(lake: Lake):
 @query("""SELECT epoch_us(date_trunc('day', ts)) AS window_start, event_type, quantile_disc(value, 0.5) AS p50,
   quantile_disc(value, 0.95) AS p95, quantile_disc(value, 0.99) AS p99 FROM events GROUP BY 1, 2""")
 def window_latency_quantiles(lake: Lake):
-    """Quantiles per window; the sketch is exact while a group is smaller than its accuracy."""
+    """Exact quantiles per window."""
     frame = rolling.rates_and_latency(lake("events"), ["event_type"], "ts", "1 day", 86_400, "value")
     return frame.select(us("window_start").alias("window_start"), "event_type", "p50", "p95", "p99")
 

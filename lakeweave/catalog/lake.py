@@ -75,8 +75,8 @@ def incremental_ingest(lake: Lake):
     """Two runs over the same folder: the second finds nothing new."""
     base = out(lake, "ingest")
     for _ in range(2):
-        layout.ingest_new_files(lake.spark, lake.root, lake("orders").schema, "parquet", f"{base}/table", f"{base}/checkpoint",
-                                options={"pathGlobFilter": "orders.parquet"})
+        layout.ingest_new_files(lake.spark, f"{lake.root}/orders.parque[t]", lake("orders").schema, "parquet", f"{base}/table",
+                                f"{base}/checkpoint")
     table = lake.spark.read.parquet(f"{base}/table")
     return table.groupBy("_source_file").agg(F.count(F.lit(1)).alias("rows"),
                                              real(F.sum(F.col("o_totalprice").cast("decimal(18,2)"))).alias("total"))

@@ -8,23 +8,31 @@ from pyspark.sql import functions as F
 from ..functions.numeric import money
 from ..functions.temporal import micros
 from ..operators import geo
+from ..operators.keyed import latest_by_key
 from ..session import scratch_dir
 from ..sources.messages import MESSAGE
 from ..streaming import flows, rides, trails
-from ..streaming.sinks import file_writer, finish, fold_latest, per_batch, put_batch, read_folded
+from ..streaming.sinks import file_writer, finish, fold_first, fold_latest, per_batch, put_batch, read_folded
 from .geo import SQL_ZONE
 from .quality import SQL_RIDE_REASON
 from .quality import rides as ride_rows
 from .registry import Lake, query, real, us
 
 SQL_MONEY = "CAST(value AS DECIMAL(18,2))"
+FILES_PER_BATCH = 1_000
 CLOSED = "(SELECT max(epoch_us(ts)) - 3600000000 FROM events)"
 
 
+def stream_path(lake: Lake, table: str) -> str:
+    """The table's own path as a pattern that only it matches: a stream takes a single file only through a pattern."""
+    return f"{lake.root}/{table}.parque[t]"
+
+
 def event_stream(lake: Lake) -> DataFrame:
+    """The events table as a stream, whether it is one file or a folder of part files, in batches of bounded file count."""
     schema = lake("events").schema
-    stream = lake.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(lake.root)
-    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    stream = lake.spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    return stream.parquet(stream_path(lake, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 class StreamLake(Lake):
@@ -123,11 +131,11 @@ def stream_filtered(lake: Lake):
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(lake: Lake):
-    """Alert ids seen once; the delay spans the whole table, so every later copy is dropped."""
-    checkpoint, out = dirs(lake, "unique")
-    frame = flows.distinct_within(event_stream(lake), ["user_id", "event_type"], "ts", "60 days")
-    finish(file_writer(frame, out), checkpoint)
-    return lake.spark.read.parquet(out).select("user_id", "event_type")
+    """Alert ids seen once, however far apart their copies lie: a keyed table whose first batch wins."""
+    checkpoint, table = dirs(lake, "unique")
+    keys = ["user_id", "event_type"]
+    finish(flows.distinct_keys(event_stream(lake), keys, table), checkpoint)
+    return read_folded(lake.spark, table, fold_first(keys)).select(*keys)
 
 
 @query("""SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
@@ -190,7 +198,9 @@ def stream_trail_state(lake: Lake):
                checkpoint)
     finally:
         lake.spark.conf.set(provider, before) if before else lake.spark.conf.unset(provider)
-    return lake.spark.read.parquet(out).filter("status = 'active'").select("key", F.col("points").cast("bigint").alias("points"), "ts_ms")
+    # a key has a row per batch that brought it: its newest is its track
+    tracks = latest_by_key(lake.spark.read.parquet(out).filter("status = 'active'"), ["key"], ["ts_ms", "points"])
+    return tracks.select("key", F.col("points").cast("bigint").alias("points"), "ts_ms")
 
 
 @query(f"""WITH p AS (SELECT event_id, user_id, event_type, ts, 40.5::DOUBLE + (event_id % 400)::DOUBLE / 1000 AS lat,
@@ -215,5 +225,6 @@ def stream_surge(lake: Lake):
     finish(rides.supply_table(pings, supply), f"{checkpoint}/supply")
     trips = events.filter("event_type = 'purchase'").withColumn("pickup_zone", geo.nearest_centre("lat", "lon"))
     finish(rides.surge(trips, "ts", supply, out), f"{checkpoint}/surge")
-    return lake.spark.read.parquet(out).select("zone", us("window_ts").alias("window_ts"), "trips_per_min", "idle_drivers",
-                                               "surge_multiplier")
+    # an open window is priced again by every batch that adds to it: the last price holds
+    prices = latest_by_key(lake.spark.read.parquet(out), ["zone", "window_ts"], ["batch_id"])
+    return prices.select("zone", us("window_ts").alias("window_ts"), "trips_per_min", "idle_drivers", "surge_multiplier")

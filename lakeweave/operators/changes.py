@@ -249,6 +249,9 @@ def active_alerts(history: DataFrame, fingerprint: str = "fingerprint", status:
     return current_state(history, [fingerprint], order, F.col(status) == "resolved")
 
 
+CHUNK_GROUP = 10_000
+
+
 def field_changes(events: DataFrame, document: str, order_micros: str, tie: str,
                   chunk_us: int = 60_000_000) -> DataFrame:
     """Messages whose field set differs from the previous message, with the fields added and removed.
@@ -263,7 +266,12 @@ def field_changes(events: DataFrame, document: str, order_micros: str, tie: str,
     inside = Window.partitionBy("__chunk").orderBy("__us", "__tie")
     compared = rows.withColumn("__before", F.lag("__fields").over(inside))
     last = rows.groupBy("__chunk").agg(F.max(F.struct("__us", "__tie", "__fields")).alias("__last"))
-    border = last.select("__chunk", F.lag("__last").over(Window.orderBy("__chunk"))["__fields"].alias("__border"))
+    # chunk ends meet their successors by groups of chunks; only the ends of groups are ordered as a whole
+    last = last.withColumn("__group", F.floor(F.col("__chunk") / CHUNK_GROUP))
+    ends = last.groupBy("__group").agg(F.max_by("__last", "__chunk").alias("__end"))
+    carried = ends.select("__group", F.lag("__end").over(Window.orderBy("__group")).alias("__carried"))
+    border = last.join(carried, "__group").select("__chunk", F.coalesce(
+        F.lag("__last").over(Window.partitionBy("__group").orderBy("__chunk")), "__carried")["__fields"].alias("__border"))
     joined = compared.join(border, "__chunk", "left")
     before = F.coalesce("__before", "__border")
     return (joined.filter(before.isNotNull() & (before != F.col("__fields")))

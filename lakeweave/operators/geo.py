@@ -23,6 +23,7 @@ ZONES = (
 )
 UNKNOWN_ZONE = "UNKNOWN"
 BASE_CELL = 0.25
+LEAST_EXTENT = 1e-7  # degrees; about a centimetre
 
 
 def _cell(value: Column, level: Column) -> Column:
@@ -42,7 +43,7 @@ def box_join(points: DataFrame, boxes: DataFrame, lat: str = "lat", lon: str = "
     they are, beyond that both sides are shuffled by cell and AQE splits crowded cells.
     """
     south, north, west, east = (F.col(name) for name in bounds)
-    extent = F.greatest(north - south, east - west, F.lit(BASE_CELL))
+    extent = F.greatest(north - south, east - west, F.lit(LEAST_EXTENT))
     filed = (boxes.filter((south <= north) & (west <= east))
              .withColumn("__level", F.ceil(F.log2(extent / F.lit(BASE_CELL))).cast("int")))
     rows, columns = (F.sequence(_cell(low, F.col("__level")), _cell(high, F.col("__level")))

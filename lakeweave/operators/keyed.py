@@ -15,7 +15,12 @@ from pyspark.sql import functions as F
 from ..functions.text import as_column
 
 DUPLICATE_FLAG = "is_duplicate"
-SALTS = 1024
+
+
+def _share(salts: int | None) -> Column:
+    """The share of a row's key: its map partition, so that a share never outgrows one task's input."""
+    own = F.spark_partition_id()
+    return own if salts is None else F.pmod(own, F.lit(salts))
 
 
 def newest(*columns: str) -> list[Column]:
@@ -52,13 +57,13 @@ def latest_known(df: DataFrame, key: str, time: str, arrival: Sequence[str]) ->
     return top_per_key(df.filter(F.col(key).isNotNull()), [key], order)
 
 
-def latest_with_ties(df: DataFrame, keys: Sequence[str], time: str, salts: int = SALTS) -> DataFrame:
+def latest_with_ties(df: DataFrame, keys: Sequence[str], time: str, salts: int | None = None) -> DataFrame:
     """Every row that carries its key's greatest ``time``.
 
     A salted rank first drops, before any shuffle, what cannot win inside its share of the
     key; the real maximum per key is then joined back, a join AQE can split on a hot key.
     """
-    share = F.pmod(F.spark_partition_id(), F.lit(salts))
+    share = _share(salts)
     window = Window.partitionBy(*keys, "__share").orderBy(F.col(time).desc_nulls_last())
     candidates = (df.filter(F.col(time).isNotNull()).withColumn("__share", share)
                   .withColumn("__rank", F.rank().over(window))
@@ -92,7 +97,10 @@ def unique_with_count(df: DataFrame, keys: Sequence[str], order_columns: Sequenc
     One aggregate whose map side already folds each key, instead of a window over whole groups.
     """
     rest = [name for name in df.columns if name not in keys and name not in order_columns]
-    row = F.min(F.struct(*order_columns, *rest)).alias("__first")
+    # a null order value comes last, as in first_by_key
+    flags = [F.col(name).isNull().alias(f"__null_{i}") for i, name in enumerate(order_columns)]
+    order = [column for pair in zip(flags, map(F.col, order_columns)) for column in pair]
+    row = F.min_by(F.struct(*order_columns, *rest), F.struct(*order, F.xxhash64(*rest) if rest else F.lit(0))).alias("__first")
     folded = df.groupBy(*keys).agg(row, F.count(F.lit(1)).alias(count_column))
     columns = [F.col(name) if name in keys else F.col(f"__first.{name}").alias(name)
                for name in df.columns]
@@ -100,17 +108,17 @@ def unique_with_count(df: DataFrame, keys: Sequence[str], order_columns: Sequenc
 
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str], order_columns: Sequence[str],
-                    salts: int = SALTS, flag: str = DUPLICATE_FLAG) -> DataFrame:
+                    salts: int | None = None, flag: str = DUPLICATE_FLAG) -> DataFrame:
     """Mark every row after the first of its key, in the given order.
 
     Ties are broken by content, so only exact copies are interchangeable. Each key is first
-    ranked inside its salted shares; only the share winners (at most ``salts`` per key) meet
-    in the second ranking. The salt is the map partition, which a re-run task keeps.
+    ranked inside its salted shares, one per map partition (or ``salts`` of them); only the share winners
+    meet in the second ranking. The salt is the map partition, which a re-run task keeps.
     """
     content = F.xxhash64(*[name for name in df.columns if name not in order_columns])
     order = [*oldest(*order_columns), F.col("__content").asc()]
     salted = df.withColumns({"__content": content,
-                             "__salt": F.pmod(F.spark_partition_id(), F.lit(salts))})
+                             "__salt": _share(salts)})
     inner = Window.partitionBy(*keys, "__salt").orderBy(*order)
     shared = salted.withColumn("__head", F.row_number().over(inner) == 1)
     outer = Window.partitionBy(*keys, F.when(F.col("__head"), F.lit(-1)).otherwise(F.col("__salt"))).orderBy(*order)
@@ -119,7 +127,7 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], order_columns: Sequence[
 
 
 def split_duplicates(df: DataFrame, keys: Sequence[str], order_columns: Sequence[str],
-                     salts: int = SALTS) -> tuple[DataFrame, DataFrame]:
+                     salts: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(first row per key, all later copies). The first branch alone needs no full shuffle.
 
     ``order_columns`` plus content decide which row is first in both branches alike.

@@ -19,14 +19,14 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str],
            update: Sequence[str]) -> DataFrame:
     """Existing keys take the ``update`` columns of the change, new keys are added whole.
 
-    ``changes`` must hold one row per key. The target is joined left, so it is not shuffled at
+    ``changes`` must hold one row per key; a null key equals a null key. The target is joined left, so it is not shuffled at
     all while the changes are small enough for Spark to broadcast.
     """
     incoming = changes.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.lit(True).alias("__hit"),
                               *[F.col(c).alias(f"__u_{c}") for c in update])
     on = None
     for key in keys:
-        match = F.col(key) == F.col(f"__k_{key}")
+        match = F.col(key).eqNullSafe(F.col(f"__k_{key}"))
         on = match if on is None else on & match
     merged = target.join(incoming, on, "left").select(
         *[F.when(F.col("__hit"), F.col(f"__u_{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
@@ -37,8 +37,12 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str],
 
 def insert_new(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Changes whose key the target does not hold."""
-    known = target.select(*keys).join(changes.select(*keys), list(keys), "left_semi")
-    return changes.join(known, list(keys), "left_anti")
+    held = target.select(*[F.col(k).alias(f"__k_{k}") for k in keys]).distinct()
+    on = None
+    for key in keys:
+        match = F.col(key).eqNullSafe(F.col(f"__k_{key}"))
+        on = match if on is None else on & match
+    return changes.join(held, on, "left_anti")
 
 
 def daily_summary(summaries: DataFrame, counts: DataFrame, day: str = "summary_date") -> DataFrame:

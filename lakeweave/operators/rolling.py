@@ -93,10 +93,51 @@ def session_totals(df: DataFrame, key: str, time: str, gap_seconds: int,
                            F.timestamp_micros("__to").alias("session_end"), count, *sums)
 
 
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: Sequence[float], ranges: int = 64) -> DataFrame:
+    """``p50``-like columns per key: the value of rank ceil(q x n), nulls left out; exact for groups of any size.
+
+    A sketch cuts each group into value ranges of like size. Counts per range tell in which one each rank lies, and only the
+    rows of those ranges are counted by value and ordered, a small part of the group and range by range. The sketch
+    decides how work is dealt out, not the result.
+    """
+    names = {q: f"p{round(q * 100)}" for q in quantiles}
+    rows = df.select(*keys, F.col(value).alias("__v")).filter(F.col("__v").isNotNull())
+    cuts = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    edges = rows.groupBy(*keys).agg(F.percentile_approx("__v", cuts, F.lit(1_000)).alias("__edges"))
+    renamed = edges.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__edges")
+    same = F.lit(True)
+    for i, key in enumerate(keys):
+        same = same & F.col(key).eqNullSafe(F.col(f"__k{i}"))
+    placed = rows.join(renamed, same).select(*keys, "__v", F.size(F.filter("__edges", lambda e: e < F.col("__v"))).alias("__range"))
+    counts = placed.groupBy(*keys, "__range", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    per_range = counts.groupBy(*keys, "__range").agg(F.sum("__n").alias("__n"))
+    order, group = Window.partitionBy(*keys).orderBy("__range"), Window.partitionBy(*keys)
+    ranks = F.array(*[F.struct(F.lit(name).alias("name"), F.greatest(F.lit(1), F.ceil(F.lit(q) * F.sum("__n").over(group))).alias("rank"))
+                      for q, name in names.items()])
+    before = F.coalesce(F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    wanted = per_range.withColumns({"__before": before, "__rank": ranks}).withColumn("__rank", F.expr(
+        "filter(__rank, r -> r.rank > __before and r.rank <= __before + __n)")).filter(F.size("__rank") > 0)
+    wanted = wanted.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__range").alias("__r"), "__before", "__rank")
+    inside = Window.partitionBy(*keys, "__range").orderBy("__v")
+    reached = counts.join(wanted, same & (F.col("__range") == F.col("__r"))).withColumn(
+        "__upto", F.col("__before") + F.sum("__n").over(inside))
+    hits = reached.select(*keys, "__v", "__upto", "__n", F.explode("__rank").alias("__x")).filter(
+        (F.col("__x.rank") <= F.col("__upto")) & (F.col("__x.rank") > F.col("__upto") - F.col("__n")))
+    return hits.groupBy(*keys).agg(*[F.max(F.when(F.col("__x.name") == name, F.col("__v"))).alias(name) for name in names.values()])
+
+
 def rates_and_latency(df: DataFrame, keys: Sequence[str], time: str, size: str, window_seconds: int,
                       latency: str | None = None, quantiles: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
-    """Events per second per window and, for a latency column, approximate quantiles."""
+    """Events per second per window and, for a latency column, exact quantiles."""
     aggregates = {"events": F.count(F.lit(1)), "per_second": F.count(F.lit(1)) / F.lit(float(window_seconds))}
-    for q in quantiles if latency else ():
-        aggregates[f"p{round(q * 100)}"] = F.percentile_approx(latency, F.lit(q), F.lit(10_000))
-    return windowed(df, keys, time, size, aggregates)
+    rates = windowed(df, keys, time, size, aggregates)
+    if not latency:
+        return rates
+    spans = df.withColumn("window_start", F.window(time, size)["start"])
+    found = exact_quantiles(spans, ["window_start", *keys], latency, quantiles)
+    renamed = found.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(["window_start", *keys])],
+                           *found.columns[len(keys) + 1:])
+    same = F.lit(True)
+    for i, key in enumerate(["window_start", *keys]):
+        same = same & F.col(key).eqNullSafe(F.col(f"__k{i}"))
+    return rates.join(renamed, same, "left").select(*rates.columns, *found.columns[len(keys) + 1:])

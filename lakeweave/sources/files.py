@@ -37,10 +37,19 @@ def read_json_array(spark: SparkSession, path: str | Sequence[str], schema: Sche
 
 
 def read_recent(spark: SparkSession, path: str, schema: Schema, modified_after: str,
-                fmt: str = "parquet") -> DataFrame:
-    """Only files changed after ``modified_after`` (ISO text); unreadable files are skipped."""
+                fmt: str = "parquet", skip_unreadable: bool = False) -> DataFrame:
+    """Only files changed after ``modified_after`` (ISO text). Unreadable files fail the job unless they are to be skipped;
+    ``unread_files`` then lists them."""
     return (spark.read.format(fmt).schema(schema).option("modifiedAfter", modified_after)
-            .option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).load(path))
+            .option("recursiveFileLookup", True).option("ignoreCorruptFiles", skip_unreadable).load(path))
+
+
+def unread_files(spark: SparkSession, path: str, rows: DataFrame, modified_after: str) -> DataFrame:
+    """(path, bytes) of files changed since that gave no row to ``rows``, a frame that ``read_recent`` made."""
+    listed = (spark.read.format("binaryFile").option("modifiedAfter", modified_after).option("recursiveFileLookup", True).load(path)
+              .select("path", F.col("length").alias("bytes")))
+    read = rows.select(F.col("_metadata.file_path").alias("path")).distinct()
+    return listed.join(read, "path", "left_anti")
 
 
 def with_arrival(df: DataFrame, name: str = "_arrival") -> DataFrame:

@@ -28,6 +28,12 @@ def distinct_within(df: DataFrame, keys: Sequence[str], time: str, delay: str) -
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def distinct_keys(df: DataFrame, keys: Sequence[str], table: str, compact_every: int = 50) -> DataStreamWriter:
+    """Keys seen so far without a time bound, read with ``fold_first(keys)``; a batch costs its own distinct keys."""
+    fold = fold_first(keys)
+    return per_batch(df.select(*keys), lambda batch, batch_id: add_delta(batch.distinct(), table, batch_id, fold, compact_every))
+
+
 def running_state(df: DataFrame, keys: Sequence[str], sums: dict[str, Column], count: str = "events_processed") -> DataFrame:
     """Unbounded running aggregate per key, emitted on change (output mode update)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count), *[F.sum(c).alias(n) for n, c in sums.items()])

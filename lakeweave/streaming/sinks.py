@@ -70,8 +70,8 @@ def fold_upsert(keys: Sequence[str], update: Sequence[str]) -> Fold:
     """The first batch gives the row, later batches replace its ``update`` columns."""
     def fold(df: DataFrame) -> DataFrame:
         fixed = [c for c in df.columns if c not in (*keys, *update, BATCH)]
-        rows = df.groupBy(*keys).agg(F.min(F.struct(BATCH, *fixed)).alias("__first"),
-                                     F.max(F.struct(BATCH, *update)).alias("__last"))
+        rows = df.groupBy(*keys).agg(F.min_by(F.struct(BATCH, *fixed), BATCH).alias("__first"),
+                                     F.max_by(F.struct(BATCH, *update), BATCH).alias("__last"))
         parts = {**{c: F.col(f"__first.{c}") for c in fixed}, **{c: F.col(f"__last.{c}") for c in (*update, BATCH)}}
         return rows.select(*[parts[c].alias(c) if c in parts else F.col(c) for c in df.columns])
     return fold

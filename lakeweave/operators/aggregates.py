@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import customer_segment, safe_ratio
@@ -184,11 +184,10 @@ def layer_counts(tables: dict[str, DataFrame | None]) -> DataFrame:
     present = {name: df for name, df in tables.items() if df is not None}
     frames = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
               for name, df in present.items()]
-    result = reduce(DataFrame.unionByName, frames)
-    for name in tables.keys() - present.keys():
-        result = result.unionByName(result.limit(1).select(
-            F.lit(name).alias("table_name"), F.lit(0).cast("bigint").alias("row_count")))
-    return result
+    absent = [(name, 0) for name in tables if name not in present]
+    if absent or not frames:
+        frames.append(SparkSession.active().createDataFrame(absent, "table_name string, row_count bigint"))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def metric_rows(row: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ broken. A null outcome is not a failure; use :func:`missing` where null itself i
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import safe_ratio
@@ -250,18 +251,12 @@ def violation_counts(layers: dict[str, tuple[DataFrame | None, Column]]) -> list
 
 def layer_checks(layers: dict[str, tuple[DataFrame | None, Column]]) -> DataFrame:
     """(layer, violations, passed) rows; -1 violations and passed for a missing table."""
-    frames = [(layer, df) for layer, df in violation_counts(layers) if df is not None]
-    if not frames:
-        raise ValueError("no layer table exists")
-    result = None
-    for layer, df in frames:
-        part = df.select(F.lit(layer).alias("layer"), "violations", (F.col("violations") == 0).alias("passed"))
-        result = part if result is None else result.unionByName(part)
-    absent = [layer for layer, (df, _) in layers.items() if df is None]
-    for layer in absent:
-        result = result.unionByName(frames[0][1].select(
-            F.lit(layer).alias("layer"), F.lit(-1).cast("bigint").alias("violations"), F.lit(True).alias("passed")))
-    return result
+    frames = [df.select(F.lit(layer).alias("layer"), "violations", (F.col("violations") == 0).alias("passed"))
+              for layer, df in violation_counts(layers) if df is not None]
+    absent = [(layer, -1, True) for layer, (df, _) in layers.items() if df is None]
+    if absent or not frames:
+        frames.append(SparkSession.active().createDataFrame(absent, "layer string, violations bigint, passed boolean"))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def bronze_gate(orders: DataFrame, customers: DataFrame, amount: str = "total_amount") -> DataFrame:

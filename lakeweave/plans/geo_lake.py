@@ -200,7 +200,7 @@ def marts(spark: SparkSession, silver: str, as_of_ms: Column) -> dict[str, Calla
 
 
 def build_gold(spark: SparkSession, silver: str, gold: str, as_of_ms: Column, snapshot: str) -> DataFrame:
-    """Publish every mart as a snapshot and as ``latest``; a failing mart does not stop the others."""
+    """Publish every mart as a snapshot, the latest to readers; a failing mart does not stop the others."""
     outcome = []
     for name, make in marts(spark, silver, as_of_ms).items():
         try:

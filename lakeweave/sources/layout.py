@@ -41,14 +41,16 @@ def _by_parts(df: DataFrame, time: Column | str, hour: bool) -> DataFrame:
 
 
 def write_snapshot(df: DataFrame, path: str, snapshot: str) -> None:
-    """Write ``snapshot=<id>/`` and then replace ``latest/`` with the same files' content."""
-    target = f"{path}/snapshot={snapshot}"
-    df.write.mode("overwrite").parquet(target)
-    df.sparkSession.read.parquet(target).write.mode("overwrite").parquet(f"{path}/latest")
+    """Write ``snapshot=<id>/`` and then publish it by one appended row; nothing that readers use is touched."""
+    df.write.mode("overwrite").parquet(f"{path}/snapshot={snapshot}")
+    published = df.sparkSession.createDataFrame([(snapshot,)], "snapshot string").withColumn("published_at", F.current_timestamp())
+    published.coalesce(1).write.mode("append").parquet(f"{path}/published")
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/latest")
+    """The snapshot that was published last."""
+    newest = spark.read.parquet(f"{path}/published").agg(F.max_by("snapshot", F.struct("published_at", "snapshot"))).first()[0]
+    return spark.read.parquet(f"{path}/snapshot={newest}")
 
 
 def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:

@@ -378,3 +378,49 @@ def test_hot_key_is_spread_over_tasks(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_quantiles_are_exact_for_large_groups(spark):
+    rng = random.Random(5)
+    rows = [("big", rng.choice([rng.random() * 100, float(rng.randrange(30))])) for _ in range(100_000)]
+    rows += [("small", 3.0), ("small", 1.0), ("same", 7.0), ("same", 7.0), ("none", None), (None, 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(8)
+    got = {r.k: (r.p1, r.p50, r.p95, r.p100) for r in rolling.exact_quantiles(df, ["k"], "v", (0.01, 0.5, 0.95, 1.0)).collect()}
+    big = sorted(v for k, v in rows if k == "big")
+    assert got["big"] == tuple(big[max(1, -(-len(big) * q // 100)) - 1] for q in (1, 50, 95, 100))
+    assert got["small"] == (1.0, 1.0, 3.0, 3.0) and got["same"] == (7.0,) * 4 and got[None] == (2.0,) * 4 and "none" not in got
+
+
+def test_unique_with_count_puts_nulls_last(spark):
+    df = spark.createDataFrame([(1, None, "x"), (1, 5, "y"), (2, None, "z"), (2, None, "z")], "k int, o int, v string")
+    got = sorted((r.k, r.o, r.v, r.copies) for r in keyed.unique_with_count(df, ["k"], ["o"]).collect())
+    assert got == [(1, 5, "y", 2), (2, None, "z", 2)]
+    kept = {(r.k, r.v) for r in keyed.first_by_key(df, ["k"], ["o"]).collect()}
+    assert kept == {(k, v) for k, _, v, _ in got}
+
+
+def test_upsert_repeats_without_growing_on_null_keys(spark):
+    target = spark.createDataFrame([(1, "a"), (None, "n")], "k int, v string")
+    changes = spark.createDataFrame([(None, "m"), (2, "b")], "k int, v string")
+    once = merge.upsert(target, changes, ["k"], ["v"])
+    twice = merge.upsert(once, changes, ["k"], ["v"])
+    want = {(1, "a"), (None, "m"), (2, "b")}
+    assert {tuple(r) for r in once.collect()} == want and once.count() == 3
+    assert {tuple(r) for r in twice.collect()} == want and twice.count() == 3
+
+
+def test_small_boxes_meet_only_their_own_points(spark):
+    rng = random.Random(9)
+    points = [(i, rng.random() * 0.25, rng.random() * 0.25) for i in range(2_000)]
+    boxes = [(j, y, y + 0.0005, x, x + 0.0005) for j in range(4_000) for y, x in [(rng.random() * 0.25, rng.random() * 0.25)]]
+    boxes.append((9_999, 0.1, 0.1, 0.1, 0.1))
+    points.append((9_999, 0.1, 0.1))
+    joined = geo.box_join(spark.createDataFrame(points, "p int, lat double, lon double"), spark.createDataFrame(
+        boxes, "b int, min_lat double, max_lat double, min_lon double, max_lon double"), broadcast_rows=0)
+    want = {(p, b) for p, y, x in points for b, s, n, w, e in boxes if s <= y <= n and w <= x <= e}
+    assert {(r.p, r.b) for r in joined.select("p", "b").collect()} == want and (9_999, 9_999) in want
+
+
+def test_layer_reports_without_any_table(spark):
+    assert [tuple(r) for r in agg.layer_counts({"a": None, "b": None}).orderBy("table_name").collect()] == [("a", 0), ("b", 0)]
+    assert [tuple(r) for r in quality.layer_checks({"a": (None, F.lit(True))}).collect()] == [("a", -1, True)]

@@ -199,3 +199,25 @@ def test_bronze_read_to_silver(spark, tmp_path):
     bronze = geo_lake.read_bronze(spark, str(tmp_path / "bronze"), {"seismic_events": schema}, "2020-01-01T00:00:00", "parquet")
     geo_lake.build_silver(spark, bronze, str(tmp_path / "silver"), "2026-01-01 00:00:00")
     assert collected(geo_lake.silver_table(spark, str(tmp_path / "silver"), "seismic_events"), "event_id", "magnitude") == [("q", 2.0)]
+
+
+def test_unreadable_files_fail_or_are_listed(spark, tmp_path):
+    from pyspark.errors import PySparkException
+
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "good"))
+    (tmp_path / "bad.parquet").write_bytes(b"PAR1 not really PAR1")
+    since = "2020-01-01T00:00:00"
+    with pytest.raises((PySparkException, Exception)):
+        files.read_recent(spark, str(tmp_path), "id bigint", since).count()
+    rows = files.read_recent(spark, str(tmp_path), "id bigint", since, skip_unreadable=True)
+    assert rows.count() == 3
+    unread = [r.path for r in files.unread_files(spark, str(tmp_path), rows, since).collect() if r.path.endswith(".parquet")]
+    assert [p.rsplit("/", 1)[1] for p in unread] == ["bad.parquet"]
+
+
+def test_snapshots_are_published_without_touching_older_ones(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    layout.write_snapshot(spark.range(2), path, "s1")
+    held = layout.read_latest(spark, path)
+    layout.write_snapshot(spark.range(5), path, "s2")
+    assert held.count() == 2 and layout.read_latest(spark, path).count() == 5

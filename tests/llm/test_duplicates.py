@@ -178,3 +178,54 @@ def test_leaks_of_awkward_rows(spark):
     whole = bench.selectExpr("item_id as doc_id", "text", "'en' as lang")
     found = decontamination.contaminated(whole, bench).collect()
     assert {(r.id, r.item) for r in found if r.id == r.item} == {(r.doc_id, r.doc_id) for r in whole.collect()}
+
+
+def test_similar_documents_groups_edited_copies(spark):
+    rng = random.Random(8)
+
+    def text(n, seed):
+        own = random.Random(seed)
+        return [own.choice(["the", "of", "and", "to", "in", "is"]) if own.random() < 0.5 else
+                f"{own.choice('bcdfgklmnprst')}{own.choice('aeiou')}{own.randrange(400)}" for _ in range(n)]
+
+    def edited(words, edits):
+        out = list(words)
+        for _ in range(edits):
+            out[rng.randrange(len(out))] = f"new{rng.randrange(10_000)}"
+        return out
+
+    base = [text(300, s) for s in range(12)]
+    rows = [(s, " ".join(w), "en", "a") for s, w in enumerate(base)]
+    rows += [(100 + s, " ".join(edited(w, 3)).upper(), "en", "a") for s, w in enumerate(base)]
+    rows += [(1_000 + k, " ".join(edited(base[0], 2)), "en", "a") for k in range(150)]  # one large group of near copies
+    rows += [(500, "", "en", "a"), (501, None, "en", "a"), (502, "a b", "en", "a"), (503, "A  B", "en", "a"), (504, "a c", "en", "a"),
+             (505, " ".join(base[1][:150] + text(150, 77)), "en", "a")]
+    got = {r.id: r.component for r in simhash.similar_documents(awkward(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    assert all(got[s] == s for s in range(12)) and got[505] == 505  # no two different texts meet
+    assert all(got[100 + s] in (s, 100 + s) for s in range(12)) and sum(got[100 + s] == s for s in range(12)) >= 8
+    assert sum(got[1_000 + k] == 0 for k in range(150)) >= 120
+    assert (got[501], got[503], got[504]) == (500, 502, 504)
+    assert simhash.similar_documents(empty(spark)).collect() == []
+
+
+def test_spanning_links_connect_what_all_pairs_connect():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    centre = rng.integers(0, 1 << 63, 1 + simhash.SKETCH, dtype=np.uint64)
+    rows = []
+    for i in range(400):
+        row = centre.copy() if i % 3 else rng.integers(0, 1 << 63, 1 + simhash.SKETCH, dtype=np.uint64)
+        row[0] = centre[0] ^ np.uint64(1 << int(rng.integers(0, 63)))
+        for _ in range(int(rng.integers(0, 30))):
+            row[1 + int(rng.integers(0, simhash.SKETCH))] ^= np.uint64(1 << int(rng.integers(0, 63)))
+        rows.append(row)
+    data, limit = np.array(rows), 30
+    table = pa.table({"which": np.zeros(400, np.int32), "anchor": np.arange(400) // 200, "node": np.arange(400), "fp": data[:, 0].view(np.int64),
+                      **{f"s{c}": data[:, 1 + c].copy().view(np.int64) for c in range(simhash.SKETCH)}})
+    out = simhash._spanning(limit, 3)(table)
+    got = groups(range(400), zip(out.column("a").to_pylist(), out.column("b").to_pylist()))
+    near = [(i, j) for i in range(400) for j in range(i + 1, 400) if i // 200 == j // 200
+            and int(np.bitwise_count(data[i, 0] ^ data[j, 0])) <= 3 and int(np.bitwise_count(data[i, 1:] ^ data[j, 1:]).sum()) <= limit]
+    assert got == groups(range(400), near) and out.num_rows < 400 < len(near)

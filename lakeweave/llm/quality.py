@@ -13,7 +13,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -178,11 +177,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qual
 
 def score_column(model: BradleyTerry, text: Column) -> Column:
     """Probability of label 1 of a text column."""
-    shared = model
-
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(shared.probability(features(pa.array(texts, pa.large_string(), from_pandas=True))))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(model.probability(features(texts)))
 
     return score(text.cast("string"))
 

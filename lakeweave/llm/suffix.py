@@ -34,8 +34,9 @@ from .text import RangeHash, slices
 LENGTH, GRAM = 50, 20
 SHALLOW = 16
 FLUSH_ROWS = 1_000_000
+FEW_ROWS = 500  # texts held as Python objects at a time
 LAST_ID = (1 << 63) - 1
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -232,7 +233,7 @@ def _wishes(table):
 def _fetch(buckets: int, length: int):
     """Texts of requested runs, packed by anchor bucket (kind 3)."""
     def run(batches):
-        for batch in batches:
+        for batch in (whole.slice(at, FEW_ROWS) for whole in batches for at in range(0, whole.num_rows, FEW_ROWS)):
             got: dict[int, list] = {}
             for doc, mark, text, payload in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 text = (text or "").encode()
@@ -396,13 +397,17 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
     @F.arrow_udf("n_bytes long, n_removed long, n_spans long, sha256 string, text string")
     def clean(texts: pa.Array, payloads: pa.Array) -> pa.Array:
-        rows = []
-        for text, payload in zip(texts.to_pylist(), payloads.to_pylist()):
-            body = (text or "").encode()
-            start, end = unpack(payload) if payload is not None else (np.zeros(0, np.int64),) * 2
-            left = kept_bytes(body, start, end)
-            rows.append((len(body), len(body) - len(left), len(start), hashlib.sha256(left).hexdigest(), left.decode(errors="ignore")))
-        return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 5, _KEPT)], names=list(_KEPT_NAMES))
+        done = []
+        for at in range(0, max(1, len(texts)), FEW_ROWS):
+            rows = []
+            for text, payload in zip(texts.slice(at, FEW_ROWS).to_pylist(), payloads.slice(at, FEW_ROWS).to_pylist()):
+                body = (text or "").encode()
+                start, end = unpack(payload) if payload is not None else (np.zeros(0, np.int64),) * 2
+                left = kept_bytes(body, start, end)
+                rows.append((len(body), len(body) - len(left), len(start), hashlib.sha256(left).hexdigest(), left.decode(errors="ignore")))
+            columns = list(zip(*rows)) or [[]] * len(_KEPT)
+            done.append(pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, _KEPT)], names=list(_KEPT_NAMES)))
+        return pa.concat_arrays(done)
 
     names = {c: fresh(docs, f"__{c}") for c in found.columns}
     spans = found.select(*[F.col(c).alias(n) for c, n in names.items()])

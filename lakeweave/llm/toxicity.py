@@ -15,7 +15,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -217,9 +216,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
 
 
 def score_column(model: ToxicModel, text: Column) -> Column:
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(pa.array(texts, pa.large_string(), from_pandas=True)))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(model.scores(texts))
 
     return score(text.cast("string"))
 

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
+from ..operators import merge
 from ..plans import order_changes, product_kpis, record_jobs, retail_lake, warehouse
 from ..session import scratch_dir
-from ..sources import files, layout
+from ..sources import files, layout, messages
 from .changes import OP_CASE
 from .registry import Lake, day, query, real, us, whole
 
@@ -228,3 +229,56 @@ def partition_pruned_scan(lake: Lake):
     files.write_table(lake("orders").withColumn("order_year", F.year("o_orderdate")), path, partition_by=["order_year"])
     return lake.spark.read.parquet(path).filter("order_year = 1996").select(
         F.col("o_orderkey").alias("order_id"), day("o_orderdate").alias("order_date"), us("o_orderdate").alias("order_us"))
+
+
+@query("""SELECT c_custkey, c_name || ' Ö' || chr(233) AS c_name FROM customer""")
+def encoded_csv(lake: Lake):
+    """Accented names, written and read in a one-byte encoding."""
+    path = out(lake, "latin")
+    named = lake("customer").select("c_custkey", F.concat("c_name", F.lit(" Öé")).alias("c_name"))
+    files.write_table(named, path, fmt="csv", header="true", encoding="ISO-8859-1")
+    return files.read_csv(lake.spark, path, "c_custkey bigint, c_name string", encoding="ISO-8859-1")
+
+
+@query("""SELECT n_nationkey AS id, n_name AS name, CAST(n_regionkey AS BIGINT) AS region FROM nation""")
+def json_array_files(lake: Lake):
+    """One file per region that holds an array of its nations."""
+    path = out(lake, "arrays")
+    entry = F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))
+    arrays = lake("nation").groupBy("n_regionkey").agg(F.to_json(F.collect_list(entry)).alias("value"))
+    arrays.select("value").repartition(arrays.count(), F.monotonically_increasing_id()).write.option("maxRecordsPerFile", 1).text(path)
+    return files.read_json_array(lake.spark, path, "id int, name string, region bigint")
+
+
+@query("""SELECT o_orderstatus, count(*) AS row_count FROM orders GROUP BY 1""")
+def recent_files(lake: Lake):
+    """Files changed since a moment long past: all of a nested folder."""
+    path = out(lake, "recent")
+    files.write_table(lake("orders"), f"{path}/nested", partition_by=[])
+    rows = files.read_recent(lake.spark, path, lake("orders").schema, "2020-01-01T00:00:00")
+    return agg.count_by(rows, ["o_orderstatus"])
+
+
+@query("""SELECT p_type AS category, count(*) AS row_count FROM part GROUP BY 1""")
+def full_refresh(lake: Lake):
+    """A table replaced as a whole, twice."""
+    path = out(lake, "refresh")
+    counted = agg.count_by(lake("part").withColumnRenamed("p_type", "category"), ["category"])
+    for rows in (counted.filter("row_count < 0"), counted):
+        merge.full_refresh(rows, path)
+    return lake.spark.read.parquet(path)
+
+
+@query("""SELECT unnest(['orders', 'finished', 'large']) AS metric, unnest([count(*), count(*) FILTER (o_orderstatus = 'F'),
+  count(*) FILTER (o_totalprice > 200000)]) AS value FROM orders""")
+def metric_rows(lake: Lake):
+    row = lake("orders").agg(F.count(F.lit(1)).alias("orders"), F.count_if(F.col("o_orderstatus") == "F").alias("finished"),
+                             F.count_if(F.col("o_totalprice") > 200_000).alias("large"))
+    return agg.metric_rows(row)
+
+
+@query("""SELECT event_id, user_id FROM events WHERE event_type = 'purchase'""")
+def only_one_run(lake: Lake):
+    """Messages of one run of several in the same topic."""
+    marked = lake("events").withColumn(messages.RUN_ID, F.when(F.col("event_type") == "purchase", "r2").otherwise("r1"))
+    return messages.only_run(marked, "r2").select("event_id", "user_id")

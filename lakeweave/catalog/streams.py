@@ -228,3 +228,32 @@ def stream_surge(lake: Lake):
     # an open window is priced again by every batch that adds to it: the last price holds
     prices = latest_by_key(lake.spark.read.parquet(out), ["zone", "window_ts"], ["batch_id"])
     return prices.select("zone", us("window_ts").alias("window_ts"), "trips_per_min", "idle_drivers", "surge_multiplier")
+
+
+@query("""SELECT DISTINCT CAST(user_id AS VARCHAR) AS missing_driver FROM events
+WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""")
+def stream_table_misses(lake: Lake):
+    """Drivers of events that the table does not hold, from the miss sink of the stream-table join."""
+    checkpoint, table, out, misses = dirs(lake, "drivers", "enriched", "misses")
+    body = F.to_json(F.struct(F.col("c_name").alias("full_name"), F.col("c_acctbal").alias("rating"), F.lit(2020).alias("vehicle_year")))
+    log = lake("customer").select(F.col("c_custkey").cast("string").alias("key"), F.when(F.col("c_acctbal") > 0, body).alias("value"),
+                                  F.lit(0).alias("partition"), F.col("c_custkey").alias("offset"))
+    put_batch(log, f"{table}/delta", 0)
+    finish(rides.enrich(event_stream(lake).withColumn("driver_id", F.col("user_id").cast("string")), table, out, misses), checkpoint)
+    return lake.spark.read.parquet(misses).select("missing_driver").distinct()
+
+
+@query(f"""SELECT window_start, trip_count, revenue, revenue / trip_count AS avg_fare, users / trip_count AS avg_user FROM (
+  SELECT epoch_us(date_trunc('minute', ts)) AS window_start, count(*) AS trip_count, CAST(sum({SQL_MONEY}) AS DOUBLE) AS revenue,
+    CAST(sum(user_id) AS DOUBLE) AS users FROM events GROUP BY 1) WHERE window_start + 60000000 <= {CLOSED}""")
+def stream_minute_stats(lake: Lake):
+    """Closed one-minute windows with count, sum and two averages."""
+    from ..operators.rolling import windowed
+
+    checkpoint, out = dirs(lake, "windows")
+    frame = windowed(event_stream(lake).withWatermark("ts", "1 hour"), [], "ts", "1 minute",
+                     {"trip_count": F.count(F.lit(1)), "revenue": F.sum(money("value")), "users": F.sum("user_id")})
+    finish(file_writer(frame, out), checkpoint)
+    count = F.col("trip_count")
+    return lake.spark.read.parquet(out).select(us("window_start").alias("window_start"), "trip_count", real("revenue").alias("revenue"),
+                                               (real("revenue") / count).alias("avg_fare"), (real("users") / count).alias("avg_user"))

@@ -409,6 +409,7 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
             done.append(pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, _KEPT)], names=list(_KEPT_NAMES)))
         return pa.concat_arrays(done)
 
+    clean = clean.asNondeterministic()  # so that Spark does not run it again for every field that is used
     names = {c: fresh(docs, f"__{c}") for c in found.columns}
     spans = found.select(*[F.col(c).alias(n) for c, n in names.items()])
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))

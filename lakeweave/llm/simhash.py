@@ -19,10 +19,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import jaccard
 from .components import components
 from .packed import bucket_count
 from .state import cut, fresh
-from .text import IS_SPACE, LOWER, mix, slices, word_bounds
+from .text import LOWER, mix, slices, word_bounds
 
 SEED = 42
 #: Parity masks of the [31, 26] Hamming code: bit j of the syndrome is the parity of the positions whose number has bit j.
@@ -47,12 +48,7 @@ def _column(texts: pa.Array, shingle: int, count: int = 1) -> np.ndarray:
         start, end, row = word_bounds(data, part.offsets)
         if not len(start):
             continue
-        # the words of the slice, one space apart: a shingle is then one cut of this text
-        length = end - start
-        place = np.cumsum(length + 1) - (length + 1)
-        total = int(place[-1] + length[-1])
-        joined = np.full(total, 0x20, np.uint8)
-        joined[np.arange(int(length.sum())) + np.repeat(np.arange(len(length)), length)] = data[~IS_SPACE[data]]
+        joined, place, length = jaccard.spaced(data, start, end)
         text = joined.tobytes()
         counts = np.bincount(row, minlength=part.last - part.first)
         first = np.cumsum(counts) - counts
@@ -137,7 +133,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 #
 # Five-word shingles of texts with a similarity of 0.8 differ in so many bits that no code covers them cheaply. Single words
 # hardly do: a few edits leave the word SimHash within three bits. So the anchors are taken on the fingerprint of single words,
-# and the pairs they bring together are judged by longer fingerprints of the five-word shingles.
+# and the pairs they bring together are judged by longer fingerprints of the five-word shingles. Appended, cut or replaced blocks
+# move many bits of any fingerprint; a prefix-filter join over the shingles (``jaccard``) finds every pair, whatever the edit.
 
 SKETCH = 3
 FEW_ROWS = 500  # texts held as Python objects at a time
@@ -215,7 +212,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     buckets = bucket_count(docs.sparkSession, 4)
     dealt = copies.withColumn("bucket", F.pmod(F.xxhash64("which", "anchor"), F.lit(buckets)).cast("int"))
     edges = dealt.groupBy("bucket").applyInArrow(_spanning(sketch_limit(similarity), threshold), "a long, b long")
-    groups = components(edges)
+    texts = jaccard.candidates(chosen, "text", similarity, SHINGLE_WORDS)
+    groups = components(edges.union(jaccard.links(texts, similarity)))
     named = classes.select("node", "least").join(groups, "node", "left").withColumn("root", F.coalesce("component", "node"))
     first = named.groupBy("root").agg(F.min("least").alias("component"))
     return rows.select("id", "node").join(named.select("node", "root").join(first, "root"), "node").select("id", "component")

@@ -5,8 +5,9 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
-from lakeweave.llm import components, decontamination, simhash, suffix
+from lakeweave.llm import components, decontamination, jaccard, simhash, suffix
 
 from .tables import AWKWARD, awkward, empty, table
 
@@ -229,3 +230,51 @@ def test_spanning_links_connect_what_all_pairs_connect():
     near = [(i, j) for i in range(400) for j in range(i + 1, 400) if i // 200 == j // 200
             and int(np.bitwise_count(data[i, 0] ^ data[j, 0])) <= 3 and int(np.bitwise_count(data[i, 1:] ^ data[j, 1:]).sum()) <= limit]
     assert got == groups(range(400), near) and out.num_rows < 400 < len(near)
+
+
+def edited_copies():
+    """Texts with copies that were appended to, cut, given a header, changed in one block or in scattered words, some below 0.8."""
+    rng = random.Random(21)
+
+    def prose(n):
+        return [f"{rng.choice('bcdfgklmnprst')}{rng.choice('aeiou')}{rng.randrange(300)}" for _ in range(n)]
+
+    texts = []
+    for n in (60, 90, 150, 400, 900):
+        for _ in range(4):
+            w = prose(n)
+            block, at = n * 5 // 100, n // 3
+            texts += [w, w + prose(n // 10), w + prose(n // 5), w[:n - n * 15 // 100], prose(n // 10) + w, w[:at] + prose(block) + w[at + block:],
+                      [x if rng.random() > 0.01 else "new" for x in w], w + prose(n * 3 // 10), w[:n * 7 // 10]]
+    hub = prose(200)  # a group whose members are linked by its centre, most of them not to each other
+    texts += [hub] + [[*hub[:15 * k], *prose(10), *hub[15 * k + 10:]] for k in range(13)] + [hub + prose(18) for _ in range(30)]
+    texts += [["tiny"], ["tiny", "item"], []]
+    return list(enumerate(dict.fromkeys(" ".join(w) for w in texts)))
+
+
+def brute_pairs(rows, similarity=0.8):
+    sets = {}
+    for i, text in rows:
+        w = text.lower().split()
+        sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    return [(a, b) for a in sets for b in sets if a < b and sets[a] and
+            len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9]
+
+
+def test_similar_documents_misses_no_pair(spark):
+    rows = edited_copies()
+    got = {r.id: r.component for r in simhash.similar_documents(awkward(spark, [(*r, "en", "a") for r in rows])).collect()}
+    pairs = brute_pairs(rows)
+    assert len(pairs) > 150 and [p for p in pairs if got[p[0]] != got[p[1]]] == []
+
+
+@pytest.mark.parametrize("leads", [1, 8])
+def test_exact_links_equal_all_pairs(spark, leads):
+    rows = edited_copies()
+    docs = spark.createDataFrame(rows + [(9_000 + i, t.upper()) for i, t in rows[::7]], "doc_id long, text string").repartition(3)
+    nodes = {xxhash.xxh3_64_intdigest(" ".join(t.split()).encode()): i for i, t in rows}
+    texts = jaccard.candidates(docs, "text", 0.8, 5)
+    found = [(nodes[r.a & (1 << 64) - 1], nodes[r.b & (1 << 64) - 1]) for r in jaccard.links(texts, 0.8, leads=leads).collect()]
+    pairs = brute_pairs(rows)
+    assert {tuple(sorted(p)) for p in found} <= set(pairs)
+    assert groups([i for i, _ in rows], found) == groups([i for i, _ in rows], pairs)

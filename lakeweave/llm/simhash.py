@@ -133,15 +133,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 #
 # Five-word shingles of texts with a similarity of 0.8 differ in so many bits that no code covers them cheaply. Single words
 # hardly do: a few edits leave the word SimHash within three bits. So the anchors are taken on the fingerprint of single words,
-# and the pairs they bring together are judged by longer fingerprints of the five-word shingles. Appended, cut or replaced blocks
+# and the pairs they bring together are sifted by longer fingerprints of the five-word shingles. Appended, cut or replaced blocks
 # move many bits of any fingerprint; a prefix-filter join over the shingles (``jaccard``) finds every pair, whatever the edit.
+# Fingerprints only propose: every link has the exact similarity.
 
 SKETCH = 3
 FEW_ROWS = 500  # texts held as Python objects at a time
 SIMILARITY, SHINGLE_WORDS = 0.8, 5
 
 
-def sketch_limit(similarity: float, bits: int = 64 * SKETCH, spread: float = 1.2) -> int:
+def sketch_limit(similarity: float, bits: int = 64 * SKETCH, spread: float = 3.5) -> int:
     """Most bits in which sketches of this Jaccard similarity differ: the mean and ``spread`` standard deviations."""
     share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     return int(bits * share + spread * np.sqrt(bits * share * (1 - share)))
@@ -200,7 +201,7 @@ def _spanning(limit: int, threshold: int):
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
                       threshold: int = 3) -> DataFrame:
-    """(id, component) of every row: groups of equal words or of five-word similarity about ``similarity`` or more.
+    """(id, component) of every row: groups linked by equal words or an exact five-word similarity of ``similarity`` or more.
 
     Lower-cased words count; texts without words are one group. Groups are connected components, named by their least id.
     """
@@ -211,9 +212,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     _, copies = anchors(classes.drop("least"), "node", *_SKETCHES)
     buckets = bucket_count(docs.sparkSession, 4)
     dealt = copies.withColumn("bucket", F.pmod(F.xxhash64("which", "anchor"), F.lit(buckets)).cast("int"))
-    edges = dealt.groupBy("bucket").applyInArrow(_spanning(sketch_limit(similarity), threshold), "a long, b long")
+    seeds = dealt.groupBy("bucket").applyInArrow(_spanning(sketch_limit(similarity), threshold), "a long, b long")
     texts = jaccard.candidates(chosen, "text", similarity, SHINGLE_WORDS)
-    groups = components(edges.union(jaccard.links(texts, similarity)))
+    groups = components(jaccard.links(texts, similarity, seeds))
     named = classes.select("node", "least").join(groups, "node", "left").withColumn("root", F.coalesce("component", "node"))
     first = named.groupBy("root").agg(F.min("least").alias("component"))
     return rows.select("id", "node").join(named.select("node", "root").join(first, "root"), "node").select("id", "component")

@@ -278,3 +278,9 @@ def test_exact_links_equal_all_pairs(spark, leads):
     pairs = brute_pairs(rows)
     assert {tuple(sorted(p)) for p in found} <= set(pairs)
     assert groups([i for i, _ in rows], found) == groups([i for i, _ in rows], pairs)
+
+
+def test_similar_documents_equal_brute_force_groups(spark):
+    rows = edited_copies()
+    got = {r.id: r.component for r in simhash.similar_documents(awkward(spark, [(*r, "en", "a") for r in rows])).collect()}
+    assert got == groups([i for i, _ in rows], brute_pairs(rows))  # no link below 0.8 either

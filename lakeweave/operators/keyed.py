@@ -157,9 +157,10 @@ def top_k_in_group(df: DataFrame, group: Sequence[str], measure: str, ties: Sequ
     return top_per_key(df, group, order, k, rank_column)
 
 
-def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
-    """Ordered report of at most ``n`` rows; end the order with the group key."""
-    return df.orderBy(*order).limit(n)
+def top_n(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame:
+    """Ordered report of at most ``n`` rows, all for None; end the order with the group key."""
+    ordered = df.orderBy(*order)
+    return ordered if n is None else ordered.limit(n)
 
 
 def modal_value(df: DataFrame, keys: Sequence[str], value: Column | str, alias: str) -> DataFrame:

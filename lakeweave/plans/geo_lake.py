@@ -112,7 +112,7 @@ def _active(regions: DataFrame, *columns: str) -> DataFrame:
 
 
 def aircraft_density(positions: DataFrame, regions: DataFrame, as_of_ms: Column, horizon_ms: int = HOUR_MS,
-                     limit: int = 200) -> DataFrame:
+                     limit: int | None = 200) -> DataFrame:
     """Positions, distinct aircraft, speed and altitude per active region, busiest first."""
     seen = _recent(positions, as_of_ms, horizon_ms).select(
         "lat", "lon", "ts_ms", "altitude_m", "ground_speed_kmh", F.coalesce("address", "callsign").alias("aircraft"))
@@ -125,7 +125,7 @@ def aircraft_density(positions: DataFrame, regions: DataFrame, as_of_ms: Column,
 
 
 def weather_snapshot(observations: DataFrame, regions: DataFrame, measures: Sequence[str] = OBSERVED,
-                     limit: int = 500) -> DataFrame:
+                     limit: int | None = 500) -> DataFrame:
     """Newest observation of each station with its region, ties included."""
     newest = latest_with_ties(observations.select("station_id", "ts_ms", *measures), ["station_id"], "ts_ms")
     places = regions.select(F.col("station_code").alias("__code"), F.col("name").alias("region"), "country")
@@ -134,7 +134,7 @@ def weather_snapshot(observations: DataFrame, regions: DataFrame, measures: Sequ
     return top_n(joined.select(*columns), [F.desc("ts_ms"), F.asc("station_id"), F.asc("region")], limit)
 
 
-def seismic_summary(quakes: DataFrame, as_of_ms: Column, horizon_ms: int = 24 * HOUR_MS, limit: int = 500) -> DataFrame:
+def seismic_summary(quakes: DataFrame, as_of_ms: Column, horizon_ms: int = 24 * HOUR_MS, limit: int | None = 500) -> DataFrame:
     """Quakes per region and magnitude bucket, most frequent first."""
     recent = _recent(quakes, as_of_ms, horizon_ms).withColumn("mag_bucket", magnitude_bucket("magnitude"))
     summary = recent.groupBy("region", "mag_bucket").agg(
@@ -145,7 +145,7 @@ def seismic_summary(quakes: DataFrame, as_of_ms: Column, horizon_ms: int = 24 *
 
 
 def alert_correlation(quakes: DataFrame, regions: DataFrame, thresholds: DataFrame, watchlist: DataFrame,
-                      as_of_ms: Column, horizon_ms: int = 24 * HOUR_MS, limit: int = 100) -> DataFrame:
+                      as_of_ms: Column, horizon_ms: int = 24 * HOUR_MS, limit: int | None = 100) -> DataFrame:
     """Strong recent quakes per watched region and how many recipients hear of them.
 
     The averages weigh a quake once per active watcher of its region, as a join of the two would; the
@@ -180,8 +180,8 @@ def alert_correlation(quakes: DataFrame, regions: DataFrame, thresholds: DataFra
     return top_n(mart, [F.desc("max_magnitude"), F.desc("quake_count_24h"), F.asc("region"), F.asc("country")], limit)
 
 
-def marts(spark: SparkSession, silver: str, as_of_ms: Column) -> dict[str, Callable[[], DataFrame | None]]:
-    """The four marts; each is None while one of its tables is missing."""
+def marts(spark: SparkSession, silver: str, as_of_ms: Column, limit: int | None = None) -> dict[str, Callable[[], DataFrame | None]]:
+    """The four marts, whole or their first ``limit`` rows; each is None while one of its tables is missing."""
 
     def build(make: Callable[..., DataFrame], *entities: str) -> Callable[[], DataFrame | None]:
         def run() -> DataFrame | None:
@@ -190,19 +190,19 @@ def marts(spark: SparkSession, silver: str, as_of_ms: Column) -> dict[str, Calla
         return run
 
     return {
-        "aircraft_density_by_region": build(lambda p, r: aircraft_density(p, r, as_of_ms), "ogn_positions", "regions"),
-        "weather_snapshot": build(weather_snapshot, "noaa_observations", "regions"),
-        "seismic_24h_summary": build(lambda q: seismic_summary(q, as_of_ms), "seismic_events"),
+        "aircraft_density_by_region": build(lambda p, r: aircraft_density(p, r, as_of_ms, limit=limit), "ogn_positions", "regions"),
+        "weather_snapshot": build(lambda o, r: weather_snapshot(o, r, limit=limit), "noaa_observations", "regions"),
+        "seismic_24h_summary": build(lambda q: seismic_summary(q, as_of_ms, limit=limit), "seismic_events"),
         "region_alert_correlation": build(
-            lambda q, r, t, w: alert_correlation(q, r, t, w, as_of_ms),
+            lambda q, r, t, w: alert_correlation(q, r, t, w, as_of_ms, limit=limit),
             "seismic_events", "regions", "alert_thresholds", "subscriber_watchlist"),
     }
 
 
-def build_gold(spark: SparkSession, silver: str, gold: str, as_of_ms: Column, snapshot: str) -> DataFrame:
-    """Publish every mart as a snapshot, the latest to readers; a failing mart does not stop the others."""
+def build_gold(spark: SparkSession, silver: str, gold: str, as_of_ms: Column, snapshot: str, limit: int | None = None) -> DataFrame:
+    """Publish every mart, whole unless there is a ``limit``, as a snapshot, the latest to readers; a failing mart does not stop the others."""
     outcome = []
-    for name, make in marts(spark, silver, as_of_ms).items():
+    for name, make in marts(spark, silver, as_of_ms, limit).items():
         try:
             mart = make()
             if mart is not None:

@@ -166,6 +166,18 @@ def test_geo_lake_end_to_end(spark, tmp_path):
     assert checks["seismic.freshness"] == "FAIL" and checks["noaa.freshness"] == "PASS" and checks["config.regions_active_min"] == "FAIL"
 
 
+def test_gold_publishes_whole_marts(spark, tmp_path):
+    now, bronze = geo_bronze(spark)
+    silver, one = str(tmp_path / "silver"), bronze["noaa_observations"].where("station_id = 'KJFK'").limit(1)
+    stations = one.drop("event_id", "station_id").crossJoin(spark.range(600).select(
+        F.concat(F.lit("e"), "id").alias("event_id"), F.concat(F.lit("S"), "id").alias("station_id"))).select(one.columns)
+    geo_lake.build_silver(spark, {"noaa_observations": stations, "regions": bronze["regions"]}, silver, "2026-05-28 20:00:00")
+    for limit, rows in ((None, 600), (7, 7)):
+        gold = str(tmp_path / f"gold{limit}")
+        geo_lake.build_gold(spark, silver, gold, F.lit(now), "s1", limit=limit)
+        assert layout.read_latest(spark, f"{gold}/weather_snapshot").count() == rows
+
+
 def test_correlation_average_is_weighted_like_the_join(spark):
     """Two regions of one name, two watchers on one of them: the mean weighs pairs as the join would."""
     regions = spark.createDataFrame([(1, "R", "C", 0.0, 1.0, 0.0, 1.0, True), (2, "R", "C", 2.0, 3.0, 0.0, 1.0, True)],

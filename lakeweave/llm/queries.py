@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontamination, html, language, lm_scoring, mixing, quality, simhash, suffix, toxicity
+from . import ann, cascade, decontamination, hard_negatives, html, language, lm_scoring, mixing, periodic, quality, simhash, suffix, toxicity
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -60,9 +60,26 @@ def op10_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
     return quality.scores(_table(spark, root, "documents"), _table(spark, root, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, root: str) -> DataFrame:
+    rows = _table(spark, root, "embeddings").select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", changed), anchors=F.col("vec_id") % 100 == 0)
+
+
+def op12_quality_rules(spark: SparkSession, root: str) -> DataFrame:
+    found = cascade.judged(_table(spark, root, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept")
+
+
+def op13_periodic_runs(spark: SparkSession, root: str) -> DataFrame:
+    texts = periodic.with_repeated_tails(_table(spark, root, "documents"))
+    return periodic.digests(periodic.periodic_runs(texts, id_col="id")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {name: run for name, run in sorted(globals().items()) if name.startswith("op")}
 
-#: Stupid backoff in SQL. The other results rest on XXH64, learned weights, parsers or random draws, which SQL cannot express.
+#: What SQL can express. The other results rest on XXH64, learned weights, parsers or random draws, which SQL cannot express.
 SQL = {"op1_lm_scoring": r"""
 WITH words AS (
   SELECT doc_id, i, list_extract(w, i) AS word, CASE WHEN i > 1 THEN list_extract(w, i - 1) END AS before
@@ -87,4 +104,51 @@ summed AS (
 SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, round(coalesce(total, 0), 4) AS log_score,
        round(coalesce(total / n_words, 0), 6) AS mean_log_score
 FROM documents d LEFT JOIN summed s ON s.doc_id = d.doc_id
+""",
+    "op11_hard_negatives": """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+found AS (
+  SELECT p.anchor_id, positive_id, n.vec_id AS negative_id, positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+   AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 10
+""",
+    "op12_quality_rules": r"""
+WITH texts AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+placed AS (SELECT row_number() OVER () AS r, * FROM texts),
+windows AS (
+  SELECT r, i, w[i:i + 2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM placed)),
+twice AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r),
+stats AS (
+  SELECT doc_id, t, w, l, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, len(l) AS n_lines,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
+         coalesce(c.n, 0) AS n_repeat_words
+  FROM placed LEFT JOIN covered c USING (r)),
+based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM stats)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 3 * n_words OR word_chars > 10 * n_words
+         OR 2 * n_dup_lines > n_lines
+         OR 5 * len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) < 4 * n_words
+         OR 2 * len(list_filter(w, lambda x: regexp_matches(x, '\p{Lu}') AND NOT regexp_matches(x, '\p{Ll}'))) > n_words
+         OR 2 * length(regexp_replace(t, '[^!?]', '', 'g')) > n_words
+         OR 10 * len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) > 9 * n_lines
+         OR 10 * len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) > 3 * n_lines
+         OR 50 * len(list_distinct(w)) < n_words) AS kept
+FROM based
 """}

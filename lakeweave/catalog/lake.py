@@ -165,21 +165,46 @@ def retail_lake_counts(lake: Lake):
                             ).withColumnRenamed("table_name", "stage")
 
 
-@query(f"""WITH {SQL_RETAIL} SELECT COALESCE(c_mktsegment, 'UNKNOWN') AS loyalty_tier, count(DISTINCT o_custkey) AS order_count FROM c
-LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0 WHERE o_orderstatus <> 'P' GROUP BY 1""")
-def retail_lake_segments(lake: Lake):
-    checked = retail_lake.checked_orders(retail_events(lake))
-    current = retail_lake.current_orders(retail_lake.deduplicated_orders(checked.filter("is_valid")))
+def retail_dimensions(lake: Lake) -> dict[str, DataFrame]:
     customers = lake("customer").filter("c_acctbal > 0").select(
         F.col("c_custkey").cast("int").alias("customer_id"), F.col("c_name").alias("customer_name"), F.lit("e").alias("email"),
         F.lit("c").alias("country"), F.lit("r").alias("region"), F.col("c_mktsegment").alias("loyalty_tier"))
     products = lake("orders").select(F.concat(F.lit("P-"), "o_orderpriority").alias("product_id")).distinct().select(
         "product_id", F.lit("n").alias("product_name"), F.lit("c").alias("category"), F.lit(10.0).alias("unit_cost"))
     rates = lake("region").filter("r_regionkey = 0").select(F.lit("USD").alias("currency"), F.lit(1.0).alias("rate_to_usd"))
-    enriched = retail_lake.enriched_orders(current, customers, products, rates)
+    return {"customers": customers, "products": products, "rates": rates}
+
+
+@query(f"""WITH {SQL_RETAIL} SELECT COALESCE(c_mktsegment, 'UNKNOWN') AS loyalty_tier, count(DISTINCT o_custkey) AS order_count FROM c
+LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0 WHERE o_orderstatus <> 'P' GROUP BY 1""")
+def retail_lake_segments(lake: Lake):
+    checked = retail_lake.checked_orders(retail_events(lake))
+    current = retail_lake.current_orders(retail_lake.deduplicated_orders(checked.filter("is_valid")))
+    enriched = retail_lake.enriched_orders(current, **retail_dimensions(lake))
     return retail_lake.gold(enriched)["segment_revenue"].select("loyalty_tier", "order_count")
 
 
+@query(f"""WITH {SQL_RETAIL}, s AS (SELECT * FROM c WHERE o_orderstatus <> 'P'),
+  d AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS k, count(*) AS order_count, count(DISTINCT o_custkey) AS customers, sum(CAST(amount AS DECIMAL(18,2))) AS revenue FROM s GROUP BY 1),
+  g AS (SELECT COALESCE(c_mktsegment, 'UNKNOWN') AS k, count(*) AS order_count, NULL AS customers, sum(CAST(amount AS DECIMAL(18,2))) AS revenue FROM s LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0 GROUP BY 1)
+SELECT 'day' AS kind, k, order_count, customers, CAST(round(revenue, 2) AS DOUBLE) AS revenue FROM d UNION ALL
+SELECT 'segment', k, order_count, customers, CAST(round(revenue, 2) AS DOUBLE) FROM g""")
+def retail_lake_incremental(lake: Lake):
+    """Orders landed in three batches by a hash of their key, each carried through the lake before the next one lands."""
+    base, events = out(lake, "retail-steps"), retail_events(lake)
+    for batch in range(3):
+        part = events.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == batch)
+        files.write_table(part, f"{base}/bronze/orders_raw/batch_id={batch}")
+        retail_lake.refresh(lake.spark, base, retail_dimensions(lake), buckets=8, periods=retail_lake.MONTHS)
+    days = lake.spark.read.parquet(f"{base}/gold/daily_revenue").select(
+        F.lit("day").alias("kind"), F.col("order_date").cast("string").alias("k"), "order_count",
+        F.col("customer_count").alias("customers"), F.col("total_revenue_usd").alias("revenue"))
+    segments = lake.spark.read.parquet(f"{base}/gold/segment_revenue").select(
+        F.lit("segment").alias("kind"), F.col("loyalty_tier").alias("k"), "order_count",
+        F.lit(None).cast("bigint").alias("customers"), F.col("total_revenue_usd").alias("revenue"))
+    return days.unionByName(segments)
+
+
 @query("""SELECT c_custkey AS customer_id, upper(c_mktsegment[1]) || lower(substr(c_mktsegment, 2)) AS customer_name, 'N' || c_nationkey AS country,
   COALESCE(CASE WHEN c_acctbal < 0 THEN NULL ELSE 'u@x.com' END, '-') AS email FROM customer""")
 def warehouse_customers(lake: Lake):

@@ -40,6 +40,36 @@ def _by_parts(df: DataFrame, time: Column | str, hour: bool) -> DataFrame:
     return parted.hint("rebalance", *(HOURLY if hour else DAILY))
 
 
+def list_partitions(spark: SparkSession, path: str, complete: bool = False) -> dict[str, str]:
+    """Value and path of the ``column=value`` folders directly below ``path``; ``complete``: those whose own write has finished."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = hadoop_path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return {}
+    found = [s.getPath() for s in fs.listStatus(folder) if s.isDirectory() and "=" in s.getPath().getName()]
+    return {p.getName().split("=", 1)[1]: p.toString() for p in found if not complete or fs.exists(hadoop_path(p, "_SUCCESS"))}
+
+
+def replace_partitions(df: DataFrame, path: str, column: str, touched: Sequence) -> None:
+    """Replace the partitions of ``touched`` (values of ``column``) by the rows of ``df``; all other folders keep their files.
+
+    ``df`` may read the table itself: new files are complete before any folder is exchanged. Touched partitions without a row
+    are removed. A repeated call ends in the same table.
+    """
+    spark = df.sparkSession
+    here = list_partitions(spark, path)
+    emptied = {str(v) for v in touched} & set(here)
+    if emptied:
+        held = df.select(F.col(column).cast("string").alias("v")).filter(F.col("v").isin(sorted(emptied))).distinct()
+        emptied -= {row["v"] for row in held.collect()}
+    (df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(column).parquet(path))
+    for value in emptied:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(here[value])
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_snapshot(df: DataFrame, path: str, snapshot: str) -> None:
     """Write ``snapshot=<id>/`` and then publish it by one appended row; nothing that readers use is touched."""
     df.write.mode("overwrite").parquet(f"{path}/snapshot={snapshot}")

@@ -45,7 +45,7 @@ def test_order_changes(spark, tmp_path):
     assert rows(read("gold/daily_order_kpis"), "order_date", "order_count", "paid_or_shipped_count", "recognized_revenue") == [
         ("2026-06-01", 2, 2, 195.5)]
     assert rows(read("gold/region_order_summary"), "region", "order_count", F.col("gross_order_amount").cast("string")) == [
-        ("South", 1, "120.50"), ("West", 1, "75.00")]
+        ("Delta", 1, "75.00"), ("Fjord", 1, "120.50")]
     assert rows(read("gold/clickstream_event_summary"), "event_type", "event_count") == [
         ("cart_add", 1), ("checkout_start", 1), ("product_view", 2)]
     rejected = {r["record"]["order_id"]: r["errors"] for r in read("quarantine/dlq_logistics").collect()}
@@ -110,15 +110,21 @@ def test_retail_lake(spark, tmp_path):
         retail_lake.run(spark, str(source), events[:1], str(tmp_path / "other"), "run-2", CONTRACT)
     checked = retail_lake.read_checked(spark, f"{lake}/silver/orders_checked")
     report = retail_lake.quarantine_report(checked.filter("NOT is_valid"))
-    assert rows(report, "event_id", "quality_errors") == [("evt-1006", "non_positive_amount"), ("evt-1010", "missing_product_id")]
+    assert rows(report, "event_id", "quality_errors") == [("r-11", "non_positive_amount"), ("r-23", "missing_product_id")]
     enriched = {r["order_id"]: r for r in spark.read.parquet(f"{lake}/silver/orders_enriched").collect()}
-    assert enriched[1007]["customer_match_status"] == "MISSING_CUSTOMER" and enriched[1007]["region"] == "UNKNOWN"
-    assert enriched[1006]["amount_usd"] == 97.19 and enriched[1002]["status"] == "CANCELLED"
-    daily = rows(spark.read.parquet(f"{lake}/gold/daily_revenue"), F.col("order_date").cast("string"), "order_count", "total_revenue_usd")
-    assert daily == [("2026-05-29", 1, 149.5), ("2026-05-30", 4, 1887.18)]
-    assert enriched[1001]["coupon_code"] == "SPRING10" and enriched[1003]["coupon_code"] is None
+    assert enriched[68]["customer_match_status"] == "MISSING_CUSTOMER" and enriched[68]["region"] == "UNKNOWN"
+    assert enriched[66]["amount_usd"] == 62.5 and enriched[62]["status"] == "CANCELLED"
+    assert RETAIL_DAYS == retail_days(spark, lake)
+    assert enriched[63]["coupon_code"] == "MORE-5" and enriched[61]["coupon_code"] is None
     unique = spark.read.parquet(f"{lake}/silver/orders_deduplicated")
-    assert rows(unique.filter("order_id = 1002"), "event_id") == [("evt-1002",), ("evt-1011",)]
+    assert rows(unique.filter("order_id = 62"), "event_id") == [("r-09",), ("r-24",)]
+
+
+RETAIL_DAYS = [("2025-11-03", 1, 84.25), ("2025-11-05", 4, 181.5)]
+
+
+def retail_days(spark, lake):
+    return rows(spark.read.parquet(f"{lake}/gold/daily_revenue"), F.col("order_date").cast("string"), "order_count", "total_revenue_usd")
 
 
 def test_retail_lake_incremental(spark, tmp_path):
@@ -133,6 +139,88 @@ def test_retail_lake_incremental(spark, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         metrics = retail_lake.run_incremental(spark, str(source), str(lake), checkpoint)
         assert metrics == CONTRACT | {"processed_files": 2}
+    assert RETAIL_DAYS == retail_days(spark, lake)
+
+
+def retail_gold(spark, lake):
+    """All of gold and the current orders, without the folder columns of the incremental layout."""
+    out = {}
+    for name in ("gold/daily_revenue", "gold/category_revenue", "gold/segment_revenue", "silver/orders_enriched"):
+        frame = spark.read.parquet(f"{lake}/{name}")
+        kept = sorted(c for c in frame.columns if c not in ("period", "bucket", "batch_id") and not c.startswith("_"))
+        out[name] = sorted(map(tuple, frame.select(kept).collect()), key=repr)
+    return out
+
+
+def retail_dimensions(spark, tmp_path):
+    source = tmp_path / "dimensions"
+    source.mkdir()
+    fx.write_retail_inputs(source)
+    return retail_lake.read_dimensions(spark, str(source))
+
+
+def land_retail(spark, lake, batch, events):
+    records = spark.createDataFrame([(*e, None, None) for e in events], ", ".join(
+        f"{c} {'int' if c in ('order_id', 'customer_id') else 'double' if c == 'amount' else 'string'}" for c in fx.RETAIL_COLUMNS)
+        + ", coupon_code string, delivery_promise string")
+    records.write.mode("overwrite").parquet(f"{lake}/bronze/orders_raw/batch_id={batch}")
+
+
+def data_files(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_retail_refresh_touches_only_the_orders_of_new_files(spark, tmp_path):
+    """Several loads end as one; days that no order left or reached keep their files; a day that its last order left goes."""
+    dimensions, lake, whole = retail_dimensions(spark, tmp_path), tmp_path / "lake", tmp_path / "whole"
+    loads = [fx.RETAIL_BATCH_1, fx.RETAIL_BATCH_2,
+             [("r-31", 61, 301, "POT-1", "PAID", 84.25, "USD", "web", "2025-11-09T10:00:00Z"),  # leaves its day empty
+              ("r-05", 65, 304, "PAN-2", "CANCELLED", 62.00, "USD", "web", "2025-11-03T09:02:00Z")],  # an older id of a copy
+             [("r-41", 70, 301, "POT-1", "NEW", 5.00, "USD", "web", "bad time")]]
+    touched = []
+    for batch, events in enumerate(loads):
+        before = data_files(lake / "gold/daily_revenue") if batch else {}
+        land_retail(spark, lake, batch, events)
+        touched.append(retail_lake.refresh(spark, str(lake), dimensions, buckets=4))
+        after = data_files(lake / "gold/daily_revenue")
+        for name, changed in before.items():
+            if name.split("/")[0].split("=")[1] not in touched[-1]:
+                assert after[name] == changed
+    assert touched == [["2025-11-03"], ["2025-11-03", "2025-11-05"], ["2025-11-03", "2025-11-09"], []]
+    assert not list((lake / "gold/daily_revenue/period=2025-11-03").glob("*.parquet"))
+    assert retail_lake.refresh(spark, str(lake), dimensions) == []
+    land_retail(spark, whole, 0, [e for load in loads for e in load])
+    retail_lake.refresh(spark, str(whole), dimensions, buckets=4)
+    assert retail_gold(spark, lake) == retail_gold(spark, whole)
+    unique = spark.read.parquet(f"{lake}/silver/orders_deduplicated")
+    assert rows(unique.filter("order_id = 65"), "event_id") == [("r-05",)]
+    refined = retail_lake.refine(spark, str(whole), dimensions)  # the batch form over the same bronze table
+    assert refined["current_order_rows"] == len(retail_gold(spark, lake)["silver/orders_enriched"])
+    assert {k: v for k, v in retail_gold(spark, whole).items() if k.startswith("gold")} == {
+        k: v for k, v in retail_gold(spark, lake).items() if k.startswith("gold")}
+
+
+@pytest.mark.parametrize("broken", ["gold/segment_by_day", "silver/orders_deduplicated"])
+def test_retail_refresh_that_broke_off_is_repeated(spark, tmp_path, monkeypatch, broken):
+    dimensions, lake, whole = retail_dimensions(spark, tmp_path), tmp_path / "lake", tmp_path / "whole"
+    land_retail(spark, lake, 0, fx.RETAIL_BATCH_1)
+    retail_lake.refresh(spark, str(lake), dimensions, buckets=4)
+    land_retail(spark, lake, 1, fx.RETAIL_BATCH_2)
+    own = retail_lake.replace_partitions
+
+    def failing(df, path, *rest):
+        if path.endswith(broken):
+            raise OSError("executor lost")
+        own(df, path, *rest)
+
+    monkeypatch.setattr(retail_lake, "replace_partitions", failing)
+    with pytest.raises(OSError):
+        retail_lake.refresh(spark, str(lake), dimensions, buckets=4)
+    monkeypatch.undo()
+    assert retail_lake.refresh(spark, str(lake), dimensions, buckets=4) == ["2025-11-03", "2025-11-05"]
+    land_retail(spark, whole, 0, fx.RETAIL_BATCH_1 + fx.RETAIL_BATCH_2)
+    retail_lake.refresh(spark, str(whole), dimensions, buckets=4)
+    assert retail_gold(spark, lake) == retail_gold(spark, whole)
 
 
 def test_warehouse(spark, tmp_path):
@@ -159,7 +247,9 @@ def test_warehouse(spark, tmp_path):
 
 
 def test_warehouse_gate_stops_bad_load(spark, tmp_path):
-    (tmp_path / "orders.csv").write_text(fx.WAREHOUSE_ORDERS.replace("31.98", "-31.98"))
+    spoiled = fx.WAREHOUSE_ORDERS.replace("21.00", "-21.00")
+    assert spoiled != fx.WAREHOUSE_ORDERS
+    (tmp_path / "orders.csv").write_text(spoiled)
     (tmp_path / "customers.csv").write_text(fx.WAREHOUSE_CUSTOMERS)
     with pytest.raises(ValueError, match="no_negative_amounts"):
         warehouse.run(spark, str(tmp_path / "orders.csv"), str(tmp_path / "customers.csv"), str(tmp_path / "wh"), "r1")

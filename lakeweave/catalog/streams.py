@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import money
@@ -42,6 +44,18 @@ class StreamLake(Lake):
         return event_stream(Lake(self.spark, self.root)) if table == "events" else super().__call__(table)
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """The state store that processors with several states and timers need, for sessions that have another one set."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(provider, before) if before else spark.conf.unset(provider)
+
+
 def dirs(lake: Lake, *names: str) -> list[str]:
     root = scratch_dir(lake.spark, "stream")
     return [f"{root}/{name}" for name in ("checkpoint", *names)]
@@ -174,10 +188,7 @@ def stream_message_upsert(lake: Lake):
 @query("""SELECT event_id, c_name AS full_name FROM events JOIN customer ON user_id = c_custkey WHERE c_acctbal > 0""")
 def stream_table_enrich(lake: Lake):
     checkpoint, table, out, misses = dirs(lake, "drivers", "enriched", "misses")
-    body = F.to_json(F.struct(F.col("c_name").alias("full_name"), F.col("c_acctbal").alias("rating"), F.lit(2020).alias("vehicle_year")))
-    log = lake("customer").select(F.col("c_custkey").cast("string").alias("key"), F.when(F.col("c_acctbal") > 0, body).alias("value"),
-                                  F.lit(0).alias("partition"), F.col("c_custkey").alias("offset"))
-    put_batch(log, f"{table}/delta", 0)
+    put_batch(driver_log(lake("customer"), "c_acctbal > 0"), f"{table}/delta", 0)
     trips = event_stream(lake).withColumn("driver_id", F.col("user_id").cast("string"))
     finish(rides.enrich(trips, table, out, misses), checkpoint)
     return lake.spark.read.parquet(out).select("event_id", F.col("driver_name").alias("full_name"))
@@ -190,14 +201,9 @@ def stream_trail_state(lake: Lake):
     checkpoint, out = dirs(lake, "tracks")
     positions = event_stream(lake).select(
         "user_id", "ts", F.floor(micros("ts") / 1000).alias("ts_ms"), F.col("value").alias("lat"), F.col("value").alias("lon"))
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = lake.spark.conf.get(provider, None)
-    lake.spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
+    with rocksdb_state(lake.spark):
         finish(trails.track(positions, "user_id", "ts").writeStream.outputMode("append").format("parquet").option("path", out),
                checkpoint)
-    finally:
-        lake.spark.conf.set(provider, before) if before else lake.spark.conf.unset(provider)
     # a key has a row per batch that brought it: its newest is its track
     tracks = latest_by_key(lake.spark.read.parquet(out).filter("status = 'active'"), ["key"], ["ts_ms", "points"])
     return tracks.select("key", F.col("points").cast("bigint").alias("points"), "ts_ms")
@@ -230,17 +236,46 @@ def stream_surge(lake: Lake):
     return prices.select("zone", us("window_ts").alias("window_ts"), "trips_per_min", "idle_drivers", "surge_multiplier")
 
 
-@query("""SELECT DISTINCT CAST(user_id AS VARCHAR) AS missing_driver FROM events
-WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""")
+def driver_log(customers: DataFrame, live: str, offset: int = 0) -> DataFrame:
+    """A change message for every customer: its row where ``live`` holds, else a removal."""
+    body = F.to_json(F.struct(F.col("c_name").alias("full_name"), F.col("c_acctbal").alias("rating"), F.lit(2020).alias("vehicle_year")))
+    return customers.select(F.col("c_custkey").cast("string").alias("key"), F.when(F.expr(live), body).alias("value"),
+                                   F.lit(0).alias("partition"), (F.col("c_custkey") + offset).alias("offset"))
+
+
+@query("""SELECT CAST(user_id AS VARCHAR) AS driver_id, count(*) AS trips FROM events
+WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY 1""")
 def stream_table_misses(lake: Lake):
-    """Drivers of events that the table does not hold, from the miss sink of the stream-table join."""
+    """Trips per driver that the table does not hold, from the miss sink of the stream-table join."""
     checkpoint, table, out, misses = dirs(lake, "drivers", "enriched", "misses")
-    body = F.to_json(F.struct(F.col("c_name").alias("full_name"), F.col("c_acctbal").alias("rating"), F.lit(2020).alias("vehicle_year")))
-    log = lake("customer").select(F.col("c_custkey").cast("string").alias("key"), F.when(F.col("c_acctbal") > 0, body).alias("value"),
-                                  F.lit(0).alias("partition"), F.col("c_custkey").alias("offset"))
-    put_batch(log, f"{table}/delta", 0)
+    put_batch(driver_log(lake("customer"), "c_acctbal > 0"), f"{table}/delta", 0)
     finish(rides.enrich(event_stream(lake).withColumn("driver_id", F.col("user_id").cast("string")), table, out, misses), checkpoint)
-    return lake.spark.read.parquet(misses).select("missing_driver").distinct()
+    return lake.spark.read.parquet(misses).groupBy("driver_id").agg(F.sum("trips").alias("trips"))
+
+
+@query("""WITH live AS (SELECT c_custkey AS user_id, 0 AS half FROM customer WHERE c_acctbal > 0 UNION ALL
+    SELECT c_custkey, 1 FROM customer WHERE CASE WHEN c_nationkey % 3 = 0 THEN c_acctbal <= 0 ELSE c_acctbal > 0 END)
+SELECT CAST(e.user_id AS VARCHAR) AS driver_id, CASE WHEN l.user_id IS NOT NULL THEN e.event_id % 2 END AS half, count(*) AS trips,
+  CASE WHEN l.user_id IS NOT NULL THEN CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) END AS total,
+  CASE WHEN l.user_id IS NOT NULL THEN max(epoch_us(ts)) END AS last_us
+FROM events e LEFT JOIN live l ON l.user_id = e.user_id AND l.half = e.event_id % 2 GROUP BY e.user_id, 2, l.user_id""")
+def stream_table_state(lake: Lake):
+    """Trips joined with a table held in state: half of them, then changes to a third of the table, then the rest."""
+    checkpoint, log, trips, out, misses = dirs(lake, "log", "trips", "enriched", "misses")
+    events = lake("events").withColumn("driver_id", F.col("user_id").cast("string"))
+    base = driver_log(lake("customer"), "c_acctbal > 0")
+    later = driver_log(lake("customer").filter("c_nationkey % 3 = 0"), "c_acctbal <= 0", 1_000_000_000)
+    read = lake.spark.readStream.option("maxFilesPerTrigger", FILES_PER_BATCH)
+    with rocksdb_state(lake.spark):
+        for half, changes in enumerate((base.limit(0), later)):
+            events.filter(F.col("event_id") % 2 == half).write.parquet(f"{trips}/half={half}")
+            changes.write.parquet(f"{log}/half={half}")
+            finish(rides.enrich_in_state(read.schema(events.schema).parquet(f"{trips}/*"), read.schema(base.schema).parquet(f"{log}/*"),
+                                         out, misses, base=base, salts=2), checkpoint)
+    hits = lake.spark.read.parquet(out).groupBy("driver_id", (F.col("event_id") % 2).alias("half")).agg(
+        F.count(F.lit(1)).alias("trips"), F.sum(money("value")).cast("double").alias("total"), F.max(micros("ts")).alias("last_us"))
+    unknown = lake.spark.read.parquet(misses).groupBy("driver_id").agg(F.sum("trips").alias("trips"))
+    return hits.unionByName(unknown, allowMissingColumns=True)
 
 
 @query(f"""SELECT window_start, trip_count, revenue, revenue / trip_count AS avg_fare, users / trip_count AS avg_user FROM (

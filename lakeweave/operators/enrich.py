@@ -71,13 +71,18 @@ def with_membership(df: DataFrame, known: DataFrame, key: str, known_key: str, f
             .withColumn(flag, F.col("__member").isNotNull()).drop("__member"))
 
 
+def with_table_row(facts: DataFrame, table: DataFrame, key: str, columns: dict[str, Column], flag: str) -> DataFrame:
+    """Facts with the table's columns and a flag that tells whether the table, one row per key, holds their key."""
+    lookup_side = table.select(F.col(key).alias("__key"), F.lit(True).alias(flag), *[c.alias(n) for n, c in columns.items()])
+    return (facts.join(lookup_side, F.col(key) == F.col("__key"), "left").drop("__key")
+            .withColumn(flag, F.coalesce(flag, F.lit(False))))
+
+
 def stream_table_join(facts: DataFrame, table: DataFrame, key: str,
                       columns: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """(facts with the table's columns, facts whose key the table lacks)."""
-    lookup_side = table.select(F.col(key).alias("__key"), *[c.alias(n) for n, c in columns.items()])
-    joined = facts.join(lookup_side, F.col(key) == F.col("__key"), "inner").drop("__key")
-    misses = facts.join(table.select(key), [key], "left_anti")
-    return joined, misses
+    """(facts with the table's columns, facts whose key the table lacks), the two halves of one left join."""
+    flagged = with_table_row(facts, table, key, columns, "__hit")
+    return flagged.filter("__hit").drop("__hit"), flagged.filter("NOT __hit").select(*facts.columns)
 
 
 def driver_columns() -> dict[str, Column]:

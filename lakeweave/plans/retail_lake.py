@@ -120,7 +120,7 @@ def run(spark: SparkSession, source: str, event_files: Sequence[str], lake: str,
 
 
 BUCKET, BUCKETS = "bucket", 64
-PERIOD, DAYS, MONTHS = "period", "yyyy-MM-dd", "yyyy-MM"
+PERIOD, DAYS, MONTHS, YEARS = "period", "yyyy-MM-dd", "yyyy-MM", "yyyy"
 
 
 def order_bucket(buckets: int) -> Column:
@@ -128,7 +128,7 @@ def order_bucket(buckets: int) -> Column:
 
 
 def in_period(day: str, periods: str) -> Column:
-    """The folder of a day: the day itself, or its month where days are small."""
+    """The folder of a day: the day itself, or its month or year where days are small."""
     return F.date_format(day, periods)
 
 

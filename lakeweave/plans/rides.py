@@ -39,6 +39,11 @@ def enrich(trips: DataFrame, drivers: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stream_table_join(trips, drivers, "driver_id", driver_columns())
 
 
+def missing_drivers(unknown: DataFrame) -> DataFrame:
+    """Trips per driver that the table lacks."""
+    return unknown.groupBy("driver_id").agg(F.count(F.lit(1)).alias("trips"))
+
+
 def validate(trips: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(dead letter per broken expectation, pass/fail per expectation, batch score)."""
     rules = quality.ride_expectations()

@@ -69,7 +69,7 @@ def upsert_messages(topic: DataFrame, schema: str, keys: Sequence[str], update:
         present = parsed.filter(F.col(keys[0]).isNotNull())
         rows = merge.last_change_per_key(present, keys, ["_kafka_partition", "_kafka_offset"]).select(*columns)
         add_delta(rows, silver, batch_id, fold, compact_every)
-    return per_batch(topic, write)
+    return per_batch(topic, write, sinks=2)
 
 
 def order_event_batches(topic: DataFrame, clean: str, totals: str) -> DataStreamWriter:
@@ -78,7 +78,7 @@ def order_event_batches(topic: DataFrame, clean: str, totals: str) -> DataStream
         orders, sums = record_jobs.event_batch(batch)
         put_batch(orders, clean, batch_id)
         put_batch(sums, totals, batch_id)
-    return per_batch(topic, write)
+    return per_batch(topic, write, sinks=2)
 
 
 def act_once(df: DataFrame, event_id: str, notice: Column, log: str) -> DataStreamWriter:

@@ -9,7 +9,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.numeric import surge_multiplier
 from ..operators.changes import changelog_table
+from ..operators.enrich import driver_columns
 from ..plans import rides
+from . import lookups
 from .sinks import add_delta, file_writer, fold_latest, per_batch, put_batch, read_folded
 
 
@@ -19,7 +21,7 @@ def route(trips: DataFrame, clean: str, dead: str) -> DataStreamWriter:
         good, bad = rides.route(batch)
         put_batch(good, clean, batch_id)
         put_batch(bad, dead, batch_id)
-    return per_batch(trips, write)
+    return per_batch(trips, write, sinks=2)
 
 
 def validate(trips: DataFrame, dead: str, counts: str, scores: str) -> DataStreamWriter:
@@ -29,16 +31,39 @@ def validate(trips: DataFrame, dead: str, counts: str, scores: str) -> DataStrea
         put_batch(letters, dead, batch_id)
         put_batch(per_rule, counts, batch_id)
         put_batch(score, scores, batch_id)
-    return per_batch(trips, write)
+    return per_batch(trips, write, sinks=3)
 
 
 def enrich(trips: DataFrame, drivers: str, enriched: str, misses: str) -> DataStreamWriter:
-    """Join each micro-batch with the driver table as it stands; unknown drivers are counted."""
+    """Join each micro-batch with the driver table as it stands; ``misses`` gets the trips per unknown driver of each batch.
+
+    The table is folded for every batch: for small tables. ``enrich_in_state`` keeps the rows in the state store instead.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         joined, unknown = rides.enrich(batch, current_drivers(batch.sparkSession, drivers))
         put_batch(joined, enriched, batch_id)
-        put_batch(unknown.agg(F.count(F.lit(1)).alias("missing_driver")), misses, batch_id)
-    return per_batch(trips, write)
+        put_batch(rides.missing_drivers(unknown), misses, batch_id)
+    return per_batch(trips, write, sinks=2)
+
+
+def enrich_in_state(trips: DataFrame, changelog: DataFrame, enriched: str, misses: str, base: DataFrame | None = None,
+                    salts: int = 1) -> DataStreamWriter:
+    """The same join with every driver's row in the state store: a batch costs its trips and changes, not the table.
+
+    ``base`` (key, value, partition, offset) fills the table before the first batch. See ``lookups.join_table``.
+    """
+    schema = T.StructType.fromDDL(rides.DRIVER)
+    rows = lookups.join_table(trips, "driver_id", lookups.keyed_changes(changelog, "driver_id"),
+                              base=None if base is None else lookups.keyed_changes(base, "driver_id"), salts=salts)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        facts = lookups.facts_of(batch, trips.schema)
+        known = facts.filter(F.col(lookups.TABLE_ROW).isNotNull()).select(
+            F.struct(*trips.columns).alias("__trip"), F.from_json(lookups.TABLE_ROW, schema).alias("__row"))
+        parts = known.select("__trip", *[f"__row.{name}" for name in schema.fieldNames() if name != "driver_id"])
+        put_batch(parts.select("__trip.*", *[c.alias(n) for n, c in driver_columns().items()]), enriched, batch_id)
+        put_batch(rides.missing_drivers(facts.filter(F.col(lookups.TABLE_ROW).isNull())), misses, batch_id)
+    return per_batch(rows, write, sinks=2)
 
 
 DRIVER_FOLD = fold_latest(["key"], ["partition", "offset"])

@@ -32,15 +32,15 @@ def finish(writer: DataStreamWriter, checkpoint: str) -> None:
     start(writer, checkpoint).awaitTermination()
 
 
-def per_batch(df: DataFrame, write: BatchWriter) -> DataStreamWriter:
-    """A foreachBatch writer whose batch is computed once for all sinks it feeds."""
+def per_batch(df: DataFrame, write: BatchWriter, sinks: int = 1) -> DataStreamWriter:
+    """A foreachBatch writer; a batch that feeds several ``sinks`` is computed once and kept while they are written."""
     def cached(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             write(batch, batch_id)
         finally:
             batch.unpersist()
-    return df.writeStream.foreachBatch(cached)
+    return df.writeStream.foreachBatch(cached if sinks > 1 else write)
 
 
 def file_writer(df: DataFrame, target: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> DataStreamWriter:

@@ -114,7 +114,42 @@ def test_driver_table_and_enrichment(spark, folder, tmp_path):
     got = spark.read.parquet(out)
     assert got.count() == 8 and collected(got.filter("driver_id = 'd1'").select("driver_name", "driver_rating", "vehicle").distinct(),
                                           "driver_name", "driver_rating", "vehicle") == [("New", None, "2020 T Y")]
-    assert spark.read.parquet(misses).agg(F.sum("missing_driver")).first()[0] == 1
+    unknown = spark.read.parquet(misses)
+    assert unknown.columns == ["driver_id", "trips", "batch_id"] and unknown.agg(F.sum("trips")).first()[0] == 1
+
+
+def test_table_in_state_follows_its_changelog(spark, tmp_path):
+    """Trips of three batches meet a table that changes between them; removals, late and broken messages, keys of all kinds."""
+    trips, log = tmp_path / "trips", tmp_path / "log"
+    trips.mkdir(), log.mkdir()
+    row = lambda name, **extra: json.dumps({"full_name": name, "rating": 4.5, "vehicle_year": 2020} | extra)
+    message = lambda key, value, offset, partition=0: json.dumps({"key": key, "value": value, "partition": partition, "offset": offset}) + "\n"
+    base = spark.createDataFrame([("a", row("A0"), 0, 1), ("b", row("B0"), 0, 2), ("gone", None, 0, 9)],
+                                 "key string, value string, partition int, offset bigint")
+    changes = [message("a", row("A1"), 5) + message("a", row("A older"), 4) + message("c", row("C0", rating=None), 6) + message("b", "not json", 7),
+               message("b", None, 8) + message("b", row("B older"), 3) + message('{"driver_id": "d"}', row("D0"), 10),
+               message(None, row("E0", driver_id="e"), 11) + message("gone", row("late"), 4) + message(None, None, 12)]
+    big = 9_007_199_254_740_993
+    asked = [["a", "b", "c", "gone", None], ["a", "b", "b", "c", "x", "d"], ["a", "b", "e", "gone", "x", None]]
+    for i in range(3):
+        (log / f"{i}.json").write_text(changes[i])
+        (trips / f"{i}.json").write_text("".join(json.dumps({"driver_id": d, "n": big + i, "at": f"2025-01-0{i + 1}T00:00:00.000123Z"}) + "\n" for d in asked[i]))
+    in_order(log), in_order(trips)
+    out, misses = str(tmp_path / "enriched"), str(tmp_path / "misses")
+    read = spark.readStream.option("maxFilesPerTrigger", 1)
+    for salts in (1, 3):
+        stream = read.schema("driver_id string, n bigint, at timestamp").json(str(trips))
+        changed = read.schema("key string, value string, partition int, offset bigint").json(str(log))
+        sinks.finish(rides.enrich_in_state(stream, changed, f"{out}{salts}", f"{misses}{salts}", base=base, salts=salts), str(tmp_path / f"c{salts}"))
+        got = spark.read.parquet(f"{out}{salts}")
+        assert collected(got, "batch_id", "driver_id", "driver_name", "n") == [
+            (0, "a", "A1", big), (0, "b", "B0", big), (0, "c", "C0", big), (1, "a", "A1", big + 1), (1, "c", "C0", big + 1), (1, "d", "D0", big + 1),
+            (2, "a", "A1", big + 2), (2, "e", "E0", big + 2)]
+        assert got.filter("date_format(at, 'SSSSSS') <> '000123'").count() == 0
+        assert collected(got.filter("driver_id = 'c' AND batch_id = 0"), "driver_rating", "vehicle") == [(None, "2020 None None")]
+        unknown = spark.read.parquet(f"{misses}{salts}")
+        assert sorted(map(tuple, unknown.select("batch_id", "driver_id", "trips").collect()), key=repr) == sorted([
+            (0, "gone", 1), (0, None, 1), (1, "b", 2), (1, "x", 1), (2, "b", 1), (2, "gone", 1), (2, "x", 1), (2, None, 1)], key=repr)
 
 
 def test_trail_state_across_batches_and_expiry(spark, tmp_path):

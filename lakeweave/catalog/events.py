@@ -58,12 +58,19 @@ def running_total(lake: Lake):
 @query(f"""SELECT event_id, user_id, count(*) OVER w AS trailing_count, CAST(sum({SQL_MONEY}) OVER w AS DOUBLE) AS trailing_value
 FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 3600 SECOND PRECEDING AND CURRENT ROW)""")
 def rolling_hour(lake: Lake):
-    rows = lake("events").withColumn("m", money("value"))
-    ranged = rolling.trailing_range(rows, ["event_type"], "ts", 3600,
-                                    {"trailing_count": F.count(F.lit(1)), "trailing_value": F.sum("m")}, 86_400)
+    ranged = rolling.trailing_sums(lake("events"), ["event_type"], "ts", 3600, {"trailing_value": money("value")})
     return ranged.select("event_id", "user_id", "trailing_count", real("trailing_value").alias("trailing_value"))
 
 
+@query("""SELECT event_id, min(value) OVER w AS least_value, max(value) OVER w AS greatest_value, count(*) OVER w AS trailing_count
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 86400 SECOND PRECEDING AND CURRENT ROW)""")
+def rolling_extremes(lake: Lake):
+    """Least and greatest value of each user's last day, beside the count of its rows."""
+    found = rolling.trailing_extremes(lake("events"), ["user_id"], "ts", 86_400, {"least_value": F.col("value")}, {"greatest_value": F.col("value")})
+    counted = rolling.trailing_sums(found, ["user_id"], "ts", 86_400, {}, chunk_seconds=7 * 86_400)
+    return counted.select("event_id", "least_value", "greatest_value", "trailing_count")
+
+
 @query("""SELECT event_id, user_id, rn > 1 AS is_duplicate FROM (SELECT *, row_number() OVER (
   PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events)""")
 def flag_duplicates(lake: Lake):

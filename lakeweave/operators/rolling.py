@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.temporal import micros, time_chunk
 
@@ -44,7 +45,8 @@ def trailing_range(df: DataFrame, keys: Sequence[str], time: str, seconds: float
 
     ``measures`` map output names to aggregate columns such as ``F.sum("fare")``. Keys are cut
     into time chunks; rows near the end of a chunk are also sent to the chunks that look back
-    on them, so each task sees one chunk of one key plus its halo.
+    on them, so each task sees one chunk of one key plus its halo. Any aggregate will do, but each row is summed up anew from its
+    frame: ``trailing_sums`` and ``trailing_extremes`` take time in proportion to the rows instead.
     """
     span, width = int(seconds * 1_000_000), chunk_seconds * 1_000_000
     home = time_chunk(F.col("__us"), width)
@@ -59,6 +61,67 @@ def trailing_range(df: DataFrame, keys: Sequence[str], time: str, seconds: float
             .select(*df.columns, *measures))
 
 
+def trailing_sums(df: DataFrame, keys: Sequence[str], time: str, seconds: float, sums: dict[str, Column],
+                  count: str = "trailing_count", chunk_seconds: int = 3_600) -> DataFrame:
+    """Sums and row count over ``[time - seconds, time]`` for every row, both ends included, rows of the same instant too.
+
+    Every row enters at its time and leaves just after time + seconds, so that one running sum per key holds what is inside.
+    It is cut into time chunks as running totals are: chunk totals are folded map-side, and each chunk begins with what the
+    chunks before it left over. Work follows the number of rows, however many lie in a range, and chunks need not be as
+    long as the range.
+
+    ``sums`` are whole numbers or decimals: what leaves must cancel what entered to the last digit, which doubles don't (cast
+    them). A sum without a value is null; rows without a time see only each other.
+    """
+    types = {f.name: f.dataType for f in df.select(*[c.alias(n) for n, c in sums.items()]).schema}
+    if inexact := [n for n, t in types.items() if isinstance(t, (T.DoubleType, T.FloatType))]:
+        raise TypeError(f"cast to decimal before summing over a trailing range: {', '.join(inexact)}")
+    span, width = int(seconds * 1_000_000), chunk_seconds * 1_000_000
+    rows = df.select(*df.columns, micros(time).alias("__us"), F.lit(1).cast("bigint").alias("__n"),
+                     *[c.alias(f"__v_{n}") for n, c in sums.items()],
+                     *[c.isNotNull().cast("bigint").alias(f"__k_{n}") for n, c in sums.items()])
+    totals = ["__n", *[f"__{kind}_{n}" for n in sums for kind in "vk"]]
+    moves = F.array(F.struct(F.col("__us").alias("at"), F.lit(1).alias("sign")), F.struct((F.col("__us") + span + 1).alias("at"), F.lit(-1).alias("sign")))
+    moves = F.when(F.col("__us").isNull(), F.slice(moves, 1, 1)).otherwise(moves)
+    signed = rows.select("*", F.inline(moves)).select(*df.columns, "at", "sign", time_chunk(F.col("at"), width).alias("__chunk"),
+                                                      *[(F.col(c) * F.col("sign")).alias(c) for c in totals])
+    folded = signed.filter(F.col("__chunk").isNotNull()).groupBy(*keys, "__chunk").agg(*[F.sum(c).alias(c) for c in totals])
+    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = folded.select(*keys, "__chunk", (F.col("__chunk") * width).alias("at"), F.lit(0).alias("sign"),
+                            *[F.sum(c).over(earlier).alias(c) for c in totals])
+    inside = Window.partitionBy(*keys, "__chunk").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = lambda c: F.sum(c).over(inside)
+    found = signed.unionByName(carried, allowMissingColumns=True).select(
+        "sign", *df.columns, upto("__n").alias(count),
+        *[F.when(upto(f"__k_{n}") > 0, upto(f"__v_{n}")).alias(n) for n in sums])
+    return found.filter("sign = 1").drop("sign")
+
+
+def trailing_extremes(df: DataFrame, keys: Sequence[str], time: str, seconds: float, least: dict[str, Column] | None = None,
+                      greatest: dict[str, Column] | None = None) -> DataFrame:
+    """Least and greatest values over ``[time - seconds, time]`` for every row, both ends included.
+
+    Time is cut into blocks as long as the range, which then is the end of one block and the start of the next: the
+    extreme is that of a suffix and of a prefix, both running in their block. Each row goes to its block and, as a
+    predecessor, to the next one; both directions are windows over one shuffle, in time proportional to the rows.
+    Rows without a time see only each other.
+    """
+    span = max(1, int(seconds * 1_000_000))
+    kinds = [(n, c, F.min, F.least) for n, c in (least or {}).items()] + [(n, c, F.max, F.greatest) for n, c in (greatest or {}).items()]
+    rows = df.select(*df.columns, micros(time).alias("__us"), *[c.alias(f"__v_{n}") for n, c, _, _ in kinds])
+    block = time_chunk(F.col("__us"), span)
+    places = F.array(F.struct(block.alias("__block"), F.lit(True).alias("__own")), F.struct((block + 1).alias("__block"), F.lit(False).alias("__own")))
+    places = F.when(F.col("__us").isNull(), F.slice(places, 1, 1)).otherwise(places)
+    spread = rows.select("*", F.inline(places)).withColumn(
+        "__at", F.when(F.col("__own"), F.col("__us")).otherwise(F.col("__us") + span))
+    forward = Window.partitionBy(*keys, "__block").orderBy("__at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    backward = Window.partitionBy(*keys, "__block").orderBy(F.desc("__at")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    own, earlier = (lambda n: F.when(F.col("__own"), F.col(f"__v_{n}"))), (lambda n: F.when(~F.col("__own"), F.col(f"__v_{n}")))
+    found = spread.select("__own", *df.columns, *[both(fold(own(n)).over(forward), fold(earlier(n)).over(backward)).alias(n)
+                                                  for n, _, fold, both in kinds])
+    return found.filter("__own").drop("__own")
+
+
 def windowed(df: DataFrame, keys: Sequence[str], time: str, size: str, aggregates: dict[str, Column],
              slide: str | None = None) -> DataFrame:
     """Tumbling windows, or hopping ones when ``slide`` is given; batch and streaming alike."""

@@ -133,6 +133,30 @@ def test_trailing_range(events, seconds, chunk):
     assert collected(got, "id", "n", "total") == sorted(expected)
 
 
+@pytest.mark.parametrize("seconds,chunk", [(60, 30), (60, 3600), (1000, 100), (0, 50)])
+def test_trailing_sums_and_extremes(events, seconds, chunk):
+    rows, df = events
+    inside = {i: [a for _, k, t, a in rows if k == key and s - seconds <= t <= s] for i, key, s, _ in rows}
+    got = rolling.trailing_sums(df, ["key"], "ts", seconds, {"total": F.col("amount")}, "n", chunk)
+    assert collected(got, "id", "n", "total") == sorted((i, len(v), sum(v)) for i, v in inside.items())
+    got = rolling.trailing_extremes(df, ["key"], "ts", seconds, {"low": F.col("amount")}, {"high": F.col("amount")})
+    assert collected(got, "id", "low", "high") == sorted((i, min(v), max(v)) for i, v in inside.items())
+
+
+def test_trailing_sums_of_nulls_and_doubles(spark):
+    df = spark.createDataFrame([("a", None, 1, None), ("a", None, 2, 0.5), ("a", 5, 4, None), ("a", 6, None, 2.0), (None, 5, 7, 1.0), ("a", 90, None, None)],
+                               "k string, s bigint, v int, d double").withColumn("ts", F.timestamp_seconds("s"))
+    got = rolling.trailing_sums(df, ["k"], "ts", 60, {"total": F.col("v"), "exact": F.col("d").cast("decimal(18,2)")}, "n", 10)
+    assert sorted(((r.k, r.s, r.v, r.n, r.total, r.exact and float(r.exact)) for r in got.collect()), key=repr) == sorted([
+        ("a", None, 1, 2, 3, 0.5), ("a", None, 2, 2, 3, 0.5), ("a", 5, 4, 1, 4, None), ("a", 6, None, 2, 4, 2.0), (None, 5, 7, 1, 7, 1.0),
+        ("a", 90, None, 1, None, None)], key=repr)
+    with pytest.raises(TypeError):
+        rolling.trailing_sums(df, ["k"], "ts", 60, {"total": F.col("d")})
+    got = rolling.trailing_extremes(df, ["k"], "ts", 60, {"low": F.col("v")})
+    assert sorted(((r.k, r.s, r.low) for r in got.collect()), key=repr) == sorted([
+        ("a", None, 1), ("a", None, 1), ("a", 5, 4), ("a", 6, 4), (None, 5, 7), ("a", 90, None)], key=repr)
+
+
 def test_trailing_range_keeps_rows_without_time(spark):
     df = spark.createDataFrame([("a", None, 1), ("a", None, 2), ("a", 5, 4)], "k string, s bigint, v int").withColumn("ts", F.timestamp_seconds("s"))
     got = rolling.trailing_range(df, ["k"], "ts", 60, {"total": F.sum("v")})
@@ -371,6 +395,7 @@ def test_hot_key_is_spread_over_tasks(spark):
             "flag": keyed.flag_duplicates(df, ["key"], ["s", "id"]),
             "running": rolling.running_totals(df, "key", "ts", "id", {"t": F.col("id")}),
             "trailing": rolling.trailing_range(df, ["key"], "ts", 60, {"c": F.count(F.lit(1))}),
+            "trailing sums": rolling.trailing_sums(df, ["key"], "ts", 60, {"c": F.lit(1)}),
         }
         for name, result in results.items():
             sizes = [r[0] for r in result.groupBy(F.spark_partition_id().alias("p")).count().select("count").collect()]

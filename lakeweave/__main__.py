@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -40,6 +41,10 @@ def _parser() -> argparse.ArgumentParser:
     topic.add_argument("--topic", default="orders")
     topic.add_argument("--run-id", default="manual")
     topic.add_argument("--max-per-trigger", type=int)
+    silver = job("geo-silver", "add the bronze files of the last hours to the silver tables", "bronze", "silver")
+    silver.add_argument("--hours", type=float, default=2, help="how far back changed files are taken")
+    silver.add_argument("--loaded-at", help="time of the load, which also names the run; default now")
+    silver.add_argument("--format", help="avro or parquet, default what the lake writes")
     gold = job("geo-gold", "publish the geographic marts from silver tables", "silver", "gold", "snapshot")
     gold.add_argument("--as-of-ms", type=int, help="reference time, default now")
     job("geo-checks", "dataset rules over the silver tables", "silver")
@@ -67,6 +72,13 @@ def main(argv: list[str] | None = None) -> object:
         topic = (stream_message_files(spark, args.files, args.max_per_trigger) if args.files
                  else stream_topic(spark, args.servers, [args.topic], max_per_trigger=args.max_per_trigger))
         result = {"orders": flows.run_message_orders(topic, args.warehouse, args.run_id).count()}
+    elif args.job == "geo-silver":
+        moment = datetime.now(timezone.utc)
+        loaded_at = args.loaded_at or moment.strftime("%Y-%m-%d %H:%M:%S")
+        changed_after = (moment - timedelta(hours=args.hours)).strftime("%Y-%m-%dT%H:%M:%S")
+        schemas = geo_lake.bronze_schemas(spark, args.bronze, args.format)
+        rows = geo_lake.read_bronze(spark, args.bronze, schemas, changed_after, args.format)
+        result = {row["entity"]: row["status"] for row in geo_lake.build_silver(spark, rows, args.silver, loaded_at).collect()}
     elif args.job == "geo-gold":
         as_of = now if args.as_of_ms is None else F.lit(args.as_of_ms)
         outcome = geo_lake.build_gold(spark, args.silver, args.gold, as_of, args.snapshot)

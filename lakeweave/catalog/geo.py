@@ -11,6 +11,7 @@ from ..operators import geo
 from ..operators.enrich import evaluate_thresholds
 from ..plans import geo_lake
 from ..plans import rides as ride_plans
+from ..session import scratch_dir
 from .registry import Lake, query, real, us, whole
 
 SQL_POINTS = """pts AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) // 1000 AS ts_ms,
@@ -214,3 +215,42 @@ def step_functions(lake: Lake):
     return lake("events").filter("value > 0").select(
         "event_id", surge_multiplier("value", "user_id").alias("surge_multiplier"), magnitude_bucket("value").alias("bucket"),
         real(fare["fare_amount"]).alias("fare"))
+
+
+SILVER_LOADS = """q AS (SELECT CAST(user_id AS VARCHAR) AS event_id, epoch_us(ts) // 1000 AS ts_ms, value AS magnitude, event_type AS region,
+    CASE WHEN ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) THEN 0 ELSE 1 END AS load FROM events),
+  k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY load, event_id ORDER BY ts_ms DESC) AS rn, max(ts_ms) OVER (PARTITION BY load) AS newest FROM q)
+    WHERE rn = 1 AND ts_ms >= newest - 86400000),
+  f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY load DESC) AS last FROM k) WHERE last = 1)"""
+
+
+@query(f"""WITH {SILVER_LOADS} SELECT 'silver' AS stage, event_id AS name, ts_ms, magnitude, 1 AS row_count FROM f
+UNION ALL SELECT 'mart', region, max(ts_ms), max(magnitude), count(*) FROM f WHERE ts_ms >= (SELECT max(ts_ms) FROM q) - 43200000 GROUP BY region
+UNION ALL SELECT 'run', CAST(load AS VARCHAR), max(ts_ms), NULL, count(*) FROM k GROUP BY load""")
+def silver_refresh(lake: Lake):
+    """Events land in two loads of bronze files, each is conformed into silver, and a mart reads the runs that reach its horizon."""
+    bronze, silver = scratch_dir(lake.spark, "bronze"), scratch_dir(lake.spark, "silver")
+    events = lake("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    middle = events.agg(((F.min(us("ts")) + F.max(us("ts"))) / 2).alias("m")).scalar()
+    rows = events.select(F.col("user_id").cast("string").alias("event_id"), F.floor(us("ts") / 1000).alias("ts_ms"), F.col("value").alias("magnitude"),
+                         F.col("event_type").alias("region"), F.lit(1.0).alias("depth_km"), (us("ts") >= middle).cast("int").alias("load"))
+    runs = ("2026-01-01 00:00:00", "2026-01-02 00:00:00")
+    for load, loaded_at in enumerate(runs):
+        rows.filter(F.col("load") == load).drop("load").write.parquet(f"{bronze}/{load}/seismic_events/part")
+        landed = geo_lake.read_bronze(lake.spark, f"{bronze}/{load}", geo_lake.bronze_schemas(lake.spark, f"{bronze}/{load}", "parquet"),
+                                      "2020-01-01T00:00:00", "parquet")
+        outcome = geo_lake.build_silver(lake.spark, landed, silver, loaded_at).filter("status <> 'ok'").collect()
+        if outcome:
+            raise RuntimeError(outcome[0]["detail"])
+    as_of = rows.agg(F.max("ts_ms").alias("m")).scalar()
+    whole_table = geo_lake.silver_table(lake.spark, silver, "seismic_events")
+    since = geo_lake.silver_table(lake.spark, silver, "seismic_events", F.lit(rows.agg(F.max("ts_ms")).first()[0] - 43_200_000))
+    mart = geo_lake.seismic_summary(since, as_of, horizon_ms=43_200_000, limit=None).groupBy(F.col("region").alias("name")).agg(
+        F.max("last_event_ms").alias("ts_ms"), F.max("max_mag").alias("magnitude"), F.sum("events").cast("int").alias("row_count"))
+    notes = lake.spark.read.parquet(f"{silver}/{geo_lake.BOUNDS}/seismic_events").select(
+        (F.col("run") > 20260101000000).cast("int").cast("string").alias("name"), F.col("max_ts_ms").alias("ts_ms"),
+        F.lit(None).cast("double").alias("magnitude"), F.col("rows").cast("int").alias("row_count"))
+    kept = whole_table.select(F.col("event_id").alias("name"), "ts_ms", "magnitude", F.lit(1).alias("row_count"))
+    parts = [frame.select(F.lit(stage).alias("stage"), "name", "ts_ms", "magnitude", F.col("row_count").cast("bigint").alias("row_count"))
+             for stage, frame in (("silver", kept), ("mart", mart), ("run", notes))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

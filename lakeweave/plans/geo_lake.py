@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..functions.numeric import magnitude_bucket
 from ..operators import geo, quality
@@ -64,6 +65,18 @@ def read_bronze(spark: SparkSession, bronze: str, schemas: dict[str, str], modif
             for entity, schema in schemas.items()}
 
 
+def bronze_schemas(spark: SparkSession, bronze: str, fmt: str | None = None) -> dict[str, str]:
+    """Schema of every entity that has landed, from its own files."""
+    found, chosen = {}, fmt or lake_format(spark)
+    for entity in ENTITIES:
+        try:
+            found[entity] = spark.read.format(chosen).option("recursiveFileLookup", True).load(f"{bronze}/{entity}").schema
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+    return found
+
+
 def drop_deleted(rows: DataFrame, keep_deleted: bool = False) -> DataFrame:
     """Remove keys whose latest change is a delete."""
     if keep_deleted or "__deleted" not in rows.columns:
@@ -85,6 +98,7 @@ def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], silver: str,
             staged = unify_flat_time(rows) if captured else rows
             conformed = drop_deleted(conform_entity(staged, key), keep_deleted and captured)
             land_daily(conformed.drop("_arrival"), f"{silver}/{entity}", F.lit(loaded_at).cast("timestamp"), run_id)
+            note_bounds(spark, silver, entity, run_id)
             metrics = stage_metrics(entity, staged, key).withColumn("ran_at", F.lit(loaded_at))
             metrics.write.mode("overwrite").parquet(f"{silver}/_quality/{entity}/run={run_id}")
             outcome.append((entity, "ok", ""))
@@ -93,11 +107,36 @@ def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], silver: str,
     return spark.createDataFrame(outcome, "entity string, status string, detail string")
 
 
-def silver_table(spark: SparkSession, silver: str, entity: str) -> DataFrame | None:
-    """A silver table with one row per key, although overlapping loads may have stored a key twice."""
+BOUNDS = "_bounds"
+
+
+def note_bounds(spark: SparkSession, silver: str, entity: str, run_id: str) -> None:
+    """Note the least and greatest time that a run brought, taken from what it has written."""
+    written = spark.read.parquet(f"{silver}/{entity}").filter(F.col("run").cast("string") == run_id)
+    row = written.agg(F.min("ts_ms").alias("min_ts_ms"), F.max("ts_ms").alias("max_ts_ms"), F.count(F.lit(1)).alias("rows"))
+    row.write.mode("overwrite").parquet(f"{silver}/{BOUNDS}/{entity}/run={run_id}")
+
+
+def outdated_runs(spark: SparkSession, silver: str, entity: str, since_ms: Column) -> list[str]:
+    """Runs known to hold no row at or after ``since_ms``. Runs without a note may hold some and are not among them."""
+    notes = table_or_none(spark, f"{silver}/{BOUNDS}/{entity}")
+    if notes is None:
+        return []
+    old = notes.filter(F.col("max_ts_ms").isNull() | (F.col("max_ts_ms") < since_ms))
+    return [row["run"] for row in old.select(F.col("run").cast("string").alias("run")).collect()]
+
+
+def silver_table(spark: SparkSession, silver: str, entity: str, since_ms: Column | None = None) -> DataFrame | None:
+    """A silver table with one row per key, although overlapping loads may have stored a key twice.
+
+    With ``since_ms`` folders of runs that ended before it are not read at all. Keys whose newest row is older may then show
+    an older row or none; rows at or after ``since_ms`` are those of the whole table.
+    """
     table = table_or_none(spark, f"{silver}/{entity}")
     if table is None:
         return None
+    if since_ms is not None and (old := outdated_runs(spark, silver, entity, since_ms)):
+        table = table.filter(~F.col("run").cast("string").isin(old))
     key, _ = ENTITIES[entity]
     order = [name for name in ("ts_ms", "updated_at", "run") if name in table.columns]
     return latest_by_key(table, [key], order)
@@ -183,19 +222,23 @@ def alert_correlation(quakes: DataFrame, regions: DataFrame, thresholds: DataFra
 def marts(spark: SparkSession, silver: str, as_of_ms: Column, limit: int | None = None) -> dict[str, Callable[[], DataFrame | None]]:
     """The four marts, whole or their first ``limit`` rows; each is None while one of its tables is missing."""
 
-    def build(make: Callable[..., DataFrame], *entities: str) -> Callable[[], DataFrame | None]:
+    def build(make: Callable[..., DataFrame], *entities: str, horizon_ms: int | None = None) -> Callable[[], DataFrame | None]:
+        """The first entity is read as far back as the mart looks, the others whole."""
+        since = None if horizon_ms is None else as_of_ms - F.lit(horizon_ms)
+
         def run() -> DataFrame | None:
-            tables = [silver_table(spark, silver, entity) for entity in entities]
+            tables = [silver_table(spark, silver, entity, None if i else since) for i, entity in enumerate(entities)]
             return None if any(table is None for table in tables) else make(*tables)
         return run
 
     return {
-        "aircraft_density_by_region": build(lambda p, r: aircraft_density(p, r, as_of_ms, limit=limit), "ogn_positions", "regions"),
+        "aircraft_density_by_region": build(lambda p, r: aircraft_density(p, r, as_of_ms, limit=limit), "ogn_positions", "regions",
+                                            horizon_ms=HOUR_MS),
         "weather_snapshot": build(lambda o, r: weather_snapshot(o, r, limit=limit), "noaa_observations", "regions"),
-        "seismic_24h_summary": build(lambda q: seismic_summary(q, as_of_ms, limit=limit), "seismic_events"),
+        "seismic_24h_summary": build(lambda q: seismic_summary(q, as_of_ms, limit=limit), "seismic_events", horizon_ms=24 * HOUR_MS),
         "region_alert_correlation": build(
             lambda q, r, t, w: alert_correlation(q, r, t, w, as_of_ms, limit=limit),
-            "seismic_events", "regions", "alert_thresholds", "subscriber_watchlist"),
+            "seismic_events", "regions", "alert_thresholds", "subscriber_watchlist", horizon_ms=24 * HOUR_MS),
     }
 
 

@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 import time
 
 import pytest
@@ -166,6 +167,36 @@ def test_geo_lake_end_to_end(spark, tmp_path):
     assert checks["seismic.freshness"] == "FAIL" and checks["noaa.freshness"] == "PASS" and checks["config.regions_active_min"] == "FAIL"
 
 
+def test_marts_read_only_runs_that_reach_their_horizon(spark, tmp_path):
+    """Run folders older than the horizon are not scanned; runs without a note are; results stay those of the whole table."""
+    now, bronze = geo_bronze(spark)
+    silver, hour = str(tmp_path / "silver"), 3_600_000
+    names = ["2026-05-26 20:00:00", "2026-05-27 20:00:00", "2026-05-28 20:00:00"]
+    for back, loaded_at in zip((48, 30, 0), names):  # the same quakes again, each time as other, later events
+        moved = bronze["seismic_events"].withColumns({"ts_ms": F.col("ts_ms") - back * hour,
+                                                      "event_id": F.when(F.lit(back == 30), F.col("event_id")).otherwise(F.concat("event_id", F.lit(f"-{back}")))})
+        geo_lake.build_silver(spark, {"seismic_events": moved, "regions": bronze["regions"]}, silver, loaded_at)
+
+    def scanned(hours):
+        """Runs left by the partition filter of the scan, and the table."""
+        table = geo_lake.silver_table(spark, silver, "seismic_events", F.lit(now - hours * hour))
+        filters = re.search(r"PartitionFilters: \[(.*?)\]", table._jdf.queryExecution().executedPlan().toString())[1]
+        return [run for run in runs if run not in filters], table
+
+    runs = ["20260526200000", "20260527200000", "20260528200000"]
+    assert [scanned(h)[0] for h in (24, 31, 60)] == [runs[2:], runs[1:], runs]
+    whole = geo_lake.silver_table(spark, silver, "seismic_events")
+    for hours in (24, 31, 60):
+        recent = F.col("ts_ms") >= now - hours * hour
+        assert collected(scanned(hours)[1].filter(recent), "event_id", "ts_ms") == collected(whole.filter(recent), "event_id", "ts_ms")
+    marts = geo_lake.marts(spark, silver, F.lit(now))
+    assert runs[0] in marts["seismic_24h_summary"]()._jdf.queryExecution().executedPlan().toString()
+    assert collected(marts["seismic_24h_summary"](), "region", "events") == [("NY", 1), ("NY", 1), ("Unknown", 1)]
+    geo_lake.land_daily(whole.filter("event_id = 'q1-0'").drop("year", "month", "day", "run"), f"{silver}/seismic_events",
+                        F.lit("2026-05-20 20:00:00").cast("timestamp"), "unnoted")
+    assert {r.run for r in scanned(24)[1].select("run").distinct().collect()} == {"unnoted", runs[2]}
+
+
 def test_gold_publishes_whole_marts(spark, tmp_path):
     now, bronze = geo_bronze(spark)
     silver, one = str(tmp_path / "silver"), bronze["noaa_observations"].where("station_id = 'KJFK'").limit(1)

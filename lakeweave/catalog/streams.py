@@ -13,7 +13,7 @@ from ..operators import geo
 from ..operators.keyed import latest_by_key
 from ..session import scratch_dir
 from ..sources.messages import MESSAGE
-from ..streaming import flows, rides, trails
+from ..streaming import alarms, flows, rides, trails
 from ..streaming.sinks import file_writer, finish, fold_first, fold_latest, per_batch, put_batch, read_folded
 from .geo import SQL_ZONE
 from .quality import SQL_RIDE_REASON
@@ -292,3 +292,17 @@ def stream_minute_stats(lake: Lake):
     count = F.col("trip_count")
     return lake.spark.read.parquet(out).select(us("window_start").alias("window_start"), "trip_count", real("revenue").alias("revenue"),
                                                (real("revenue") / count).alias("avg_fare"), (real("users") / count).alias("avg_user"))
+
+
+@query("""WITH t AS (SELECT DISTINCT user_id, epoch_us(ts) // 1000 AS ms FROM events), w AS (SELECT max(ms) - 3600000 AS mark FROM t),
+  g AS (SELECT user_id, ms, lead(ms) OVER (PARTITION BY user_id ORDER BY ms) AS next, mark FROM t, w),
+  s AS (SELECT user_id, 'pending' AS state, ms + 43200000 AS at_ms, next, mark FROM g UNION ALL SELECT user_id, 'firing', ms + 86400000, next, mark FROM g
+    UNION ALL SELECT user_id, 'resolved', next, NULL, mark + 1 FROM g WHERE next - ms > 43200000)
+SELECT CAST(user_id AS VARCHAR) AS rule, state, at_ms FROM s WHERE at_ms < mark AND (next IS NULL OR at_ms < next)""")
+def stream_silence_alarms(lake: Lake):
+    """Users as rules: pending after half a day without an event, firing after a day, resolved by the next event."""
+    checkpoint, out = dirs(lake, "alarms")
+    with rocksdb_state(lake.spark):
+        steps = alarms.silence_alarms(event_stream(lake), "user_id", "ts", 43_200, 86_400, "1 hour")
+        finish(file_writer(steps, out), checkpoint)
+    return lake.spark.read.parquet(out).select("rule", "state", F.unix_millis("at").alias("at_ms"))

@@ -1,6 +1,7 @@
 """Streaming jobs over several files, compared with their batch form, and repeated runs."""
 
 import json
+import random
 import os
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeweave.operators import quality
 from lakeweave.plans import rides as ride_plans
 from lakeweave.sources import messages
-from lakeweave.streaming import flows, rides, sinks, trails
+from lakeweave.streaming import alarms, flows, rides, sinks, trails
 
 
 def in_order(folder):
@@ -152,6 +153,38 @@ def test_table_in_state_follows_its_changelog(spark, tmp_path):
             (0, "gone", 1), (0, None, 1), (1, "b", 2), (1, "x", 1), (2, "b", 1), (2, "gone", 1), (2, "x", 1), (2, None, 1)], key=repr)
 
 
+def silent_steps(times, mark, pending, firing):
+    out, times = [], sorted(set(times))
+    for i, t in enumerate(times):
+        following = times[i + 1] if i + 1 < len(times) else None
+        for after, name in ((pending, "pending"), (firing, "firing")):
+            if t + after < mark and (following is None or t + after < following):
+                out.append((name, t + after))
+        if following is not None and following - t > pending and following <= mark:
+            out.append(("resolved", following))
+    return out
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_silence_is_told_once_however_results_arrive(spark, tmp_path, files):
+    """Gaps of all sizes, rows out of order within the delay, rules that never come back, in one or several batches."""
+    rng, source = random.Random(11), tmp_path / "results"
+    source.mkdir()
+    times = {f"r{k}": sorted(rng.sample(range(0, 4000), 25) + [100 + 60, 100]) for k in range(6)} | {"once": [5], "end": [3990]}
+    rows = sorted(((t, rule) for rule, own in times.items() for t in own), key=lambda r: r[0] + rng.random() * 20)
+    rows += [(4200, "last"), (4200, None)]
+    size = -(-len(rows) // files)
+    for i in range(files):
+        (source / f"{i}.json").write_text("".join(json.dumps({"rule": r, "s": t}) + "\n" for t, r in rows[i * size:(i + 1) * size]))
+    in_order(source)
+    stream = spark.readStream.schema("rule string, s bigint").option("maxFilesPerTrigger", 1).json(str(source))
+    steps = alarms.silence_alarms(stream.withColumn("ts", F.timestamp_seconds("s")), "rule", "ts", 60, 200, "30 seconds")
+    sinks.finish(sinks.file_writer(steps, str(tmp_path / "out")), str(tmp_path / "c"))
+    got = sorted((r.rule, r.state, r.at) for r in spark.read.parquet(str(tmp_path / "out")).select("rule", "state", F.unix_seconds("at").alias("at")).collect())
+    assert got == sorted((rule, name, at) for rule, own in times.items() for name, at in silent_steps(own, 4170, 60, 200))
+    assert ("once", "firing", 205) in got and {name for _, name, _ in got} == {"pending", "firing", "resolved"}
+
+
 def test_trail_state_across_batches_and_expiry(spark, tmp_path):
     source = tmp_path / "pos"
     source.mkdir()

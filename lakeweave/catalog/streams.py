@@ -13,7 +13,7 @@ from ..operators import geo
 from ..operators.keyed import latest_by_key
 from ..session import scratch_dir
 from ..sources.messages import MESSAGE
-from ..streaming import alarms, flows, rides, trails
+from ..streaming import alarms, flows, ledger, rides, trails
 from ..streaming.sinks import file_writer, finish, fold_first, fold_latest, per_batch, put_batch, read_folded
 from .geo import SQL_ZONE
 from .quality import SQL_RIDE_REASON
@@ -306,3 +306,29 @@ def stream_silence_alarms(lake: Lake):
         steps = alarms.silence_alarms(event_stream(lake), "user_id", "ts", 43_200, 86_400, "1 hour")
         finish(file_writer(steps, out), checkpoint)
     return lake.spark.read.parquet(out).select("rule", "state", F.unix_millis("at").alias("at_ms"))
+
+
+@query("""SELECT id, 'Notify ' || id AS notice, min(half) AS batch_id FROM (
+  SELECT user_id || '-' || event_type AS id, event_id % 2 AS half FROM events) GROUP BY id""")
+def act_once(lake: Lake):
+    """Users and event types as ids, in two batches of which the second fails once: each id is acted on in its first batch."""
+    checkpoint, source, log = dirs(lake, "inbox", "log")
+    events = lake("events").select(F.concat_ws("-", "user_id", "event_type").alias("id"), "event_id")
+    failures = [1]
+
+    def action(rows: DataFrame, batch_id: int) -> None:
+        if batch_id in failures:
+            failures.clear()
+            raise OSError("the endpoint is unavailable")
+
+    for half in range(2):
+        events.filter(F.col("event_id") % 2 == half).write.parquet(f"{source}/half={half}")
+        stream = lake.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(f"{source}/*")
+        job = lambda: ledger.act_once(stream, "id", F.concat(F.lit("Notify "), "id"), log, action, buckets=8, compact_every=2)
+        try:
+            finish(job(), f"{checkpoint}/act")
+        except Exception:  # the first try of the second batch; it stays pending
+            if half == 0 or failures:
+                raise
+            finish(job(), f"{checkpoint}/act")
+    return ledger.handled(lake.spark, log).select("id", "notice", F.col("batch_id").cast("bigint").alias("batch_id"))

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.temporal import partition_parts
-from ..operators import keyed, merge, quality
+from ..operators import merge, quality
 from ..plans import record_jobs
 from ..sources.layout import HOURLY, log_run, table_or_none
-from ..sources.messages import parse_messages, position_columns
+from ..sources.messages import parse_messages
 from .sinks import Fold, add_delta, file_writer, fold_first, fold_latest, fold_upsert, finish, per_batch, put_batch, read_folded
 
 
@@ -81,39 +81,11 @@ def order_event_batches(topic: DataFrame, clean: str, totals: str) -> DataStream
     return per_batch(topic, write, sinks=2)
 
 
-def act_once(df: DataFrame, event_id: str, notice: Column, log: str) -> DataStreamWriter:
-    """Act on each event id and log it; a batch that failed stays pending and is taken again.
-
-    Ids logged by other batches are skipped, so producers may repeat an event at any time.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = keyed.first_by_key(batch.withColumn("notice", notice), [event_id], ["notice"]).select(event_id, "notice")
-        done = table_or_none(batch.sparkSession, log)
-        if done is not None:
-            other = done.filter(F.col("batch_id") != batch_id).select(event_id)
-            rows = rows.join(other, [event_id], "left_anti")
-        # the result depends on the log it is added to: fix it before the batch directory is replaced
-        rows = rows.persist()
-        put_batch(rows, log, batch_id)
-        rows.unpersist()
-    return per_batch(df, write)
-
-
 def replay_dead_letters(letters: DataFrame) -> DataFrame:
     """Dead letters as source rows; send them through the same validation as new input."""
     return quality.strip_dead_letter(letters)
 
 
-def late_within(df: DataFrame, time: str, delay: str = "24 hours") -> DataFrame:
-    """Watermark after which a stream drops late rows in stateful steps (approximate, unlike the batch filter)."""
-    return df.withWatermark(time, delay)
-
-
-def raw_messages(topic: DataFrame) -> DataFrame:
-    """Messages with their position, value untouched."""
-    return topic.select(*position_columns(), "value", F.col("timestamp").alias("event_time"))
-
-
 ORDER_MESSAGE = "order_id bigint, customer_id bigint, product_id string, status string, amount double"
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeweave.operators import quality
 from lakeweave.plans import rides as ride_plans
 from lakeweave.sources import messages
-from lakeweave.streaming import alarms, flows, rides, sinks, trails
+from lakeweave.streaming import alarms, flows, ledger, rides, sinks, trails
 
 
 def in_order(folder):
@@ -254,14 +254,52 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
 
 
 def test_events_are_acted_on_once(spark, tmp_path):
+    """Repeated ids within and across batches and over compactions; a batch whose action fails notes nothing and is taken again."""
+    source, log, acted = tmp_path / "inbox", str(tmp_path / "log"), []
+    source.mkdir()
+    failing = set()
+
+    def action(rows, batch_id):
+        acted.append((batch_id, sorted(r.id for r in rows.collect())))
+        if batch_id in failing:
+            raise OSError("endpoint is unavailable")
+
+    def run():
+        stream = spark.readStream.schema("id string").option("maxFilesPerTrigger", 1).json(str(source))
+        sinks.finish(ledger.act_once(stream, "id", F.concat(F.lit("Notify "), "id"), log, action, buckets=4, compact_every=3), str(tmp_path / "c"))
+
+    batches = [["e1", "e2", "e1"], ["e2", "e3"], [], ["e1", "e4"], ["e5"], ["e3", "e5", "e6"], ["e6", "e1", "e7"]]
+    for i, ids in enumerate(batches):
+        (source / f"{i}.json").write_text("".join(json.dumps({"id": e}) + "\n" for e in [*ids, None]))
+    in_order(source)
+    failing.add(3)
+    with pytest.raises(Exception, match="unavailable"):
+        run()
+    assert collected(ledger.handled(spark, log), "id", "batch_id") == [("e1", 0), ("e2", 0), ("e3", 1)]
+    failing.clear()
+    run()
+    assert collected(ledger.handled(spark, log), "id", "notice", "batch_id") == [
+        (e, f"Notify {e}", b) for e, b in [("e1", 0), ("e2", 0), ("e3", 1), ("e4", 3), ("e5", 4), ("e6", 5), ("e7", 6)]]
+    assert acted == [(0, ["e1", "e2"]), (1, ["e3"]), (3, ["e4"]), (3, ["e4"]), (4, ["e5"]), (5, ["e6"]), (6, ["e7"])]
+
+
+def test_a_batch_opens_its_own_buckets_only(spark, tmp_path):
+    """What a batch looks up does not grow with the history: one base and the deltas of its epoch, in its buckets."""
     source, log = tmp_path / "inbox", str(tmp_path / "log")
     source.mkdir()
-    (source / "0.json").write_text('{"id":"e1"}\n{"id":"e2"}\n{"id":"e1"}\n')
-    job = lambda: flows.act_once(spark.readStream.schema("id string").json(str(source)), "id", F.concat(F.lit("Notify "), "id"), log)
-    sinks.finish(job(), str(tmp_path / "c"))
-    (source / "1.json").write_text('{"id":"e2"}\n{"id":"e3"}\n')
-    sinks.finish(job(), str(tmp_path / "c"))
-    assert collected(spark.read.parquet(log), "id", "notice") == [("e1", "Notify e1"), ("e2", "Notify e2"), ("e3", "Notify e3")]
+    for i in range(12):
+        (source / f"{i:02}.json").write_text("".join(json.dumps({"id": f"e{k}"}) + "\n" for k in range(i * 20, i * 20 + 40)))
+    in_order(source)
+    stream = spark.readStream.schema("id string").option("maxFilesPerTrigger", 1).json(str(source))
+    sinks.finish(ledger.act_once(stream, "id", F.col("id"), log, buckets=4, compact_every=4), str(tmp_path / "c"))
+    seen = ledger.handled(spark, log, 3, [2])
+    assert {name.split("bucket=")[0].rsplit("/", 2)[-2] for name in seen.inputFiles()} == {"version=2"}
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and ledger.handled(spark, log).count() == 260
+    assert ledger.handled(spark, log, 1, [2]).filter("batch_id >= 8").count() == 0
+    for epoch in range(1, 3):  # a batch of an epoch finds one base file and a file per batch of the epoch in its bucket
+        folders = [tmp_path / f"log/base/version={epoch - 1}/bucket=2", tmp_path / f"log/delta/epoch={epoch}/bucket=2"]
+        assert [len(list(f.rglob("*.parquet"))) for f in folders] == [1, 4]
 
 
 def test_surge_stream(spark, tmp_path):

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from ..functions.numeric import converted, money, order_charges
 from ..functions.temporal import partition_parts, strict_date
 from ..functions.text import blank_to_null, clean_columns, international_phone, prefix_number
-from ..operators import aggregates as agg
+from ..operators import aggregates as agg, mergeable
 from ..operators import keyed, merge, quality
 from ..operators.enrich import enrich, last_row_wins, lookup, members, pending, with_membership
+from ..session import scratch_dir
 from .registry import Lake, day, query, real, whole
 
 
@@ -504,3 +505,14 @@ def date_parts(lake: Lake) -> DataFrame:
 def ordered_by_position(lake: Lake) -> DataFrame:
     return lake("orders").orderBy("o_orderdate", "o_orderkey").select(
         "o_orderkey", "o_custkey", F.concat_ws(" ", F.col("o_orderkey").cast("string"), "o_orderpriority").alias("position_text"))
+
+
+@query("""SELECT strftime(o_orderdate, '%Y-%m') AS period, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY 1 UNION ALL
+SELECT strftime(o_orderdate, '%Y'), count(DISTINCT o_custkey) FROM orders GROUP BY 1""")
+def distinct_customers_by_period(lake: Lake) -> DataFrame:
+    """Months and years from the stored bitmaps of days, without going back to the orders."""
+    path = scratch_dir(lake.spark, "daily-customers")
+    mergeable.distinct_bitmaps(lake("orders"), [day("o_orderdate").alias("day")], "o_custkey").write.parquet(path)
+    stored = lake.spark.read.parquet(path)
+    periods = [mergeable.distinct_counts(stored.withColumn("period", F.substring("day", 1, n)), ["period"], "customers") for n in (7, 4)]
+    return periods[0].unionByName(periods[1])

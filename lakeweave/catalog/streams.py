@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import money
 from ..functions.temporal import micros
-from ..operators import geo
+from ..operators import geo, mergeable
 from ..operators.keyed import latest_by_key
 from ..session import scratch_dir
 from ..sources.messages import MESSAGE
@@ -332,3 +332,27 @@ def act_once(lake: Lake):
                 raise
             finish(job(), f"{checkpoint}/act")
     return ledger.handled(lake.spark, log).select("id", "notice", F.col("batch_id").cast("bigint").alias("batch_id"))
+
+
+@query("""SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(value) AS n, quantile_name, true AS within_bound
+FROM events, (SELECT unnest(['p50', 'p95', 'p99']) AS quantile_name) WHERE value IS NOT NULL GROUP BY 1, 2, 4""")
+def stream_sketched_quantiles(lake: Lake):
+    """Sketches of a stream's batches, stored per hour and merged per day; the exact rank of every quantile keeps the stated bound."""
+    checkpoint, out = dirs(lake, "sketches")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        hourly = mergeable.quantile_sketches(batch.withColumn("hour", F.date_format("ts", "yyyy-MM-dd HH")), ["hour", "event_type"], "value")
+        put_batch(hourly, out, batch_id)
+
+    finish(per_batch(event_stream(lake), write), checkpoint)
+    daily = mergeable.merged_sketches(lake.spark.read.parquet(out).withColumn("day", F.substring("hour", 1, 10)), ["day", "event_type"])
+    names = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    found = mergeable.sketched_quantiles(daily, ["day", "event_type"], list(names.values())).unpivot(
+        ["day", "event_type", "n"], list(names), "quantile_name", "estimate")
+    values = lake("events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type", "value").filter("value IS NOT NULL")
+    ranks = values.join(found, ["day", "event_type"]).groupBy("day", "event_type", "n", "quantile_name").agg(
+        F.count_if(F.col("value") < F.col("estimate")).alias("below"), F.count_if(F.col("value") <= F.col("estimate")).alias("upto"))
+    wanted = F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), F.col("quantile_name")) * F.col("n")
+    slack = F.lit(mergeable.rank_error()) * F.col("n") + 1
+    return ranks.select("day", "event_type", "n", "quantile_name",
+                        ((F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)).alias("within_bound"))

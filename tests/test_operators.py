@@ -1,5 +1,6 @@
 """Operators against brute force, with hot keys, ties and nulls."""
 
+import bisect
 import random
 from collections import defaultdict
 
@@ -11,7 +12,7 @@ from lakeweave.functions.hashing import record_hash
 from lakeweave.functions.numeric import customer_segment, haversine_miles, magnitude_bucket, surge_multiplier
 from lakeweave.functions.temporal import epoch_iso, strict_date
 from lakeweave.functions.text import distinct_prefixes, file_name, first_non_blank
-from lakeweave.operators import aggregates as agg
+from lakeweave.operators import aggregates as agg, mergeable
 from lakeweave.operators import changes, enrich, geo, keyed, merge, quality, rolling
 
 
@@ -449,3 +450,26 @@ def test_small_boxes_meet_only_their_own_points(spark):
 def test_layer_reports_without_any_table(spark):
     assert [tuple(r) for r in agg.layer_counts({"a": None, "b": None}).orderBy("table_name").collect()] == [("a", 0), ("b", 0)]
     assert [tuple(r) for r in quality.layer_checks({"a": (None, F.lit(True))}).collect()] == [("a", -1, True)]
+
+
+def test_bitmaps_of_parts_unite_to_distinct_counts(spark):
+    rng = random.Random(4)
+    rows = [(rng.randrange(12), rng.choice("ab"), rng.choice([rng.randrange(80), 32_768 + rng.randrange(5), 2**40, 0, None])) for _ in range(3000)]
+    rows.append((3, "none", None))
+    df = spark.createDataFrame(rows, "day int, k string, n bigint")
+    parts = mergeable.distinct_bitmaps(df, ["day", "k"], "n").repartition(5)
+    for keys in (["k"], ["day", "k"], []):
+        want = df.groupBy(*keys).agg(F.countDistinct("n").alias("c")).filter("c > 0")
+        assert collected(mergeable.distinct_counts(parts, keys), *keys, "distinct_count") == collected(want, *keys, "c")
+
+
+def test_merged_sketches_keep_their_rank_error(spark):
+    rng = random.Random(8)
+    values = [rng.expovariate(0.1) for _ in range(60_000)] + [7.0] * 5_000
+    df = spark.createDataFrame([(i % 24, v) for i, v in enumerate(values)] + [(1, None)], "hour int, v double").repartition(6)
+    merged = mergeable.merged_sketches(mergeable.quantile_sketches(df, ["hour"], "v"), [])
+    row, ordered = mergeable.sketched_quantiles(merged, [], [0.01, 0.5, 0.99]).first(), sorted(values)
+    assert row["n"] == len(values)
+    for name, q in (("p1", 0.01), ("p50", 0.5), ("p99", 0.99)):
+        low, high = bisect.bisect_left(ordered, row[name]) / len(ordered), bisect.bisect_right(ordered, row[name]) / len(ordered)
+        assert low - mergeable.rank_error() <= q <= high + mergeable.rank_error()

@@ -356,3 +356,17 @@ def stream_sketched_quantiles(lake: Lake):
     slack = F.lit(mergeable.rank_error()) * F.col("n") + 1
     return ranks.select("day", "event_type", "n", "quantile_name",
                         ((F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)).alias("within_bound"))
+
+
+@query("""WITH e AS (SELECT *, event_id % 2 AS half, epoch_us(ts) AS us FROM events), m AS (SELECT half, max(max(us)) OVER (ORDER BY half) AS mark FROM e GROUP BY half)
+SELECT event_id, us >= mark - 864000000000 AS kept FROM e JOIN m USING (half)""")
+def stream_late_filter(lake: Lake):
+    """Ten days behind the newest event so far: the even events, then the odd ones, each event kept or set aside."""
+    checkpoint, source, kept, late, marks = dirs(lake, "events", "kept", "late", "marks")
+    events = lake("events").select("event_id", us("ts").alias("us"))
+    for half in range(2):
+        events.filter(F.col("event_id") % 2 == half).write.parquet(f"{source}/half={half}")
+        stream = lake.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(f"{source}/*")
+        finish(flows.split_late(stream, "us", kept, late, marks, 864_000_000_000), checkpoint)
+    read = lake.spark.read.parquet
+    return read(kept).select("event_id", F.lit(True).alias("kept")).union(read(late).select("event_id", F.lit(False).alias("kept")))

@@ -11,10 +11,11 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.temporal import partition_parts
 from ..operators import merge, quality
+from ..operators.changes import LATE_MS
 from ..plans import record_jobs
 from ..sources.layout import HOURLY, log_run, table_or_none
 from ..sources.messages import parse_messages
-from .sinks import Fold, add_delta, file_writer, fold_first, fold_latest, fold_upsert, finish, per_batch, put_batch, read_folded
+from .sinks import Fold, add_delta, complete_versions, file_writer, fold_first, fold_latest, fold_upsert, finish, per_batch, put_batch, read_folded
 
 
 def land(df: DataFrame, time: str, target: str, fmt: str = "parquet", rows_per_file: int = 1_000_000) -> DataStreamWriter:
@@ -81,6 +82,25 @@ def order_event_batches(topic: DataFrame, clean: str, totals: str) -> DataStream
     return per_batch(topic, write, sinks=2)
 
 
+def split_late(df: DataFrame, time: str, kept: str, late: str, marks: str, horizon: int = LATE_MS) -> DataStreamWriter:
+    """Rows within ``horizon`` of the greatest time seen so far, the boundary included, and the later ones to a side table.
+
+    Exact where a watermark is approximate: the greatest time is carried from batch to batch in ``marks``, one small row per
+    batch of which only the last is read. A null time counts as 0. Times and horizon are whole numbers of one unit.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, stamp = batch.sparkSession, F.coalesce(F.col(time), F.lit(0))
+        before = [v for v in complete_versions(spark, marks) if v < batch_id]
+        seen = spark.read.parquet(f"{marks}/batch_id={before[-1]}").first()["mark"] if before else None
+        own = batch.agg(F.max(stamp)).first()[0]
+        mark = max((m for m in (seen, own) if m is not None), default=0)
+        inside = stamp >= mark - horizon
+        put_batch(batch.filter(inside), kept, batch_id)
+        put_batch(batch.filter(~inside), late, batch_id)
+        put_batch(spark.createDataFrame([(mark,)], "mark bigint").coalesce(1), marks, batch_id)
+    return per_batch(df, write, sinks=3)
+
+
 def replay_dead_letters(letters: DataFrame) -> DataFrame:
     """Dead letters as source rows; send them through the same validation as new input."""
     return quality.strip_dead_letter(letters)

@@ -253,6 +253,30 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "batches")).count() == 4
 
 
+def test_late_rows_fall_behind_the_newest_row_so_far(spark, tmp_path):
+    """The newest time is carried across batches and runs, the boundary is kept, a repeated batch changes nothing."""
+    source, paths = tmp_path / "rows", [str(tmp_path / name) for name in ("kept", "late", "marks")]
+    source.mkdir()
+    batches = [[100, 90, 40], [95, 50, 49, None], [200, 100, 99], [60, 190]]
+
+    def run():
+        stream = spark.readStream.schema("t bigint").option("maxFilesPerTrigger", 1).json(str(source))
+        sinks.finish(flows.split_late(stream, "t", *paths, horizon=50), str(tmp_path / "c"))
+
+    for i, times in enumerate(batches):
+        (source / f"{i}.json").write_text("".join(json.dumps({"t": t}) + "\n" for t in times))
+        in_order(source)
+        if i != 1:
+            run()
+    newest, kept, late = 0, [], []
+    for i, times in enumerate(batches):
+        newest = max(newest, *[t or 0 for t in times])
+        for t in times:
+            (kept if (t or 0) >= newest - 50 else late).append((i, t))
+    got = [sorted(map(tuple, spark.read.parquet(p).select("batch_id", "t").collect()), key=repr) for p in paths[:2]]
+    assert got == [sorted(kept, key=repr), sorted(late, key=repr)]
+
+
 def test_events_are_acted_on_once(spark, tmp_path):
     """Repeated ids within and across batches and over compactions; a batch whose action fails notes nothing and is taken again."""
     source, log, acted = tmp_path / "inbox", str(tmp_path / "log"), []

@@ -6,7 +6,9 @@
    one text only lead nowhere, so a text with more than that many of them is in no pair at all; few texts remain.
 3. *Candidates.* Texts that share a prefix shingle. Shingles of the same texts are folded to one first. Each shingle's
    texts are first compared with a few leads, the texts with the fewest shingles of their own, and only pairs that are
-   not connected afterwards are compared one by one.
+   not connected afterwards are compared one by one. Both go by classes first: texts of one size that hold the shingle at
+   one place of their order. A pair first meets at the earliest shingle that both have, so that no more can be common
+   than this and what follows it in the shorter rest; classes for which that is too little are never opened.
 4. *Verification.* The exact similarity of each candidate pair: a shingle that one text has alone is in no intersection, so
    the shared ones and the sizes suffice.
 
@@ -162,9 +164,9 @@ def candidates(docs: DataFrame, text_col: str, similarity: float, shingle: int)
 
 
 def _possible(similarity: float) -> Column:
-    """False where sizes and shared shingles of a and b rule the similarity out."""
-    most = F.least("a_shared", "b_shared")
-    return most * (1 + similarity) >= similarity * (F.col("a_m") + F.col("b_m")) - SLACK
+    """False where sizes and places of the first common shingle rule the similarity of a and b out."""
+    rest = F.least(F.col("a_m") - F.col("a_place"), F.col("b_m") - F.col("b_place"))
+    return rest * (1 + similarity) >= similarity * (F.col("a_m") + F.col("b_m")) - SLACK
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -178,11 +180,15 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
 
 def links(texts: DataFrame, similarity: float, seeds: DataFrame | None = None, leads: int = LEADS) -> DataFrame:
     """(a, b): links of exact similarity that connect all pairs of it among the ``candidates``. ``seeds``: pairs to try first."""
-    rows = texts.select("node", "m", "shared", F.explode(F.expr("slice(tokens, 1, slots)")).alias("token"))
+    at = F.posexplode(F.expr("slice(tokens, 1, slots)")).alias("k", "token")
+    rows = texts.select("node", "m", "shared", at).select("token", "node", "m", "shared", (F.col("m") - F.col("shared") + F.col("k")).alias("place"))
     marks = rows.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"),
                                       F.bit_xor(F.xxhash64("node", F.lit(2))).alias("y")).where("n > 1")
-    rows = cut(rows.join(marks.groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token"), "token"), "tokens")
-    a, b = (rows.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "m", "shared")]) for side in "ab")
+    # of shingles with the same texts the first in the order of a text, which is that of unsigned hashes: it is where they meet
+    unsigned = F.col("token").bitwiseXOR(F.lit(-1 << 63))
+    rows = cut(rows.join(marks.groupBy("n", "x", "y").agg(F.min_by("token", unsigned).alias("token")).select("token"), "token"), "tokens")
+    named = ("node", "m", "place")
+    a, b = (rows.select("token", *[F.col(c).alias(f"{side}_{c}") for c in named], F.col("shared").alias(f"{side}_shared")) for side in "ab")
     pair = [F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")]
     rank = F.row_number().over(Window.partitionBy("token").orderBy(F.desc(F.col("a_shared") / F.col("a_m")), "a_node"))
     first = a.withColumn("rank", rank).where(F.col("rank") <= leads).drop("rank")
@@ -191,11 +197,16 @@ def links(texts: DataFrame, similarity: float, seeds: DataFrame | None = None, l
         tried = tried.union(seeds.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     tried = cut(tried.distinct(), "tried")
     sure = cut(verified(tried, texts, similarity), "links")
-    # what the leads left apart: all pairs of different components
-    named = rows.join(components(sure), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = named.groupBy("token").agg(F.min("component").alias("l"), F.max("component").alias("g")).where("l != g").select("token")
-    named = cut(named.join(apart, "token"), "apart")
-    a, b = (named.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "m", "shared", "component")]) for side in "ab")
-    rest = a.join(b, "token").where((F.col("a_node") < F.col("b_node")) & (F.col("a_component") != F.col("b_component"))
-                                    & _possible(similarity)).select(*pair).distinct()
+    # what the leads left apart: pairs of different components, from the classes that can hold any
+    rows = rows.join(components(sure), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    classes = cut(rows.groupBy("token", "m", "place").agg(F.min("component").alias("low"), F.max("component").alias("high")), "classes")
+    apart = classes.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("g")).where("l != g").select("token")
+    a, b = (classes.join(apart, "token").select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("m", "place", "low", "high")]) for side in "ab")
+    mixed = (F.col("a_low") != F.col("b_high")) | (F.col("a_high") != F.col("b_low"))
+    ordered = (F.col("a_m") < F.col("b_m")) | ((F.col("a_m") == F.col("b_m")) & (F.col("a_place") <= F.col("b_place")))
+    open_classes = cut(a.join(b, "token").where(ordered & mixed & _possible(similarity)).select(
+        "token", "a_m", "a_place", "b_m", "b_place"), "open")
+    a, b = (rows.select("token", *[F.col(c).alias(f"{side}_{c}") for c in (*named, "component")]) for side in "ab")
+    rest = open_classes.join(a, ["token", "a_m", "a_place"]).join(b, ["token", "b_m", "b_place"]).where(
+        F.col("a_component") != F.col("b_component")).select(*pair).distinct()
     return sure.union(verified(rest.join(tried, ["a", "b"], "left_anti"), texts, similarity))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from . import jaccard
 from .components import components
 from .packed import bucket_count
-from .state import cut, fresh
+from .state import cut, fresh, passing
 from .text import LOWER, mix, slices, word_bounds
 
 SEED = 42
@@ -222,7 +222,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of each group's least id, as they were; rows that repeat that id all stay."""
-    found = similar_documents(docs, id_col, text_col, **options)
     name = fresh(docs, "__keep")
-    keep = cut(found.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias(name)).distinct(), "keep")
+    with passing() as stays:
+        found = similar_documents(docs, id_col, text_col, **options)
+        keep = stays(cut(found.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias(name)).distinct(), "keep"))
     return docs.join(keep, docs[id_col].eqNullSafe(keep[name]), "left_semi")

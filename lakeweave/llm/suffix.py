@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packed import bucket_count, joined, pack, unpack
-from .state import cut, fresh
+from .state import cut, fresh, passing
 from .text import RangeHash, slices
 
 LENGTH, GRAM = 50, 20
@@ -371,13 +371,14 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     """(id, mark, payload): packed removed spans of every document that has any; ``mark`` is a hash of its text."""
     buckets = bucket_count(docs.sparkSession, 1)
     texts = _texts(docs, id_col, text_col)
-    sent = texts.mapInArrow(_send_runs(buckets, length, gram), _KIND)
-    met = cut(sent.groupBy("kind", "bucket").applyInArrow(_meet(buckets, length), _KIND), "runs")
-    wishes = cut(met.where("kind = 2").groupBy("bucket").applyInArrow(_wishes, _BY_ROW), "wishes")
-    asked = texts.join(wishes, ["id", "mark"]).select("id", "mark", "text", "payload")
-    found = asked.mapInArrow(_fetch(buckets, length), _KIND).groupBy("bucket").applyInArrow(_sort(buckets, length), _KIND)
-    spans = met.where("kind = 1").union(found)
-    return cut(spans.groupBy("bucket").applyInArrow(_spans, _BY_ROW), "spans")
+    with passing() as stays:
+        sent = texts.mapInArrow(_send_runs(buckets, length, gram), _KIND)
+        met = cut(sent.groupBy("kind", "bucket").applyInArrow(_meet(buckets, length), _KIND), "runs")
+        wishes = cut(met.where("kind = 2").groupBy("bucket").applyInArrow(_wishes, _BY_ROW), "wishes")
+        asked = texts.join(wishes, ["id", "mark"]).select("id", "mark", "text", "payload")
+        found = asked.mapInArrow(_fetch(buckets, length), _KIND).groupBy("bucket").applyInArrow(_sort(buckets, length), _KIND)
+        spans = met.where("kind = 1").union(found)
+        return stays(cut(spans.groupBy("bucket").applyInArrow(_spans, _BY_ROW), "spans"))
 
 
 def kept_bytes(text: bytes, start: np.ndarray, end: np.ndarray) -> bytes:

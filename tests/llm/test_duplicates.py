@@ -284,3 +284,19 @@ def test_similar_documents_equal_brute_force_groups(spark):
     rows = edited_copies()
     got = {r.id: r.component for r in simhash.similar_documents(awkward(spark, [(*r, "en", "a") for r in rows])).collect()}
     assert got == groups([i for i, _ in rows], brute_pairs(rows))  # no link below 0.8 either
+
+
+def test_pairs_to_verify_grow_with_the_texts_of_a_hot_passage(spark, monkeypatch):
+    """A passage of 40 words in texts with tails of their own, and a few true pairs among them."""
+    own, counts = jaccard.verified, {}
+    for n in (200, 400):
+        asked = []
+        monkeypatch.setattr(jaccard, "verified", lambda pairs, *rest: asked.append(pairs.count()) or own(pairs, *rest))
+        passage = " ".join(f"common{i}" for i in range(40))
+        rows = [(i, f"{passage} " + " ".join(f"t{i}w{k}" for k in range(20 + i % 37)), "en", "a") for i in range(n)]
+        rows += [(n + i, rows[i][1].replace("w3 ", "changed "), "en", "a") for i in range(0, n, 10)]
+        texts = jaccard.candidates(awkward(spark, rows), "text", 0.8, 5)
+        found = {tuple(sorted((r.a, r.b))) for r in jaccard.links(texts, 0.8).collect()}
+        counts[n] = sum(asked)
+        assert len(found) >= n // 10 * 0.8
+    assert counts[400] <= 2.5 * counts[200] and counts[400] <= 16 * 400

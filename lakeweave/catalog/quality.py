@@ -121,6 +121,31 @@ def dataset_rules(lake: Lake):
     return quality.dataset_rules(rows, checks, F.current_timestamp()).drop("checked_at")
 
 
+@query("""WITH e AS (SELECT *, epoch_us(ts) // 1000 AS ms FROM events), t AS (SELECT max(ms) AS newest, count(*) AS n FROM e),
+  m AS (SELECT 'seismic.has_magnitude' AS rule, count(*) FILTER (WHERE value IS NULL OR value = 0 OR user_id % 50 = 3)::DOUBLE AS measure, count(*) AS rows_scanned FROM e
+    UNION ALL SELECT 'seismic.freshness', 700, n FROM t
+    UNION ALL SELECT 'noaa.obs_coords_present', 100.0::DOUBLE * count(*) FILTER (WHERE user_id % 25 = 0) / count(*), count(*) FROM e
+    UNION ALL SELECT 'noaa.freshness', 700, n FROM t
+    UNION ALL SELECT 'ogn.positions_have_pk', 100.0::DOUBLE * count(*) FILTER (WHERE user_id % 6 = 0) / count(*), count(*) FROM e
+    UNION ALL SELECT 'ogn.late_events_lt_1pct', 100.0::DOUBLE * count(*) FILTER (WHERE ms < newest - 86400000) / count(*), count(*) FROM e, t
+    UNION ALL SELECT 'config.regions_active_min', count(*) FILTER (WHERE s_acctbal > 0), count(*) FROM supplier)
+SELECT rule, CASE WHEN CASE rule WHEN 'seismic.has_magnitude' THEN measure = 0 WHEN 'seismic.freshness' THEN measure <= 600 WHEN 'noaa.obs_coords_present' THEN measure < 5
+  WHEN 'noaa.freshness' THEN measure <= 1800 WHEN 'ogn.positions_have_pk' THEN measure < 10 WHEN 'ogn.late_events_lt_1pct' THEN measure < 1 ELSE measure >= 50 END
+  THEN 'PASS' ELSE 'FAIL' END AS status, measure, rows_scanned FROM m""")
+def standing_rules(lake: Lake):
+    """The standing rules of the geographic silver tables; events play quakes, observations and positions, suppliers regions."""
+    events = lake("events").withColumn("ts_ms", F.floor(us("ts") / 1000))
+    tables = {
+        "seismic_events": events.select(F.when(F.col("user_id") % 50 != 3, F.col("value")).alias("magnitude"), F.col("ts_ms").alias("ingested_ms")),
+        "noaa_observations": events.select(F.when(F.col("user_id") % 25 != 0, F.col("value")).alias("lat"), F.lit(1.0).alias("lon"),
+                                           F.col("ts_ms").alias("ingested_ms")),
+        "ogn_positions": events.select("ts_ms", F.when(F.col("user_id") % 2 != 0, F.col("event_type")).alias("address"),
+                                       F.when(F.col("user_id") % 3 != 0, F.col("event_type")).otherwise("").alias("callsign")),
+        "regions": lake("supplier").select((F.col("s_acctbal") > 0).alias("is_active"))}
+    now = events.agg((F.max("ts_ms") + 700_000).alias("now")).scalar()
+    return geo_lake.check_tables(tables, now).drop("checked_at")
+
+
 @query("""SELECT 'bronze_orders_not_empty' AS rule, 'PASS' AS status, count(*)::DOUBLE AS measure, count(*) AS rows_scanned FROM orders
 UNION ALL SELECT 'no_null_order_ids', 'PASS', 0, count(*) FROM orders UNION ALL SELECT 'no_negative_amounts', 'PASS', 0, count(*) FROM orders
 UNION ALL SELECT 'customers_loaded', 'PASS', count(*), count(*) FROM customer""")

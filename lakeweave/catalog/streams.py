@@ -14,7 +14,7 @@ from ..operators.keyed import latest_by_key
 from ..session import scratch_dir
 from ..sources.messages import MESSAGE
 from ..streaming import alarms, flows, ledger, rides, trails
-from ..streaming.sinks import file_writer, finish, fold_first, fold_latest, per_batch, put_batch, read_folded
+from ..streaming.sinks import file_writer, finish, fold_first, fold_latest, per_batch, put_batch, put_state, read_folded, read_state
 from .geo import SQL_ZONE
 from .quality import SQL_RIDE_REASON
 from .quality import rides as ride_rows
@@ -128,11 +128,8 @@ def stream_sessions(lake: Lake):
 def stream_running_state(lake: Lake):
     checkpoint, out = dirs(lake, "state")
     frame = flows.running_state(event_stream(lake), ["event_type"], {"net_value": money("value")})
-    finish(per_batch(frame, lambda batch, i: put_batch(batch, out, i)).outputMode("complete"), checkpoint)
-    stored = lake.spark.read.parquet(out)
-    newest = stored.agg(F.max("batch_id").alias("b")).scalar()
-    return stored.filter(F.col("batch_id") == newest).select("event_type", "events_processed",
-                                                             real("net_value").alias("net_value"))
+    finish(per_batch(frame, lambda batch, i: put_state(batch, out, i)).outputMode("complete"), checkpoint)
+    return read_state(lake.spark, out).select("event_type", "events_processed", real("net_value").alias("net_value"))
 
 
 @query("SELECT event_id, user_id, value FROM events WHERE value / 10 > 1.5")

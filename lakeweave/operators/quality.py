@@ -100,6 +100,7 @@ def contract_rules(required: Sequence[str], allowed: dict[str, Sequence[str]] |
     return rules
 
 
+# Names and limits of the rules.
 def order_rules() -> list[Rule]:
     """The nine rules of the retail order lake; null status or currency is not reported."""
     return [
@@ -137,6 +138,7 @@ def ride_reason() -> Column:
     return F.coalesce(F.col("_corruption"), first_error(rules))
 
 
+# Names and limits of the rules.
 def ride_expectations() -> list[Rule]:
     low_high = RIDE_BOUNDS
     return [
@@ -223,6 +225,7 @@ def age_seconds(stamp_ms: str, now_ms: Column) -> Column:
     return (now_ms - F.max(F.coalesce(F.col(stamp_ms), F.lit(0)))) / 1000
 
 
+# Names and limits of the rules.
 def rule_table(kind: str, now_ms: Column | None = None, late_cutoff_ms: Column | None = None
                ) -> list[tuple[str, Column, Column]]:
     """Standing checks per silver table: quakes, observations, positions, regions."""
@@ -277,6 +280,7 @@ def freshness(df: DataFrame, loaded_at: str, as_of: Column) -> DataFrame:
     return row.withColumn("age_minutes", F.coalesce(minutes_between(as_of, F.col("latest")), F.lit(-1.0)))
 
 
+# Names and limits of the rules.
 def sla_issues(metrics: DataFrame, stale_minutes: float = 60, least_pass_rate: float = 0.95) -> DataFrame:
     """Texts for every broken service level of a one-row metrics table."""
     rules = [(f"Bronze data is stale (>{stale_minutes:g} min old)", F.col("bronze_freshness_minutes") > stale_minutes),

@@ -256,14 +256,23 @@ def build_gold(spark: SparkSession, silver: str, gold: str, as_of_ms: Column, sn
     return spark.createDataFrame(outcome, "mart string, status string, detail string")
 
 
-def check_silver(spark: SparkSession, silver: str, now_ms: Column) -> DataFrame:
-    """Standing dataset rules over the silver tables that exist."""
+CHECKED = ("seismic_events", "noaa_observations", "ogn_positions", "regions")
+
+
+def check_tables(tables: dict[str, DataFrame], now_ms: Column) -> DataFrame | None:
+    """Standing dataset rules over the tables that there are; None without any."""
     results = None
-    for entity in ("seismic_events", "noaa_observations", "ogn_positions", "regions"):
-        table = silver_table(spark, silver, entity)
-        if table is None:
+    for entity in CHECKED:
+        if entity not in tables:
             continue
+        table = tables[entity]
         cutoff = late_cutoff(table, "ts_ms", LATE_MS) if entity == "ogn_positions" else None
         part = quality.dataset_rules(table, quality.rule_table(entity, now_ms, cutoff), F.current_timestamp())
         results = part if results is None else results.unionByName(part)
     return results
+
+
+def check_silver(spark: SparkSession, silver: str, now_ms: Column) -> DataFrame | None:
+    """Standing dataset rules over the silver tables that exist."""
+    tables = {entity: silver_table(spark, silver, entity) for entity in CHECKED}
+    return check_tables({entity: table for entity, table in tables.items() if table is not None}, now_ms)

@@ -16,6 +16,7 @@ from ..operators.enrich import enrich
 from ..sources import files
 from ..sources.layout import ingest_manifest, ingest_new_files, list_partitions, replace_partitions, table_or_none
 
+# Input columns, and the columns that make two events the same.
 ORDER_EVENT = ("event_id string, order_id int, customer_id int, product_id string, status string, amount double, "
                "currency string, channel string, event_time string, coupon_code string, delivery_promise string")
 CUSTOMER = ("customer_id int, customer_name string, email string, country string, region string, signup_date string, "

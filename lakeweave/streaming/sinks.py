@@ -21,6 +21,20 @@ def put_batch(df: DataFrame, target: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
 
+def put_state(df: DataFrame, target: str, batch_id: int, keep: int = 2) -> None:
+    """Store the whole state after a batch; states older than the last ``keep`` are removed, as readers take the newest."""
+    put_batch(df, target, batch_id)
+    spark = df.sparkSession
+    for old in complete_versions(spark, target):
+        if old <= batch_id - keep:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{BATCH}={old}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def read_state(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(f"{target}/{BATCH}={complete_versions(spark, target)[-1]}")
+
+
 def start(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Start a query: caught up and stopped by default, or triggered ``every`` interval."""
     writer = writer.option("checkpointLocation", checkpoint)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -26,22 +28,25 @@ class TrailProcessor(StatefulProcessor):
         self.trail = handle.getValueState("trail", _STATE)
 
     def _points(self) -> list[tuple]:
-        if not self.trail.exists():
+        stored = self.trail.get()
+        if stored is None:
             return []
-        lat, lon, ts = self.trail.get()
+        lat, lon, ts = stored
         return list(zip(ts, lat, lon))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         points = self._points()
+        due = points[-1][0] + self.ttl_ms if points else None  # the one timer that a key has
         for frame in rows:
             points.extend(zip(frame["ts_ms"].tolist(), frame["lat"].tolist(), frame["lon"].tolist()))
             # memory stays at one Arrow batch plus the trail, however many rows a key has
             points = sorted(points)[-self.limit:]
         ts, lat, lon = zip(*points)
         self.trail.update((list(lat), list(lon), list(ts)))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(ts[-1] + self.ttl_ms)
+        if due != ts[-1] + self.ttl_ms:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            self.handle.registerTimer(ts[-1] + self.ttl_ms)
         yield self._row(key[0], "active", points)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -60,13 +65,24 @@ class TrailProcessor(StatefulProcessor):
                              "points": pd.Series([len(points)], dtype="int32"), "trail_ms": [[p[0] for p in points]]})
 
 
+def newest_of_batch(batch: pa.RecordBatch, limit: int) -> pa.RecordBatch:
+    """The newest ``limit`` rows of each key (first column) of an Arrow batch, in the order of ts_ms, lat, lon."""
+    key = batch.column(0).dictionary_encode().indices.to_numpy()
+    place = [batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("lon", "lat", "ts_ms")]
+    order = np.lexsort((*place, key))
+    last = np.searchsorted(key[order], key[order], side="right")
+    return batch.take(pa.array(order[last - np.arange(len(order)) <= limit]))
+
+
 def track(positions: DataFrame, key: str, time: str, delay: str = "1 minute", limit: int = TRAIL_POINTS,
           ttl_seconds: int = TRAIL_TTL_SECONDS) -> DataFrame:
     """Updated track per key and batch, and one ``gone`` row when a key falls silent.
 
-    ``positions`` carries lat, lon, ts_ms; ``time`` is its timestamp column.
+    ``positions`` carries lat, lon, ts_ms; ``time`` is its timestamp column. Before they move to the state, the rows of every Arrow
+    batch are cut to the newest ``limit`` per key, which takes most rows of a hot key away in the map tasks.
     """
-    known = positions.filter(f"lat IS NOT NULL AND lon IS NOT NULL AND {key} IS NOT NULL")
-    slim = known.withWatermark(time, delay).selectExpr(f"CAST({key} AS string) AS key", "lat", "lon", "ts_ms", time)
-    return slim.groupBy("key").transformWithStateInPandas(
+    known = positions.filter(f"lat IS NOT NULL AND lon IS NOT NULL AND ts_ms IS NOT NULL AND {key} IS NOT NULL")
+    slim = known.selectExpr(f"CAST({key} AS string) AS key", "CAST(lat AS double) AS lat", "CAST(lon AS double) AS lon", "ts_ms", time)
+    cut = slim.mapInArrow(lambda batches: (newest_of_batch(b, limit) for b in batches if b.num_rows), slim.schema)
+    return cut.withWatermark(time, delay).groupBy("key").transformWithStateInPandas(
         TrailProcessor(limit, ttl_seconds), outputStructType=TRACK, outputMode="append", timeMode="EventTime")

@@ -12,7 +12,8 @@ from .oracle import TABLES, connect, differences
 ROOT = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not ROOT.exists(), reason="test tables are not mounted")
 NAMES = ["stream_route", "stream_surge", "stream_trail_state", "stream_running_state", "stream_dedup", "stream_latest_table",
-         "stream_filtered", "incremental_ingest"]
+         "stream_filtered", "incremental_ingest", "stream_validate", "stream_minute_stats", "stream_tumbling", "stream_hopping",
+         "stream_sessions", "stream_hourly_landing", "stream_message_upsert", "stream_silence_alarms", "stream_sketched_quantiles"]
 
 
 @pytest.fixture(scope="module")

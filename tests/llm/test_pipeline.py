@@ -13,7 +13,7 @@ from .tables import ROOT, awkward
 
 def test_queries_are_registered():
     names = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
 
 

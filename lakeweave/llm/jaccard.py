@@ -1,7 +1,11 @@
 """Links between distinct texts whose sets of word shingles have a Jaccard similarity of t or more: a prefix-filter join.
 
-1. *Shared shingles.* Each text sends its distinct shingle hashes, packed, to a bucket of the hash; there the equal texts
-   are folded and the shingles that only one text has are dropped. What is left goes packed to a bucket of the text.
+0. *Texts that may have a partner.* In the order of the hashes, texts of similarity t share the first l of their common
+   shingles within the first m - ceil(t m) + l of each (of its m). With l = m / 10 every text sends three tenths of its
+   shingles, packed, to a bucket of the hash; a text stays if l of those it sent were sent by others as well. Passages shared by
+   unlike texts fill too little of it to keep them.
+1. *Shared shingles.* Each text that stays sends all its distinct shingle hashes, packed, to a bucket of the hash; there the
+   equal texts are folded and the shingles that only one text has are dropped. What is left goes packed to a bucket of the text.
 2. *Prefixes.* Two texts of similarity t share one of the m - ceil(t m) + 1 rarest shingles of each (of its m). Those of
    one text only lead nowhere, so a text with more than that many of them is in no pair at all; few texts remain.
 3. *Candidates.* Texts that share a prefix shingle. Shingles of the same texts are folded to one first. Each shingle's
@@ -28,8 +32,10 @@ from .packed import bucket_count, pack, unpack
 from .state import cut
 from .text import IS_SPACE, LOWER, RangeHash, slices, word_bounds
 
+FEW_ROWS = 500  # texts held as Python objects at a time
 FLUSH = 1 << 22  # shingles that a task holds before it sends them
 LEADS = 8
+COMMON = 10  # a text must share one in so many of its shingles within what it sends first
 SLACK = 1e-9
 
 
@@ -71,7 +77,20 @@ def _differences(column: np.ndarray) -> np.ndarray:
     return np.diff(column, prepend=column.dtype.type(0))
 
 
-def _send(shingle: int, buckets: int):
+def least_common(m: np.ndarray, similarity: float) -> np.ndarray:
+    """The fewest shingles that a text of m and any partner of it have in common."""
+    return np.ceil(similarity * m.astype(np.int64) - SLACK).astype(np.int64)
+
+
+def early(m: np.ndarray, owner: np.ndarray, similarity: float) -> np.ndarray:
+    """Which shingles, in order of owner and hash, each text sends first: so many that l = m / ``COMMON`` common ones must be among them."""
+    m = m.astype(np.int64)
+    place = np.arange(len(owner)) - (np.cumsum(m) - m)[owner]
+    return place < (m - least_common(m, similarity) + np.maximum(1, m // COMMON))[owner]
+
+
+def _send(shingle: int, buckets: int, similarity: float | None = None):
+    """Packed shingles by bucket: of every text in a batch all, or with a ``similarity`` the ``early`` ones."""
     def flush(held):
         base = np.cumsum([0, *(len(h[0]) for h in held)])
         node, m, hashes = (np.concatenate([h[c] for h in held]) for c in range(3))
@@ -96,7 +115,7 @@ def _send(shingle: int, buckets: int):
                     if n not in seen:
                         seen.add(n)
                         fresh[i] = True
-                keep = fresh[owner]
+                keep = fresh[owner] if similarity is None else fresh[owner] & early(m, owner, similarity)
                 held.append((node[fresh], m[fresh], hashes[keep], (np.cumsum(fresh) - 1)[owner[keep]]))
                 size += int(keep.sum())
                 if size >= FLUSH:
@@ -107,8 +126,8 @@ def _send(shingle: int, buckets: int):
     return run
 
 
-def _shared(buckets: int):
-    """The shingles of a bucket that two distinct texts have, dealt out by text, with the number of texts."""
+def _shared(buckets: int, count: bool = False):
+    """The shingles of a bucket that two distinct texts have, dealt out by text, with the number of texts; or how many of them each text has."""
     def run(table):
         parts = [unpack(p) for p in table.column("payload").to_pylist()]
         hashes = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
@@ -123,9 +142,12 @@ def _shared(buckets: int):
         df = np.repeat(size, size).astype(np.uint32)
         keep = df > 1
         hashes, node, m, df = hashes[keep], node[keep], m[keep], df[keep]
+        if count:
+            node, at, df = np.unique(node, return_index=True, return_counts=True)
+            m, hashes, df = m[at], hashes[:0], df.astype(np.uint32)
         bucket = node % np.uint64(buckets)
         order = np.lexsort((node, bucket))
-        hashes, node, m, df, bucket = hashes[order], node[order], m[order], df[order], bucket[order]
+        hashes, node, m, df, bucket = hashes if count else hashes[order], node[order], m[order], df[order], bucket[order]
         edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
         found = np.flatnonzero(np.diff(edges)).tolist()
         packed = [pack(_differences(node[own]), m[own], hashes[own], df[own]) for own in (slice(edges[k], edges[k + 1]) for k in found)]
@@ -143,7 +165,7 @@ def _prefixes(similarity: float):
         node, m, hashes = node[order], m[order].astype(np.int64), hashes[order]
         begin = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
         size = np.diff(np.append(begin, len(node)))
-        slots = size - np.ceil(similarity * m[begin] - SLACK).astype(np.int64) + 1
+        slots = size - least_common(m[begin], similarity) + 1
         chosen = slots > 0
         tokens = hashes[np.repeat(chosen, size)].view(np.int64)
         begin, size, slots = begin[chosen], size[chosen], slots[chosen]
@@ -153,10 +175,44 @@ def _prefixes(similarity: float):
     return run
 
 
+def _partnered(similarity: float):
+    """(node) of the texts of which enough early shingles are shared: what the smallest possible partner asks for."""
+    def run(table):
+        parts = [unpack(p) for p in table.column("payload").to_pylist()]
+        node = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
+        m, shared = (np.concatenate([p[c] for p in parts]) for c in (1, 3))
+        node, at, own = np.unique(node, return_index=True, return_inverse=True)
+        shared = np.bincount(own, shared, minlength=len(node))
+        chosen = shared >= np.maximum(1, least_common(m[at], similarity) // COMMON)
+        return pa.table([pa.array(node[chosen].view(np.int64))], names=["node"])
+    return run
+
+
+def nodes(texts: pa.Array) -> np.ndarray:
+    """The hash of each text's lower-cased words, as in ``shingle_sets``."""
+    return np.fromiter((xxhash.xxh3_64_intdigest(b" ".join((t or "").encode().lower().split()))
+                        for at in range(0, len(texts), FEW_ROWS) for t in texts.slice(at, FEW_ROWS).to_pylist()), np.uint64, len(texts))
+
+
+def _named(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(nodes(batch.column(0)).view(np.int64)), batch.column(0)], names=["node", "text"])
+
+
+def with_partners(texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """The rows (text) that may have a partner, by the early shingles of all texts; no row with one is lost."""
+    buckets = bucket_count(texts.sparkSession, 1)
+    sent = texts.mapInArrow(_send(shingle, buckets, similarity), "bucket int, payload binary")
+    counts = sent.groupBy("bucket").applyInArrow(_shared(buckets, count=True), "bucket int, payload binary")
+    partnered = cut(counts.groupBy("bucket").applyInArrow(_partnered(similarity), "node long"), "partnered")
+    return texts.mapInArrow(_named, "node long, text string").join(partnered, "node", "left_semi").select("text")
+
+
 def candidates(docs: DataFrame, text_col: str, similarity: float, shingle: int) -> DataFrame:
     """(node, m, shared, slots, tokens) of every distinct text that may have a partner; see ``_prefixes``."""
     buckets = bucket_count(docs.sparkSession, 1)
-    sent = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_send(shingle, buckets), "bucket int, payload binary")
+    texts = with_partners(docs.select(F.col(text_col).cast("string").alias("text")), similarity, shingle)
+    sent = texts.mapInArrow(_send(shingle, buckets), "bucket int, payload binary")
     shared = sent.groupBy("bucket").applyInArrow(_shared(buckets), "bucket int, payload binary")
     rows = shared.groupBy("bucket").applyInArrow(_prefixes(similarity),
                                                  "node long, m int, shared int, slots int, tokens array<long>")

@@ -138,7 +138,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 # Fingerprints only propose: every link has the exact similarity.
 
 SKETCH = 3
-FEW_ROWS = 500  # texts held as Python objects at a time
 SIMILARITY, SHINGLE_WORDS = 0.8, 5
 
 
@@ -154,8 +153,7 @@ def _describe(batches):
         texts = batch.column(1)
         words = _column(texts, 1)[:, 0].copy()
         sketch = _column(texts, SHINGLE_WORDS, SKETCH)
-        node = np.fromiter((xxhash.xxh3_64_intdigest(b" ".join((t or "").encode().lower().split()))
-                            for at in range(0, len(texts), FEW_ROWS) for t in texts.slice(at, FEW_ROWS).to_pylist()), np.uint64, len(texts))
+        node = jaccard.nodes(texts)
         columns = [node, words, *(sketch[:, c].copy() for c in range(SKETCH))]
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c.view(np.int64)) for c in columns)],
                                          names=["id", "node", "fp", *_SKETCHES])

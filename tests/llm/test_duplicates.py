@@ -280,6 +280,18 @@ def test_exact_links_equal_all_pairs(spark, leads):
     assert groups([i for i, _ in rows], found) == groups([i for i, _ in rows], pairs)
 
 
+def test_texts_of_pairs_stay_and_texts_with_a_shared_passage_go(spark):
+    rows = edited_copies()
+    passage = " ".join(f"common{i}" for i in range(20))
+    unlike = [(5_000 + i, " ".join(f"t{i}w{k}" for k in range(150)) + f" {passage} end{i}") for i in range(40)]
+    twice = [(7_000 + i, t.upper()) for i, t in rows[::5]]
+    texts = spark.createDataFrame(rows + unlike + twice + [(8_000, None), (8_001, "")], "doc_id long, text string").repartition(3).select("text")
+    kept = {r.text for r in jaccard.with_partners(texts, 0.8, 5).collect()}
+    paired = {i for p in brute_pairs(rows) for i in p}
+    assert {t for i, t in rows if i in paired} <= kept and {t for i, t in twice if rows[(i - 7_000)][0] in paired} <= kept
+    assert not kept & {t for _, t in unlike}
+
+
 def test_similar_documents_equal_brute_force_groups(spark):
     rows = edited_copies()
     got = {r.id: r.component for r in simhash.similar_documents(awkward(spark, [(*r, "en", "a") for r in rows])).collect()}

@@ -34,6 +34,7 @@ from .text import IS_SPACE, LOWER, RangeHash, slices, word_bounds
 
 FEW_ROWS = 500  # texts held as Python objects at a time
 FLUSH = 1 << 22  # shingles that a task holds before it sends them
+BITS, PART = 1 << 26, 1 << 15  # bits of the map of texts, and of each part that Spark builds (4 KB)
 LEADS = 8
 COMMON = 10  # a text must share one in so many of its shingles within what it sends first
 SLACK = 1e-9
@@ -194,18 +195,35 @@ def nodes(texts: pa.Array) -> np.ndarray:
                         for at in range(0, len(texts), FEW_ROWS) for t in texts.slice(at, FEW_ROWS).to_pylist()), np.uint64, len(texts))
 
 
-def _named(batches):
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(nodes(batch.column(0)).view(np.int64)), batch.column(0)], names=["node", "text"])
+def _bits(partnered: DataFrame) -> bytes:
+    """A bitmap of ``BITS`` bits, one set for each node: of fixed size, whatever the number of nodes."""
+    at = F.pmod("node", F.lit(BITS))
+    parts = partnered.groupBy(F.floor(at / PART).alias("part")).agg(F.bitmap_construct_agg((at % PART)).alias("bits")).collect()
+    out = bytearray(BITS // 8)
+    for r in parts:
+        out[r.part * PART // 8:(r.part + 1) * PART // 8] = r.bits
+    return bytes(out)
+
+
+def _marked(bits: bytes):
+    def run(batches):
+        table = np.frombuffer(bits, np.uint8)
+        for batch in batches:
+            at = nodes(batch.column(0)) % np.uint64(BITS)
+            yield batch.filter(pa.array((table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)))
+    return run
 
 
 def with_partners(texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """The rows (text) that may have a partner, by the early shingles of all texts; no row with one is lost."""
+    """The rows (text) that may have a partner, by the early shingles of all texts; no row with one is lost, others may stay.
+
+    Texts are not shuffled: each task looks its own up in a bitmap of their hashes. The fuller it is, the more rows stay.
+    """
     buckets = bucket_count(texts.sparkSession, 1)
     sent = texts.mapInArrow(_send(shingle, buckets, similarity), "bucket int, payload binary")
     counts = sent.groupBy("bucket").applyInArrow(_shared(buckets, count=True), "bucket int, payload binary")
-    partnered = cut(counts.groupBy("bucket").applyInArrow(_partnered(similarity), "node long"), "partnered")
-    return texts.mapInArrow(_named, "node long, text string").join(partnered, "node", "left_semi").select("text")
+    partnered = counts.groupBy("bucket").applyInArrow(_partnered(similarity), "node long")
+    return texts.mapInArrow(_marked(_bits(partnered)), "text string")
 
 
 def candidates(docs: DataFrame, text_col: str, similarity: float, shingle: int) -> DataFrame:

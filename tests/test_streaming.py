@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeweave.operators import quality
 from lakeweave.plans import rides as ride_plans
 from lakeweave.sources import messages
-from lakeweave.streaming import alarms, flows, ledger, rides, sinks, trails
+from lakeweave.streaming import alarms, flows, ledger, lookups, rides, sinks, trails
 
 
 def in_order(folder):
@@ -377,3 +377,22 @@ def test_order_event_batches(spark, tmp_path):
     sinks.finish(flows.order_event_batches(messages.stream_message_files(spark, str(source), 1), clean, totals), str(tmp_path / "c"))
     assert collected(spark.read.parquet(clean), "key", "batch_id") == [("1", 0), ("3", 1)]
     assert collected(spark.read.parquet(totals), "key", F.get_json_object("value", "$.total_amount")) == [("7", "1.5"), ("7", "5.0")]
+
+
+def test_keys_of_one_block_share_a_state_and_stay_apart(spark, tmp_path):
+    """Thousands of keys fill, change and join in a few dozen groups: state in Python costs by the group."""
+    trips, log = tmp_path / "trips", tmp_path / "log"
+    trips.mkdir(), log.mkdir()
+    (trips / "0.json").write_text("".join(json.dumps({"d": f"k{i}", "n": i}) + "\n" for i in range(0, 6000, 2)))
+    (log / "0.json").write_text("".join(json.dumps({"key": f"k{i}", "partition": 0, "offset": 9, "body": None if i % 8 else f"new{i}"}) + "\n"
+                                        for i in range(0, 6000, 4)))
+    base = spark.range(5000).selectExpr("concat('k', id) AS key", "0 AS partition", "id % 7 AS offset", "concat('old', id) AS body")
+    facts = spark.readStream.schema("d string, n bigint").json(str(trips))
+    changes = spark.readStream.schema("key string, partition int, offset bigint, body string").json(str(log))
+    met = lookups.join_table(facts, "d", changes, base=base, salts=2, blocks=16)
+    out = str(tmp_path / "met")
+    sinks.finish(sinks.file_writer(met, out), str(tmp_path / "c"))
+    want = {f"k{i}": (f"new{i}" if i % 8 == 0 else None) if i % 4 == 0 else f"old{i}" if i < 5000 else None for i in range(0, 6000, 2)}
+    assert {r.key: r.table_row for r in spark.read.parquet(out).collect()} == want
+    groups = spark.read.format("statestore").option("stateVarName", "rows").load(str(tmp_path / "c")).count()
+    assert groups == 32

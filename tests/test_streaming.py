@@ -396,3 +396,27 @@ def test_keys_of_one_block_share_a_state_and_stay_apart(spark, tmp_path):
     assert {r.key: r.table_row for r in spark.read.parquet(out).collect()} == want
     groups = spark.read.format("statestore").option("stateVarName", "rows").load(str(tmp_path / "c")).count()
     assert groups == 32
+
+
+def test_trails_of_one_block_stay_apart(spark, tmp_path):
+    """Hundreds of keys in three states: each keeps its own points and ends by its own silence, not by that of its block."""
+    source = tmp_path / "pos"
+    source.mkdir()
+    point = lambda key, s: json.dumps({"key": key, "s": s, "lat": float(s), "lon": 2.0}) + "\n"
+    (source / "0.json").write_text("".join(point(f"k{k}", s + k) for k in range(300) for s in (30, 10, 20)))
+    (source / "1.json").write_text("".join(point(f"k{k}", 700 + k) for k in range(0, 300, 2)))
+    (source / "2.json").write_text(point("last", 1500))
+    in_order(source)
+    stream = spark.readStream.schema("key string, s bigint, lat double, lon double").option("maxFilesPerTrigger", 1).json(str(source))
+    stream = stream.select("key", "lat", "lon", (F.col("s") * 1000).alias("ts_ms"), F.timestamp_seconds("s").alias("ts"))
+    out = str(tmp_path / "out")
+    sinks.finish(sinks.file_writer(trails.track(stream, "key", "ts", limit=4, blocks=3), out), str(tmp_path / "c"))
+    rows = spark.read.parquet(out)
+    active = rows.filter("status = 'active'")
+    assert active.count() == 300 + 150 + 1 and active.filter("points = 4").count() == 150
+    gone = {r.key: (r.ts_ms // 1000, r.points, [t // 1000 for t in r.trail_ms]) for r in rows.filter("status = 'gone'").collect()}
+    # the last watermark is 1440: what is older than 840 is over
+    want = {f"k{k}": (30 + k, 3, [10 + k, 20 + k, 30 + k]) for k in range(1, 300, 2)}
+    want |= {f"k{k}": (700 + k, 4, [10 + k, 20 + k, 30 + k, 700 + k]) for k in range(0, 140, 2)}
+    assert gone == want
+    assert spark.read.format("statestore").option("stateVarName", "trails").load(str(tmp_path / "c")).count() == 3

@@ -420,3 +420,22 @@ def test_trails_of_one_block_stay_apart(spark, tmp_path):
     want |= {f"k{k}": (700 + k, 4, [10 + k, 20 + k, 30 + k, 700 + k]) for k in range(0, 140, 2)}
     assert gone == want
     assert spark.read.format("statestore").option("stateVarName", "trails").load(str(tmp_path / "c")).count() == 3
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_rules_of_one_block_are_told_apart(spark, tmp_path, files):
+    """Hundreds of rules in two states, among them a step and a result right at the last watermark."""
+    rng, source = random.Random(12), tmp_path / "results"
+    source.mkdir()
+    times = {f"r{k}": sorted(rng.sample(range(0, 4000), rng.randrange(1, 9))) for k in range(300)} | {"edge": [4000, 4170], "brim": [4109]}
+    rows = sorted((t, rule) for rule, own in times.items() for t in own) + [(4200, "last")]
+    size = -(-len(rows) // files)
+    for i in range(files):
+        (source / f"{i}.json").write_text("".join(json.dumps({"rule": r, "s": t}) + "\n" for t, r in rows[i * size:(i + 1) * size]))
+    in_order(source)
+    stream = spark.readStream.schema("rule string, s bigint").option("maxFilesPerTrigger", 1).json(str(source))
+    steps = alarms.silence_alarms(stream.withColumn("ts", F.timestamp_seconds("s")), "rule", "ts", 60, 200, "30 seconds", blocks=2)
+    sinks.finish(sinks.file_writer(steps, str(tmp_path / "out")), str(tmp_path / "c"))
+    got = sorted((r.rule, r.state, r.at) for r in spark.read.parquet(str(tmp_path / "out")).select("rule", "state", F.unix_seconds("at").alias("at")).collect())
+    assert got == sorted((rule, name, at) for rule, own in times.items() for name, at in silent_steps(own, 4170, 60, 200))
+    assert spark.read.format("statestore").option("stateVarName", "seen").load(str(tmp_path / "c")).count() == 2

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +28,13 @@ BASE_CELL = 0.25
 LEAST_EXTENT = 1e-7  # degrees; about a centimetre
 
 
-def _cell(value: Column, level: Column) -> Column:
-    return F.floor(value / (F.lit(BASE_CELL) * F.pow(F.lit(2.0), level)))
+def _level(extent: Column) -> Column:
+    """Level of the cells for boxes of this extent: a power of four of the base cell, an eighth to half of the extent."""
+    return (F.ceil(F.log2(F.greatest(extent, F.lit(LEAST_EXTENT)) / F.lit(BASE_CELL)) / 2) * 2 - 3).cast("int")
+
+
+def _cell(value: Column, size: Column) -> Column:
+    return F.floor(value / size)
 
 
 def box_join(points: DataFrame, boxes: DataFrame, lat: str = "lat", lon: str = "lon",
@@ -35,34 +42,52 @@ def box_join(points: DataFrame, boxes: DataFrame, lat: str = "lat", lon: str = "
              broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Pairs of a point and a box around it, borders included.
 
-    Every box is filed under a power-of-two grid whose cell is at least as large as the box, so it
-    touches at most four cells. A point lies in exactly one cell per grid level, which makes this an
-    equi-join on (level, cell) with the exact bounds checked after it: no pair is compared twice and
-    none is missed. One small job counts the filed boxes per grid level (at most a few dozen, by the
-    number range of a double): up to ``broadcast_rows`` they are broadcast and the points stay where
-    they are, beyond that both sides are shuffled by cell and AQE splits crowded cells.
+    Every box is filed under a grid whose cell is an eighth to half as high and as wide as the box, so it
+    touches at most a hundred cells (some thirty on average) that reach little beyond it: of the points that meet
+    it more than half lie inside, however long and thin it is. A point lies in exactly one cell per grid, which makes this an
+    equi-join on (levels, cell) with the exact bounds checked after it: no pair is compared twice and
+    none is missed. One small job counts the filed boxes per grid (powers of four in height and width; at most a few dozen
+    for boxes of sane shapes): up to ``broadcast_rows`` they are broadcast and the points stay where
+    they are, beyond that both sides are shuffled by cell and AQE splits crowded cells. The pairs themselves grow with
+    points times boxes.
     """
     south, north, west, east = (F.col(name) for name in bounds)
-    extent = F.greatest(north - south, east - west, F.lit(LEAST_EXTENT))
+    size = lambda level: F.lit(BASE_CELL) * F.pow(F.lit(2.0), level)
     filed = (boxes.filter((south <= north) & (west <= east))
-             .withColumn("__level", F.ceil(F.log2(extent / F.lit(BASE_CELL))).cast("int")))
-    rows, columns = (F.sequence(_cell(low, F.col("__level")), _cell(high, F.col("__level")))
-                     for low, high in ((south, north), (west, east)))
-    filed = (filed.withColumn("__row", F.explode(rows)).withColumn("__col", F.explode(columns))
-             .withColumnsRenamed({"__level": "__box_level", "__row": "__box_row", "__col": "__box_col"}))
-    per_level = {row["__box_level"]: row["count"] for row in filed.groupBy("__box_level").count().collect()}
-    levels = sorted(per_level) or [0]
-    if sum(per_level.values()) <= broadcast_rows:
+             .withColumns({"__box_high": _level(north - south), "__box_wide": _level(east - west)}))
+    rows, columns = (F.sequence(_cell(low, size(F.col(level))), _cell(high, size(F.col(level))))
+                     for low, high, level in ((south, north, "__box_high"), (west, east, "__box_wide")))
+    filed = filed.withColumn("__box_row", F.explode(rows)).withColumn("__box_col", F.explode(columns))
+    per_grid = {(row["__box_high"], row["__box_wide"]): row["count"]
+                for row in filed.groupBy("__box_high", "__box_wide").count().collect()}
+    grids = [F.struct(*[F.lit(v).alias(n) for n, v in (("high", high), ("wide", wide))],
+                      size(F.lit(high)).alias("height"), size(F.lit(wide)).alias("width"))
+             for high, wide in sorted(per_grid) or [(0, 0)]]
+    if sum(per_grid.values()) <= broadcast_rows:
         filed = F.broadcast(filed)
     placed = (points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-              .withColumn("__level", F.explode(F.array(*[F.lit(level) for level in levels])))
-              .withColumns({"__row": _cell(F.col(lat), F.col("__level")),
-                            "__col": _cell(F.col(lon), F.col("__level"))}))
-    same_cell = ((F.col("__level") == F.col("__box_level")) & (F.col("__row") == F.col("__box_row"))
-                 & (F.col("__col") == F.col("__box_col")))
+              .withColumn("__grid", F.explode(F.array(*grids)))
+              .withColumns({"__high": F.col("__grid.high"), "__wide": F.col("__grid.wide"),
+                            "__row": _cell(F.col(lat), F.col("__grid.height")), "__col": _cell(F.col(lon), F.col("__grid.width"))})
+              .drop("__grid"))
+    names = ("high", "wide", "row", "col")
+    same_cell = reduce(and_, [F.col(f"__{name}") == F.col(f"__box_{name}") for name in names])
     inside = F.col(lat).between(south, north) & F.col(lon).between(west, east)
     joined = placed.join(filed, same_cell & inside)
-    return joined.drop("__level", "__row", "__col", "__box_level", "__box_row", "__box_col")
+    return joined.drop(*[f"__{name}" for name in names], *[f"__box_{name}" for name in names])
+
+
+def shared_boxes(boxes: DataFrame, place: Sequence[str], bounds: Sequence[str] = ("min_lat", "max_lat", "min_lon", "max_lon"),
+                 shape: str = "shape") -> tuple[DataFrame, DataFrame]:
+    """(shape, bounds) and (place, shape): places with the same boxes share a shape, named by the least of them.
+
+    What is aggregated over the points in the boxes of a place need be found once per shape only.
+    """
+    south, north, west, east = (F.col(name) for name in bounds)
+    listed = boxes.filter((south <= north) & (west <= east)).groupBy(*place).agg(
+        F.sort_array(F.collect_list(F.struct(*bounds))).alias("__boxes"))
+    shapes = listed.groupBy("__boxes").agg(F.min(F.struct(*place)).alias(shape))
+    return shapes.select(shape, F.inline("__boxes")), listed.join(shapes, "__boxes").select(*place, shape)
 
 
 def nearest_centre(lat: Column | str, lon: Column | str,

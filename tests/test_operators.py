@@ -473,3 +473,16 @@ def test_merged_sketches_keep_their_rank_error(spark):
     for name, q in (("p1", 0.01), ("p50", 0.5), ("p99", 0.99)):
         low, high = bisect.bisect_left(ordered, row[name]) / len(ordered), bisect.bisect_right(ordered, row[name]) / len(ordered)
         assert low - mergeable.rank_error() <= q <= high + mergeable.rank_error()
+
+
+def test_box_cells_follow_height_and_width(spark):
+    """A cell is an eighth to half of the box, so that long thin boxes meet few points outside; places with equal boxes share a shape."""
+    extents = [(e,) for e in (1e-6, 0.01, 0.25, 0.5, 1.5, 4.5, 19.5, 360.0)]
+    cells = spark.createDataFrame(extents, "e double").select("e", (F.lit(geo.BASE_CELL) * F.pow(F.lit(2.0), geo._level(F.col("e")))).alias("c"))
+    assert all(r.e / 8 <= r.c <= r.e / 2 for r in cells.collect())
+    boxes = spark.createDataFrame([("a", 0.0, 1.0, 0.0, 9.0), ("a", 5.0, 6.0, 0.0, 9.0), ("b", 5.0, 6.0, 0.0, 9.0), ("b", 0.0, 1.0, 0.0, 9.0),
+                                   ("c", 0.0, 1.0, 0.0, 9.0), (None, 0.0, 1.0, 0.0, 9.0), ("d", 1.0, 0.0, 0.0, 9.0)],
+                                  "name string, min_lat double, max_lat double, min_lon double, max_lon double")
+    shapes, places = geo.shared_boxes(boxes, ["name"])
+    assert sorted((r.name or "", r.shape.name or "") for r in places.collect()) == [("", ""), ("a", "a"), ("b", "a"), ("c", "")]
+    assert shapes.count() == 3

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from ..operators import geo, quality
 from ..operators.changes import LATE_MS, late_cutoff, unify_flat_time
 from ..operators.enrich import default_if_empty
 from ..operators.keyed import latest_by_key, latest_known, latest_with_ties, top_n
+from ..session import scratch_dir
 from ..sources.files import lake_format, read_recent, with_arrival
 from ..sources.layout import land_daily, table_or_none, write_snapshot
 
@@ -150,17 +153,53 @@ def _active(regions: DataFrame, *columns: str) -> DataFrame:
     return regions.filter("is_active").select(*columns, "min_lat", "max_lat", "min_lon", "max_lon")
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """Written and read back, so that what follows does not compute it again."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _matching(df: DataFrame, keys: Sequence[str], others: DataFrame, how: str) -> DataFrame:
+    """Join on equal keys, nulls included; the keys of ``others`` are dropped."""
+    named = others.withColumnsRenamed({key: f"__{key}" for key in keys})
+    same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in keys])
+    return df.join(named, same, how).drop(*[f"__{key}" for key in keys])
+
+
+def _over_places(points: DataFrame, regions: DataFrame, place: Sequence[str], *aggregates: Column) -> DataFrame:
+    """Aggregates over the points in the boxes of each place that has any; places with the same boxes are computed once."""
+    boxes, places = geo.shared_boxes(regions, place)
+    shapes = geo.box_join(points, boxes).groupBy("shape").agg(*aggregates)
+    return places.join(shapes, "shape").drop("shape")
+
+
 def aircraft_density(positions: DataFrame, regions: DataFrame, as_of_ms: Column, horizon_ms: int = HOUR_MS,
                      limit: int | None = 200) -> DataFrame:
-    """Positions, distinct aircraft, speed and altitude per active region, busiest first."""
+    """Positions, distinct aircraft, speed and altitude per active region, busiest first.
+
+    Positions at one spot are added up before they meet the regions. The order does not ask for the distinct aircraft, which
+    take a row per position and region: they are counted for the regions of the report only.
+    """
     seen = _recent(positions, as_of_ms, horizon_ms).select(
         "lat", "lon", "ts_ms", "altitude_m", "ground_speed_kmh", F.coalesce("address", "callsign").alias("aircraft"))
-    pairs = geo.box_join(seen, _active(regions, "name", "country", "kind"))
-    density = pairs.groupBy(F.col("name").alias("region"), "country", "kind").agg(
-        F.count(F.lit(1)).alias("positions_last_1h"), F.countDistinct("aircraft").alias("unique_aircraft"),
-        F.avg("altitude_m").alias("avg_altitude_m"), F.avg("ground_speed_kmh").alias("avg_speed_kmh"),
-        F.max("altitude_m").alias("max_altitude_m"), F.max("ts_ms").alias("last_seen_ms"))
-    return top_n(density, [F.desc("positions_last_1h"), F.asc("region"), F.asc("country"), F.asc("kind")], limit)
+    active, place = _active(regions, "name", "country", "kind"), ["name", "country", "kind"]
+    spots = seen.groupBy("lat", "lon").agg(
+        F.count(F.lit(1)).alias("n"), F.max("altitude_m").alias("max_altitude_m"), F.max("ts_ms").alias("ts_ms"),
+        *[f(c).alias(f"{c}_{n}") for c in ("altitude_m", "ground_speed_kmh") for f, n in ((F.sum, "sum"), (F.count, "count"))])
+    mean = lambda c: F.try_divide(F.sum(f"{c}_sum").cast("double"), F.sum(f"{c}_count"))
+    places = _over_places(spots, active, place, F.sum("n").alias("positions_last_1h"), mean("altitude_m").alias("avg_altitude_m"),
+                          mean("ground_speed_kmh").alias("avg_speed_kmh"), F.max("max_altitude_m").alias("max_altitude_m"),
+                          F.max("ts_ms").alias("last_seen_ms"))
+    order = [F.desc("positions_last_1h"), F.asc("name"), F.asc("country"), F.asc("kind")]
+    told = _stored(top_n(places, order, limit), "density")
+    known = seen.filter("aircraft IS NOT NULL").select("lat", "lon", "aircraft")
+    aircraft = _over_places(known, _matching(active, place, told.select(*place), "left_semi"), place,
+                            F.countDistinct("aircraft").alias("unique_aircraft"))
+    density = _matching(told, place, aircraft, "left").orderBy(*order)
+    return density.select(F.col("name").alias("region"), "country", "kind", "positions_last_1h",
+                          F.coalesce("unique_aircraft", F.lit(0)).alias("unique_aircraft"), "avg_altitude_m", "avg_speed_kmh",
+                          "max_altitude_m", "last_seen_ms")
 
 
 def weather_snapshot(observations: DataFrame, regions: DataFrame, measures: Sequence[str] = OBSERVED,

@@ -264,3 +264,26 @@ def test_snapshots_are_published_without_touching_older_ones(spark, tmp_path):
     held = layout.read_latest(spark, path)
     layout.write_snapshot(spark.range(5), path, "s2")
     assert held.count() == 2 and layout.read_latest(spark, path).count() == 5
+
+
+def test_density_of_places_that_share_boxes(spark):
+    """Places of two overlapping boxes, equal boxes, a null name and no aircraft at all, as a whole and as the first rows of the report."""
+    bounds = {"a": [(0, 4, 0, 4), (2, 6, 2, 6)], "b": [(2, 6, 2, 6), (0, 4, 0, 4)], None: [(0, 4, 0, 4)], "empty": [(50, 51, 0, 1)], "mute": [(9, 9, 9, 9)]}
+    regions = spark.createDataFrame([(name, "c", "k", True, *map(float, box)) for name, boxes in bounds.items() for box in boxes],
+                                    "name string, country string, kind string, is_active boolean, min_lat double, max_lat double, min_lon double, max_lon double")
+    rows = [(float(i % 7), float(i % 5), i, i * 3 % 11, f"p{i % 13}") for i in range(200)] + [(9.0, 9.0, 5, None, None)]
+    seen = spark.createDataFrame([(*row, None, 1.0) for row in rows],
+                                 "lat double, lon double, ts_ms long, altitude_m long, address string, callsign string, ground_speed_kmh double")
+    want = []
+    for name, boxes in bounds.items():
+        met = [r for s, n, w, e in boxes for r in rows if s <= r[0] <= n and w <= r[1] <= e]
+        heights = [r[3] for r in met if r[3] is not None]
+        if met:
+            want.append((-len(met), name or "", len({r[4] for r in met} - {None}), sum(heights) / len(heights) if heights else None,
+                         max(heights, default=None), max(r[2] for r in met)))
+    want.sort(key=lambda r: r[:2])
+    for limit in (None, 2):
+        mart = geo_lake.aircraft_density(seen, regions, F.lit(200), 200, limit)
+        got = [(-r.positions_last_1h, r.region or "", r.unique_aircraft, r.avg_altitude_m, r.max_altitude_m, r.last_seen_ms) for r in mart.collect()]
+        assert got == want[:limit]
+        assert mart.inputFiles() and "density" in mart.inputFiles()[0]

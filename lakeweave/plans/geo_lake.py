@@ -227,34 +227,36 @@ def alert_correlation(quakes: DataFrame, regions: DataFrame, thresholds: DataFra
     """Strong recent quakes per watched region and how many recipients hear of them.
 
     The averages weigh a quake once per active watcher of its region, as a join of the two would; the
-    weights are counted per region instead, so quakes and watchers are never multiplied out.
+    weights are counted per region instead, so quakes and watchers are never multiplied out. Quakes at one spot are added up
+    before they meet the regions; distinct quakes are counted for the regions alone that are strong enough for the report.
     """
     rule = ((F.col("source") == "seismic") & (F.col("metric") == "magnitude") & F.col("op").isin(">", ">=")
             & F.col("is_active"))
     strong = _recent(quakes, as_of_ms, horizon_ms).filter(
         F.col("magnitude") >= default_if_empty(thresholds, rule, "threshold", SEISMIC_DEFAULT))
-    pairs = geo.box_join(strong.select("event_id", "lat", "lon", "magnitude", "ts_ms"),
-                         _active(regions, "region_id", "name", "country"))
-    place = ["name", "country"]
-    per_event = pairs.groupBy(*place, "region_id", "event_id").agg(
-        F.sum("magnitude").alias("s"), F.count("magnitude").alias("c"), F.max("magnitude").alias("m"),
-        F.max("ts_ms").alias("t"))
+    active, place = _active(regions, "region_id", "name", "country"), ["name", "country"]
+    spots = strong.groupBy("lat", "lon").agg(F.sum("magnitude").alias("s"), F.count("magnitude").alias("c"),
+                                             F.max("magnitude").alias("m"), F.max("ts_ms").alias("t"))
+    per_region = _stored(_over_places(spots, active, [*place, "region_id"], F.sum("s").alias("s"), F.sum("c").alias("c"),
+                                      F.max("m").alias("m"), F.max("t").alias("t")), "correlation")
     watchers = watchlist.filter(F.col("source").isin("seismic", "*") & F.col("is_active")).select("region_id", "recipient")
     weights = watchers.groupBy("region_id").agg(F.count(F.lit(1)).alias("w"))
-    weighted = per_event.join(weights, "region_id", "left").withColumn("w", F.coalesce("w", F.lit(1)))
-    once = weighted.groupBy(*place, "event_id").agg(
-        F.sum(F.col("s") * F.col("w")).alias("s"), F.sum(F.col("c") * F.col("w")).alias("c"),
-        F.max("m").alias("m"), F.max("t").alias("t"))
-    facts = once.groupBy(*place).agg(
-        F.count("event_id").alias("quake_count_24h"), (F.sum("s") / F.sum("c")).alias("avg_magnitude"),
+    weighted = per_region.join(weights, "region_id", "left").withColumn("w", F.coalesce("w", F.lit(1)))
+    facts = weighted.groupBy(*place).agg(
+        (F.sum(F.col("s") * F.col("w")) / F.sum(F.col("c") * F.col("w"))).alias("avg_magnitude"),
         F.max("m").alias("max_magnitude"), F.max("t").alias("last_event_ms"))
-    heard = (per_event.select(*place, "region_id").distinct().join(watchers, "region_id")
-             .select(F.col("name").alias("__n"), F.col("country").alias("__c"), "recipient").distinct()
-             .groupBy("__n", "__c").agg(F.count("recipient").alias("n")))
-    same = F.col("name").eqNullSafe(F.col("__n")) & F.col("country").eqNullSafe(F.col("__c"))
-    mart = facts.join(heard, same, "left").select(
-        F.col("name").alias("region"), "country", "quake_count_24h", "avg_magnitude", "max_magnitude",
-        F.coalesce("n", F.lit(0)).alias("subscribers_notified"), "last_event_ms")
+    heard = (per_region.select(*place, "region_id").join(watchers, "region_id").select(*place, "recipient").distinct()
+             .groupBy(*place).agg(F.count("recipient").alias("n")))
+    if limit is not None:  # who is weaker than the last of the strongest is not in the report, whatever its count
+        least = facts.orderBy(F.desc("max_magnitude")).limit(limit).agg(F.min("max_magnitude").alias("m")).scalar()
+        facts = facts.filter(F.col("max_magnitude") >= least)
+    facts = _stored(facts, "correlation")
+    counts = _over_places(strong.filter("event_id IS NOT NULL").select("lat", "lon", "event_id"),
+                          _matching(active, place, facts.select(*place), "left_semi"), place,
+                          F.countDistinct("event_id").alias("quake_count_24h"))
+    mart = _matching(_matching(facts, place, counts, "left"), place, heard, "left").select(
+        F.col("name").alias("region"), "country", F.coalesce("quake_count_24h", F.lit(0)).alias("quake_count_24h"), "avg_magnitude",
+        "max_magnitude", F.coalesce("n", F.lit(0)).alias("subscribers_notified"), "last_event_ms")
     return top_n(mart, [F.desc("max_magnitude"), F.desc("quake_count_24h"), F.asc("region"), F.asc("country")], limit)
 
 

@@ -46,3 +46,14 @@ def test_stages_of_awkward_rows(spark, tmp_path):
             out = stage(spark, rows, ROOT)
             assert set(rows.columns) <= set(out.columns), name
             out.collect()
+
+
+def test_near_duplicates_take_what_passages_leave(spark):
+    """A copy with scattered edits goes whole; without the stage the edited words would stay behind as a document of scraps."""
+    words = [f"word{i}" for i in range(200)]
+    edited = [f"other{i}" if i in (60, 140) else word for i, word in enumerate(words)]
+    rows = [(1, " ".join(words), "en", "a", 1), (2, " ".join(edited), "en", "a", 1), (3, " ".join(f"far{i}" for i in range(50)), "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, ROOT)
+    assert {r.doc_id for r in corpus_pipeline.passage_stage(spark, kept, ROOT).collect()} == {1, 3}
+    assert {r.doc_id for r in corpus_pipeline.passage_stage(spark, docs, ROOT).collect()} == {1, 2, 3}

@@ -96,6 +96,7 @@ def _send(shingle: int, buckets: int, similarity: float | None = None):
         base = np.cumsum([0, *(len(h[0]) for h in held)])
         node, m, hashes = (np.concatenate([h[c] for h in held]) for c in range(3))
         owner = np.concatenate([h[3] + b for h, b in zip(held, base)])
+        held.clear()
         bucket = hashes % np.uint64(buckets)
         order = np.lexsort((hashes, bucket))
         hashes, owner, bucket = hashes[order], owner[order], bucket[order]
@@ -214,23 +215,31 @@ def _marked(bits: bytes):
     return run
 
 
+def _partner_bits(texts: DataFrame, similarity: float, shingle: int) -> bytes:
+    """The bitmap of the texts (text) that may have a partner, by the early shingles of all."""
+    buckets = bucket_count(texts.sparkSession, 1)
+    sent = texts.mapInArrow(_send(shingle, buckets, similarity), "bucket int, payload binary")
+    counts = sent.groupBy("bucket").applyInArrow(_shared(buckets, count=True), "bucket int, payload binary")
+    return _bits(counts.groupBy("bucket").applyInArrow(_partnered(similarity), "node long"))
+
+
 def with_partners(texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """The rows (text) that may have a partner, by the early shingles of all texts; no row with one is lost, others may stay.
 
     Texts are not shuffled: each task looks its own up in a bitmap of their hashes. The fuller it is, the more rows stay.
     """
-    buckets = bucket_count(texts.sparkSession, 1)
-    sent = texts.mapInArrow(_send(shingle, buckets, similarity), "bucket int, payload binary")
-    counts = sent.groupBy("bucket").applyInArrow(_shared(buckets, count=True), "bucket int, payload binary")
-    partnered = counts.groupBy("bucket").applyInArrow(_partnered(similarity), "node long")
-    return texts.mapInArrow(_marked(_bits(partnered)), "text string")
+    return texts.mapInArrow(_marked(_partner_bits(texts, similarity, shingle)), "text string")
 
 
 def candidates(docs: DataFrame, text_col: str, similarity: float, shingle: int) -> DataFrame:
-    """(node, m, shared, slots, tokens) of every distinct text that may have a partner; see ``_prefixes``."""
+    """(node, m, shared, slots, tokens) of every distinct text that may have a partner; see ``_prefixes``.
+
+    Texts are looked up and sent by one Python worker: two after one another would double a task's memory.
+    """
     buckets = bucket_count(docs.sparkSession, 1)
-    texts = with_partners(docs.select(F.col(text_col).cast("string").alias("text")), similarity, shingle)
-    sent = texts.mapInArrow(_send(shingle, buckets), "bucket int, payload binary")
+    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    stays, send = _marked(_partner_bits(texts, similarity, shingle)), _send(shingle, buckets)
+    sent = texts.mapInArrow(lambda batches: send(stays(batches)), "bucket int, payload binary")
     shared = sent.groupBy("bucket").applyInArrow(_shared(buckets), "bucket int, payload binary")
     rows = shared.groupBy("bucket").applyInArrow(_prefixes(similarity),
                                                  "node long, m int, shared int, slots int, tokens array<long>")

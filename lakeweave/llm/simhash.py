@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from . import jaccard
 from .components import components
+from .membership import told_apart
 from .packed import bucket_count
 from .state import cut, fresh, passing
 from .text import LOWER, mix, slices, word_bounds
@@ -219,9 +220,14 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of each group's least id, as they were; rows that repeat that id all stay."""
-    name = fresh(docs, "__keep")
+    """The rows of each group's least id, as they were; rows that repeat that id all stay.
+
+    The ids that go are few beside those that stay: only rows that may have one of them are shuffled.
+    """
+    name = fresh(docs, "__gone")
     with passing() as stays:
         found = similar_documents(docs, id_col, text_col, **options)
-        keep = stays(cut(found.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias(name)).distinct(), "keep"))
-    return docs.join(keep, docs[id_col].eqNullSafe(keep[name]), "left_semi")
+        stay = found.groupBy("id").agg(F.max(F.col("id").eqNullSafe(F.col("component"))).alias("stay"))
+        gone = stays(cut(stay.where(~F.col("stay")).select(F.col("id").alias(name)), "gone"))
+    may, cannot = told_apart(docs, [F.col(id_col)], gone)
+    return cannot.union(may.join(gone, may[id_col].eqNullSafe(gone[name]), "left_anti"))

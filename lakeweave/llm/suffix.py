@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .membership import told_apart
 from .packed import bucket_count, joined, pack, unpack
 from .state import cut, fresh, passing
 from .text import RangeHash, slices
@@ -375,7 +376,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
         sent = texts.mapInArrow(_send_runs(buckets, length, gram), _KIND)
         met = cut(sent.groupBy("kind", "bucket").applyInArrow(_meet(buckets, length), _KIND), "runs")
         wishes = cut(met.where("kind = 2").groupBy("bucket").applyInArrow(_wishes, _BY_ROW), "wishes")
-        asked = texts.join(wishes, ["id", "mark"]).select("id", "mark", "text", "payload")
+        asked, _ = told_apart(texts, [F.col("id"), F.col("mark")], wishes.select("id", "mark"))
+        asked = asked.join(wishes, ["id", "mark"]).select("id", "mark", "text", "payload")
         found = asked.mapInArrow(_fetch(buckets, length), _KIND).groupBy("bucket").applyInArrow(_sort(buckets, length), _KIND)
         spans = met.where("kind = 1").union(found)
         return stays(cut(spans.groupBy("bucket").applyInArrow(_spans, _BY_ROW), "spans"))
@@ -415,9 +417,11 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     spans = found.select(*[F.col(c).alias(n) for c, n in names.items()])
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     own_id = F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID))
-    same = (own_id == spans[names["id"]]) & (F.xxhash64(text).bitwiseAND(F.lit((1 << 32) - 1)) == spans[names["mark"]])
-    with_spans = docs.join(spans, same, "left")
-    return with_spans.withColumn(as_col, clean(F.col(text_col).cast("string"), F.col(names["payload"]))).drop(*names.values())
+    own_mark = F.xxhash64(text).bitwiseAND(F.lit((1 << 32) - 1))
+    may, whole = told_apart(docs, [own_id, own_mark], found.select("id", "mark"))
+    cut_up = may.join(spans, (own_id == spans[names["id"]]) & (own_mark == spans[names["mark"]]), "left")
+    rows = cut_up.drop(names["id"], names["mark"]).union(whole.withColumn(names["payload"], F.lit(None).cast("binary")))
+    return rows.withColumn(as_col, clean(F.col(text_col).cast("string"), F.col(names["payload"]))).drop(names["payload"])
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

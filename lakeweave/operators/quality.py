@@ -62,8 +62,8 @@ def not_in(value: Column | str, allowed: Sequence[object], null_fails: bool = Fa
 
 def errors_array(rules: Sequence[Rule]) -> Column:
     """Names of the broken rules, in rule order."""
-    marks = F.array(*[F.when(failing, F.lit(name)) for name, failing in rules])
-    return F.filter(marks, lambda mark: mark.isNotNull())
+    none = F.array().cast("array<string>")  # joined lists, as a lambda would leave generated code for every row
+    return F.concat(none, *[F.when(failing, F.array(F.lit(name))).otherwise(none) for name, failing in rules])
 
 
 def with_errors(df: DataFrame, rules: Sequence[Rule], errors: str = "quality_errors",

@@ -12,7 +12,7 @@ from ..functions.temporal import with_event_time
 from ..functions.text import clean_columns
 from ..operators import aggregates as agg
 from ..operators import keyed, quality
-from ..operators.enrich import enrich
+from ..operators.enrich import broadcast_if_small, enrich
 from ..sources import files
 from ..sources.layout import ingest_manifest, ingest_new_files, list_partitions, replace_partitions, table_or_none
 
@@ -45,13 +45,14 @@ def current_orders(unique: DataFrame) -> DataFrame:
 
 def enriched_orders(current: DataFrame, customers: DataFrame, products: DataFrame, rates: DataFrame) -> DataFrame:
     unknown = "UNKNOWN"
-    priced = products.withColumn("product_category", F.upper("category"))
+    # by a handful of products or currencies every order would be shuffled to as many tasks
+    priced = broadcast_if_small(products.withColumn("product_category", F.upper("category")))
     out = enrich(current, customers, ["customer_id"], ["customer_name", "email", "country", "region", "loyalty_tier"],
                  flag="customer_match_status", missing="MISSING_CUSTOMER",
                  defaults={"region": unknown, "loyalty_tier": unknown})
     out = enrich(out, priced, ["product_id"], ["product_name", "product_category", "unit_cost"],
                  flag="product_match_status", missing="MISSING_PRODUCT", defaults={"product_category": unknown})
-    out = enrich(out, rates, ["currency"], ["rate_to_usd"]).withColumn("amount_usd", converted("amount", "rate_to_usd"))
+    out = enrich(out, broadcast_if_small(rates), ["currency"], ["rate_to_usd"]).withColumn("amount_usd", converted("amount", "rate_to_usd"))
     return out.withColumn("gross_margin_usd", F.round(F.col("amount_usd") - F.col("unit_cost"), 2))
 
 
@@ -183,7 +184,9 @@ def refresh(spark: SparkSession, lake: str, dimensions: dict[str, DataFrame], bu
     files.write_table(placed, f"{stage}/enriched")
     enriched = spark.read.parquet(f"{stage}/enriched")
 
-    left = current_orders(before).select(in_period("event_date", periods).alias(PERIOD))
+    touched = enriched.select("order_id")  # the same orders, written once each
+    stood = held.join(touched, "order_id", "left_semi").groupBy("order_id").agg(F.max("event_date").alias("event_date"))
+    left = stood.select(in_period("event_date", periods).alias(PERIOD))
     moved = sorted(row[PERIOD] for row in left.union(enriched.select(PERIOD)).distinct().collect())
     replaced = F.col(PERIOD).isin(moved)
     standing = table_or_none(spark, enriched_path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,17 +56,21 @@ def replace_partitions(df: DataFrame, path: str, column: str, touched: Sequence)
     """Replace the partitions of ``touched`` (values of ``column``) by the rows of ``df``; all other folders keep their files.
 
     ``df`` may read the table itself: new files are complete before any folder is exchanged. Touched partitions without a row
-    are removed. A repeated call ends in the same table.
+    are removed: they are those that still hold their old files after the write, so that ``df`` runs once. A repeated call ends in the same table.
     """
     spark = df.sparkSession
     here = list_partitions(spark, path)
-    emptied = {str(v) for v in touched} & set(here)
-    if emptied:
-        held = df.select(F.col(column).cast("string").alias("v")).filter(F.col("v").isin(sorted(emptied))).distinct()
-        emptied -= {row["v"] for row in held.collect()}
+
+    def data_files() -> set[str]:
+        if not here:
+            return set()
+        return set(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).inputFiles())
+
+    before = data_files()
     (df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(column).parquet(path))
-    for value in emptied:
+    stale = {unquote(name).split("/")[-2].split("=", 1)[1] for name in before & data_files()}
+    for value in stale & {str(v) for v in touched}:
         folder = spark._jvm.org.apache.hadoop.fs.Path(here[value])
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 

@@ -38,3 +38,8 @@ def test_scans_are_pruned_and_filters_pushed(spark):
 def test_shuffle_counts(spark, name, most):
     plan = plan_of(spark, name)
     assert len(re.findall(r"(?<!Broadcast)Exchange (hash|range|Single)", plan)) <= most
+
+
+def test_error_lists_stay_in_generated_code(spark):
+    plan = plan_of(spark, "quality_errors")
+    assert "lambdafunction" not in plan and "*(1) Project" in plan

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeweave.plans import order_changes, product_kpis, record_jobs, retail_lake, warehouse
-from lakeweave.sources import files
+from lakeweave.sources import files, layout
 
 from . import fixtures as fx
 
@@ -200,6 +200,37 @@ def test_retail_refresh_touches_only_the_orders_of_new_files(spark, tmp_path):
         k: v for k, v in retail_gold(spark, lake).items() if k.startswith("gold")}
 
 
+def test_replaced_partitions_are_computed_once(spark, tmp_path):
+    """A touched folder that gets no row goes, one that is not touched stays, and the rows run once, not first for their folders."""
+    path = str(tmp_path / "table")
+    layout.replace_partitions(spark.createDataFrame([("a b", 1), ("b", 2), ("c", 3)], "part string, v int"), path, "part", ["a b", "b", "c"])
+    rows_run = spark.sparkContext.accumulator(0)
+
+    def counted(part):
+        rows_run.add(1)
+        return part
+
+    again = spark.createDataFrame([("b", 5), ("d", 6)], "part string, v int")
+    again = again.withColumn("part", F.udf(counted, "string").asNondeterministic()("part"))
+    layout.replace_partitions(again, path, "part", ["a b", "b", "d"])
+    assert rows(spark.read.parquet(path), "part", "v") == [("b", 5), ("c", 3), ("d", 6)]
+    assert sorted(layout.list_partitions(spark, path)) == ["b", "c", "d"] and rows_run.value == 2
+
+
+def test_orders_are_not_shuffled_to_a_handful_of_products(spark):
+    """Few products out of a large source: its size estimate must not send every order to one of four tasks."""
+    current = spark.range(10**9).select(F.col("id").cast("int").alias("order_id"), F.col("id").cast("int").alias("customer_id"),
+                                        F.concat(F.lit("P-"), F.col("id") % 4).alias("product_id"), F.lit(2.0).alias("amount"),
+                                        F.lit("USD").alias("currency"))
+    customers = spark.range(3).selectExpr("CAST(id AS INT) AS customer_id", "'n' AS customer_name", "'e' AS email", "'c' AS country",
+                                          "'r' AS region", "'g' AS loyalty_tier")
+    products = spark.range(10**7).select(F.concat(F.lit("P-"), F.col("id") % 4).alias("product_id")).distinct().selectExpr(
+        "product_id", "'n' AS product_name", "'c' AS category", "1.0D AS unit_cost")
+    rates = spark.sql("SELECT 'USD' AS currency, 1.0D AS rate_to_usd")
+    plan = retail_lake.enriched_orders(current, customers, products, rates)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 @pytest.mark.parametrize("broken", ["gold/segment_by_day", "silver/orders_deduplicated"])
 def test_retail_refresh_that_broke_off_is_repeated(spark, tmp_path, monkeypatch, broken):
     dimensions, lake, whole = retail_dimensions(spark, tmp_path), tmp_path / "lake", tmp_path / "whole"
